@@ -9,14 +9,15 @@ from ..schemas import POST_TABLE, TYPE_LIKE, TYPE_REPOST
 COUNTERS = ("likes_count", "repost_count", "comments_count")
 
 
-def subject_counts(post: DataFrame, engagement: DataFrame, include_deleted: bool = False) -> DataFrame:
+def subject_counts(replies: DataFrame, engagement: DataFrame, include_deleted: bool = False) -> DataFrame:
     """Likes, reposts and comments per subject uri.
 
     Comments are the posts whose thread root is the subject, at any depth; only
-    live ones unless `include_deleted`. The three counts share one shuffle, and
-    partial sums before it absorb popular subjects.
+    live ones unless `include_deleted`. Of the posts only `rootUri` and `deletedAt`
+    are read. The three counts share one shuffle, and partial sums before it absorb
+    popular subjects.
     """
-    replies = post.where(F.col("rootUri") != "")
+    replies = replies.where(F.col("rootUri") != "")
     if not include_deleted:
         replies = replies.where(F.col("deletedAt").isNull())
     one = lambda cond: F.when(cond, 1).otherwise(0)
@@ -36,16 +37,24 @@ def subject_counts(post: DataFrame, engagement: DataFrame, include_deleted: bool
     return marks.groupBy("uri").agg(*[F.sum(c).alias(c) for c in COUNTERS])
 
 
-def with_counters(post: DataFrame, engagement: DataFrame, include_deleted: bool = False) -> DataFrame:
-    """The `post` table with its three counters filled in.
+def attach(post: DataFrame, counts: DataFrame) -> DataFrame:
+    """The `post` table with its three counters filled in from `subject_counts`.
 
-    Both sides of the join are unique by uri, so no key can be hot there.
+    Both sides are unique by uri, so no key can be hot in the join. Posts straight
+    from the fold (with `uri_hash`) are already distributed for it.
     """
-    counts = subject_counts(post, engagement, include_deleted)
-    joined = post.drop(*COUNTERS).join(counts, "uri", "left")
+    key = ["uri_hash", "uri"] if "uri_hash" in post.columns else ["uri"]
+    if len(key) > 1:
+        counts = counts.withColumn("uri_hash", F.xxhash64("uri"))
+    joined = post.drop(*COUNTERS).join(counts, key, "left")
     return joined.select(
         *[
             F.coalesce(F.col(f.name), F.lit(0)).cast("int").alias(f.name) if f.name in COUNTERS else f.name
             for f in POST_TABLE.fields
         ]
     )
+
+
+def with_counters(post: DataFrame, engagement: DataFrame, include_deleted: bool = False) -> DataFrame:
+    """Counters of written tables in one step."""
+    return attach(post, subject_counts(post, engagement, include_deleted))

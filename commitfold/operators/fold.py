@@ -71,50 +71,41 @@ def _keyed(log: DataFrame) -> DataFrame:
     return log.withColumn("uri_hash", F.xxhash64("uri"))
 
 
-def _post_state(log: DataFrame, payload: Sequence[str]) -> DataFrame:
-    return (
+def fold_posts(log: DataFrame, keep_hash: bool = False) -> DataFrame:
+    """The `post` table. One shuffle by uri.
+
+    Minimum and maximum are combined before the shuffle, so a uri holding any
+    share of the log reaches its reducer as one row per map task. Works on a
+    streaming log too (complete or update mode). `keep_hash` leaves the leading
+    part of the distribution key in place for a join that follows.
+    """
+    folded = fold_post_columns(log, _POST_PAYLOAD)
+    zero = [F.lit(0).alias(name) for name in ("likes_count", "repost_count", "comments_count")]
+    names = [f.name for f in S.POST_TABLE.fields[: -len(zero)]]
+    return folded.select(*(["uri_hash"] if keep_hash else []), *names, *zero)
+
+
+def fold_post_columns(log: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
+    """`uri`, `indexedAt`, `deletedAt` and the named columns of the folded posts.
+
+    For analyses of a log that has not been folded into a written table: a minimum
+    over a struct cannot be pruned, so what is not needed must not be in it.
+    """
+    state = (
         _keyed(posts_of(log))
         .groupBy(*_KEY)
         .agg(F.min(F.when(_is_create(), _create(payload))).alias("first"), _last_delete().alias("gone"))
         .where(F.col("first").isNotNull())
     )
-
-
-def _times() -> list[Column]:
     deleted = F.col("gone.seq") > F.col("first.seq")
-    return [
+    return state.select(
+        *_KEY,
         times.iso_millis(F.col("first.ingested_us")).alias("indexedAt"),
         F.when(deleted, times.iso_millis(-F.col("gone.neg_us"))).alias("deletedAt"),
-    ]
-
-
-def fold_posts(log: DataFrame) -> DataFrame:
-    """The `post` table. One shuffle by uri.
-
-    Minimum and maximum are combined before the shuffle, so a uri holding any
-    share of the log reaches its reducer as one row per map task. Works on a
-    streaming log too (complete or update mode).
-    """
-    indexed, deleted = _times()
-    return _post_state(log, _POST_PAYLOAD).select(
-        "uri",
-        "first.cid",
-        indexed,
-        "first.createdAt",
-        deleted,
-        *[f"first.{name}" for name in _POST_PAYLOAD if name not in ("cid", "createdAt")],
-        F.lit(0).alias("likes_count"),
-        F.lit(0).alias("repost_count"),
-        F.lit(0).alias("comments_count"),
+        *[f"first.{name}" for name in payload],
     )
 
 
-def fold_post_times(log: DataFrame) -> DataFrame:
-    """Uri, `indexedAt` and `deletedAt` of the `post` table, for analyses of a log
-    that was never folded into a written table: text and links are not shuffled."""
-    return _post_state(log, ()).select("uri", *_times())
-
-
 def hot_uris(
     log: DataFrame, rows_per_task: int = 5_000_000, fraction: float = 0.001, at_most: int = 1000
 ) -> list[str]:
@@ -152,9 +143,15 @@ def _alive(
     )
 
 
-def fold_engagement(log: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
-    """The `engagement` table. One narrow shuffle of deletes, one of creates."""
-    log = _keyed(engagement_of(log))
+def fold_engagement(log: DataFrame, hot: Sequence[str] | None = None) -> DataFrame:
+    """The `engagement` table. One narrow shuffle of deletes, one of creates.
+
+    `hot` names the uris to take through the broadcast branch; when not given they
+    are looked for first (see `hot_uris`).
+    """
+    log = engagement_of(log)
+    hot = hot_uris(log) if hot is None else hot
+    log = _keyed(log)
     last_delete = log.where(_is_delete()).groupBy(*_KEY).agg(F.max("seq").alias("deleted_seq"))
 
     def first_per_uri(alive: DataFrame) -> DataFrame:
@@ -209,13 +206,14 @@ def compact_posts(log: DataFrame) -> DataFrame:
     return creates.unionByName(_compact_deletes(log))
 
 
-def compact_engagement(log: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
+def compact_engagement(log: DataFrame, hot: Sequence[str] | None = None) -> DataFrame:
     """The last delete of each uri and every distinct create not before it.
 
     All such creates are kept, not only the first: a late operation with a smaller
     `seq` may still undo the earlier ones.
     """
     log = engagement_of(log)
+    hot = hot_uris(log) if hot is None else hot
     deletes = _compact_deletes(log)
     key = ("uri", "seq", "op_idx")
     payload = [f.name for f in S.OPS.fields if f.name not in (*key, "ingested_us")]
@@ -230,5 +228,5 @@ def compact_engagement(log: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
     return creates.unionByName(deletes)
 
 
-def compact(log: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
+def compact(log: DataFrame, hot: Sequence[str] | None = None) -> DataFrame:
     return compact_posts(log).unionByName(compact_engagement(log, hot))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions import text as tx, times
+from ..functions.built import built_once
 from ..functions.variants import is_string, string_at
 from . import rules
 
@@ -37,11 +38,16 @@ def frame_violations(frames: DataFrame) -> DataFrame:
     )
 
 
+@built_once
+def _is_valid_frame() -> Column:
+    return rules.all_hold(rules.frame_rules())
+
+
 def valid_frames(frames: DataFrame) -> DataFrame:
     """Frames that break no rule; the others are skipped, the stream goes on."""
     if S.CORRUPT in frames.columns:
         frames = frames.where(F.col(S.CORRUPT).isNull()).drop(S.CORRUPT)
-    return frames.where(rules.all_hold(rules.frame_rules()))
+    return frames.where(_is_valid_frame())
 
 
 def explode_ops(frames: DataFrame) -> DataFrame:
@@ -85,8 +91,10 @@ def with_record(ops: DataFrame) -> DataFrame:
     return ops.withColumn("rec", F.explode(F.array(F.try_parse_json("payload"))))
 
 
-def _reasons(rec: Column) -> Column:
+@built_once
+def _reasons() -> Column:
     """Names of the broken rules of one tracked operation, empty when accepted."""
+    rec = F.col("rec")
     by_type = (
         F.when(F.col("collection") == S.POST, rules.violations(rules.post_rules(rec)))
         .when(F.col("collection") == S.REPOST, rules.violations(rules.repost_rules(rec)))
@@ -103,8 +111,10 @@ def _reasons(rec: Column) -> Column:
     )
 
 
-def _is_valid(rec: Column) -> Column:
+@built_once
+def _is_valid() -> Column:
     """Same verdict as an empty `_reasons`, without naming what is broken."""
+    rec = F.col("rec")
     by_type = (
         F.when(F.col("collection") == S.POST, rules.all_hold(rules.post_rules(rec)))
         .when(F.col("collection") == S.REPOST, rules.all_hold(rules.repost_rules(rec)))
@@ -117,7 +127,7 @@ def _is_valid(rec: Column) -> Column:
 def op_violations(ops: DataFrame) -> DataFrame:
     """One row per broken rule of a tracked operation."""
     return with_record(tracked(ops)).select(
-        "seq", "op_idx", "uri", "collection", F.explode(_reasons(F.col("rec"))).alias("reason"), "payload"
+        "seq", "op_idx", "uri", "collection", F.explode(_reasons()).alias("reason"), "payload"
     )
 
 
@@ -127,7 +137,7 @@ def accepted(ops: DataFrame, ingested: Column | None = None) -> DataFrame:
     `ingested` is the ingestion instant as a timestamp: the clock when live, the
     frame time for a backfill. Deletes are routed by collection alone.
     """
-    kept = with_record(tracked(ops)).where(_is_valid(F.col("rec")))
+    kept = with_record(tracked(ops)).where(_is_valid())
     return to_log(kept, ingested)
 
 
@@ -137,9 +147,8 @@ def classified(ops: DataFrame, ingested: Column | None = None) -> DataFrame:
 
     For writers that need accepted and rejected rows from a single scan.
     """
-    rec = F.col("rec")
     none = F.array().cast("array<string>")
-    reasons = F.when(_is_valid(rec), none).otherwise(_reasons(rec))
+    reasons = F.when(_is_valid(), none).otherwise(_reasons())
     judged = with_record(tracked(ops)).withColumn("reasons", F.explode(F.array(reasons)))
     rejected = F.size("reasons") > 0
     return to_log(judged, ingested, extra=["reasons", F.when(rejected, F.col("payload")).alias("payload")]).withColumn(
@@ -147,8 +156,9 @@ def classified(ops: DataFrame, ingested: Column | None = None) -> DataFrame:
     )
 
 
-def to_log(ops: DataFrame, ingested: Column | None = None, extra: list | None = None) -> DataFrame:
-    """Projects operations with a `rec` column to the log's columns."""
+@built_once
+def _log_columns() -> list[Column]:
+    """The log's columns but for the ingestion time, in order."""
     rec = F.col("rec")
     is_post = F.col("collection") == S.POST
     creates = F.col("action") == "create"
@@ -162,22 +172,22 @@ def to_log(ops: DataFrame, ingested: Column | None = None, extra: list | None =
     def text_or_empty(path: str) -> Column:
         return F.coalesce(string_at(rec, path), F.lit(""))
 
+    # A link card counts when its address is a string, whatever the embed's type.
     has_card = is_string(rec, "$.embed.external.uri")
 
     def card(field: str) -> Column:
         return F.when(has_card, string_at(rec, f"$.embed.external.{field}"))
 
-    micros = F.unix_micros(F.current_timestamp() if ingested is None else ingested)
-    return ops.select(
+    return [
         F.when(is_post, "post").otherwise("engagement").alias("target"),
-        "seq",
+        F.col("seq"),
         F.col("op_idx").cast("int").alias("op_idx"),
-        "action",
-        "collection",
-        "uri",
-        "author",
-        micros.alias("ingested_us"),
-        "cid",
+        F.col("action"),
+        F.col("collection"),
+        F.col("uri"),
+        F.col("author"),
+        F.col("ingested_us"),
+        F.col("cid"),
         F.when(creates, string_at(rec, "$.createdAt")).alias("createdAt"),
         of_post(tx.sanitize(string_at(rec, "$.text"))).alias("text"),
         of_post(text_or_empty("$.reply.root.uri")).alias("rootUri"),
@@ -190,8 +200,13 @@ def to_log(ops: DataFrame, ingested: Column | None = None, extra: list | None =
         .alias("type"),
         of_engagement(string_at(rec, "$.subject.uri")).alias("subjectUri"),
         of_engagement(string_at(rec, "$.subject.cid")).alias("subjectCid"),
-        *(extra or []),
-    )
+    ]
+
+
+def to_log(ops: DataFrame, ingested: Column | None = None, extra: list | None = None) -> DataFrame:
+    """Projects operations with a `rec` column to the log's columns."""
+    micros = F.unix_micros(F.current_timestamp() if ingested is None else ingested)
+    return ops.withColumn("ingested_us", micros).select(*_log_columns(), *(extra or []))
 
 
 def frame_instant() -> Column:

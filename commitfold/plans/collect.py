@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
 from ..operators import counters, fold, ops
-from ..session import work_folder
 from ..sources import tables
 
-
 # Columns of a written log; `target` is the partition column.
 LOG_FILE = (
     "seq bigint, op_idx int, action string, collection string, uri string, author string, ingested_us bigint, "
@@ -26,12 +25,21 @@ class Tables(NamedTuple):
     engagement: DataFrame
 
 
-def fold_log(log: DataFrame, with_counters: bool = False, hot=()) -> Tables:
-    """The two tables of a log, lazily."""
-    post, engagement = fold.fold_posts(log), fold.fold_engagement(log, hot)
-    if with_counters:
-        post = counters.with_counters(post, engagement)
-    return Tables(post, engagement)
+def fold_log(log: DataFrame, with_counters: bool = False, hot: Sequence[str] | None = None) -> Tables:
+    """The two tables of a log.
+
+    Posts with counters are shuffled once: the replies to count come from a fold of
+    their own that carries nothing but root and deletion.
+    """
+    engagement = fold.fold_engagement(log, hot)
+    if not with_counters:
+        return Tables(fold.fold_posts(log), engagement)
+    return Tables(_counted_posts(log, engagement), engagement)
+
+
+def _counted_posts(log: DataFrame, engagement: DataFrame) -> DataFrame:
+    replies = fold.fold_post_columns(log, ("rootUri",))
+    return counters.attach(fold.fold_posts(log, keep_hash=True), counters.subject_counts(replies, engagement))
 
 
 def write_log(frames: DataFrame, path: str, ingested: Column | None = None, mode: str = "errorifexists") -> None:
@@ -57,10 +65,8 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return rejected(spark.read.schema(LOG_FILE).parquet(path))
 
 
-def backfill(
-    frames: DataFrame, out: str, ingested: Column | None = None, find_hot: bool = True
-) -> None:
-    """Frames to a written log, tables and quarantine under `out`.
+def backfill(frames: DataFrame, out: str, ingested: Column | None = None) -> None:
+    """Frames to a written log, tables and rejected frames under `out`.
 
     The log is written first: decoding happens once, the folds read back only the
     columns and partitions they need, and a lost executor costs a re-read of files
@@ -70,12 +76,6 @@ def backfill(
     write_log(frames, f"{out}/log", ingested)
     ops.frame_violations(frames).write.parquet(f"{out}/rejected_frames")
     log = read_log(spark, f"{out}/log")
-    hot = fold.hot_uris(fold.engagement_of(log)) if find_hot else ()
-    folded = fold_log(log, hot=hot)
-    tables.write(folded.engagement, "engagement", f"{out}/engagement")
+    tables.write(fold.fold_engagement(log), "engagement", f"{out}/engagement")
     engagement = tables.read(spark, "engagement", f"{out}/engagement")
-    # The bare posts are folded once, into a work table, because the counters read them twice.
-    bare = work_folder(spark, "post")
-    folded.post.write.parquet(bare)
-    post = tables.read(spark, "post", bare)
-    tables.write(counters.with_counters(post, engagement), "post", f"{out}/post")
+    tables.write(_counted_posts(log, engagement), "post", f"{out}/post")

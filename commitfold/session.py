@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording a call site for every column operation is most of the time it takes
+    # to assemble the validation rules.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -88,18 +88,16 @@ def log(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
     return base.select(*S.OPS.fieldNames()).unionByName(tail)
 
 
-def compact(spark: SparkSession, root: str, upto: int, find_hot: bool = True) -> None:
+def compact(spark: SparkSession, root: str, upto: int) -> None:
     """Writes a compacted log of everything up to and including a finished batch."""
-    some = log(spark, root, upto)
-    hot = fold.hot_uris(fold.engagement_of(some)) if find_hot else ()
     path = f"{root}/base/upto={upto}"
-    fold.compact(some, hot).write.mode("overwrite").partitionBy("target").parquet(path)
+    fold.compact(log(spark, root, upto)).write.mode("overwrite").partitionBy("target").parquet(path)
     spark.createDataFrame([(upto, path)], _MANIFEST).coalesce(1).write.mode("append").json(f"{root}/manifest")
 
 
-def tables(spark: SparkSession, root: str, with_counters: bool = False, hot=()) -> collect.Tables:
+def tables(spark: SparkSession, root: str, with_counters: bool = False) -> collect.Tables:
     """The current tables."""
-    return collect.fold_log(log(spark, root), with_counters, hot)
+    return collect.fold_log(log(spark, root), with_counters)
 
 
 def quarantine(spark: SparkSession, root: str) -> DataFrame:

@@ -38,7 +38,7 @@ def _post(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _post_times(spark: SparkSession, folder: str) -> DataFrame:
-    return fold.fold_post_times(events.event_log(spark, folder))
+    return fold.fold_post_columns(events.event_log(spark, folder))
 
 
 def _engagement(spark: SparkSession, folder: str) -> DataFrame:
@@ -177,7 +177,7 @@ def table_inventory(spark, folder):
     log = events.event_log(spark, folder)
     state = progress.checkpoint_position(_frames(spark, folder), SERVICE)
     return tables.inventory(
-        {"post": fold.fold_post_times(log), "engagement": fold.fold_engagement(log), "sub_state": state}
+        {"post": fold.fold_post_columns(log), "engagement": fold.fold_engagement(log), "sub_state": state}
     )
 
 
@@ -208,8 +208,7 @@ def frames_after_cursor(spark, folder):
 
 @query
 def post_counters(spark, folder):
-    log = events.event_log(spark, folder)
-    return counters.with_counters(fold.fold_posts(log), fold.fold_engagement(log))
+    return collect.fold_log(events.event_log(spark, folder), with_counters=True).post
 
 
 @query
@@ -222,7 +221,7 @@ def post_counters_with_deleted(spark, folder):
 @query
 def subject_counts(spark, folder):
     log = events.event_log(spark, folder)
-    return counters.subject_counts(fold.fold_posts(log), fold.fold_engagement(log))
+    return counters.subject_counts(fold.fold_post_columns(log, ("rootUri",)), fold.fold_engagement(log))
 
 
 @query
