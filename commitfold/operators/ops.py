@@ -13,7 +13,8 @@ from ..functions.built import built_once
 from ..functions.variants import is_string, string_at
 from . import rules
 
-READABLE = "payload_unreadable"
+NOT_A_FRAME = "frame_unreadable"
+UNREADABLE = "payload_unreadable"
 NO_CID = "cid_missing"
 NO_BLOCK = "block_missing"
 
@@ -28,14 +29,16 @@ def frame_violations(frames: DataFrame) -> DataFrame:
 
     A line the reader could not parse at all is reported under its own name.
     """
-    checks = rules.frame_rules()
-    if S.CORRUPT in frames.columns:
-        checks = [rules.Rule("frame_unreadable", F.col(S.CORRUPT).isNull()), *checks]
-    else:
+    if S.CORRUPT not in frames.columns:
         frames = frames.withColumn(S.CORRUPT, F.lit(None).cast("string"))
-    return frames.select(
-        "kind", "seq", F.explode(rules.violations(checks)).alias("reason"), F.col(S.CORRUPT).alias("payload")
-    )
+    line = F.col(S.CORRUPT)
+    broken = F.when(line.isNotNull(), F.array(F.lit(NOT_A_FRAME))).otherwise(_frame_reasons())
+    return frames.select("kind", "seq", F.explode(broken).alias("reason"), line.alias("payload"))
+
+
+@built_once
+def _frame_reasons() -> Column:
+    return rules.violations(rules.frame_rules())
 
 
 @built_once
@@ -106,7 +109,7 @@ def _reasons() -> Column:
         F.when(F.col("action") == "delete", none)
         .when(cid.isNull() | (cid == ""), F.array(F.lit(NO_CID)))
         .when(F.col("payload").isNull(), F.array(F.lit(NO_BLOCK)))
-        .when(rec.isNull(), F.array(F.lit(READABLE)))
+        .when(rec.isNull(), F.array(F.lit(UNREADABLE)))
         .otherwise(by_type)
     )
 

@@ -106,9 +106,8 @@ def quarantine(spark: SparkSession, root: str) -> DataFrame:
 
 
 def rejected_frames(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema("kind string, seq bigint, reason string, payload string").parquet(
-        f"{root}/rejected_frames"
-    )
+    columns = "kind string, seq bigint, reason string, payload string"
+    return spark.read.schema(columns).parquet(f"{root}/rejected_frames").drop("batch")
 
 
 def positions(spark: SparkSession, root: str) -> DataFrame:
