@@ -145,9 +145,17 @@ def _with_text(ops: DataFrame, documents: DataFrame) -> DataFrame:
     return keyed.join(documents.select("doc_id", F.col("text").alias("doc_text")), "doc_id", "left").drop("doc_id")
 
 
-def event_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The operation log of the events (`schemas.OPS`)."""
-    ops = _with_text(event_ops(spark, folder), _table(spark, folder, "documents"))
+def event_log(spark: SparkSession, folder: str, text: bool = True) -> DataFrame:
+    """The operation log of the events (`schemas.OPS`).
+
+    Without `text` the posts' texts stay null and the documents are not read, for
+    results that do not show them.
+    """
+    ops = event_ops(spark, folder)
+    if text:
+        ops = _with_text(ops, _table(spark, folder, "documents"))
+    else:
+        ops = ops.withColumn("doc_text", F.lit(None).cast("string"))
     is_post = F.col("collection") == S.POST
     creates = F.col("action") == "create"
     post, engagement = is_post & creates, ~is_post & creates
@@ -168,7 +176,7 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
         commit_micros(F.col("seq")).alias("ingested_us"),
         F.when(creates, F.col("cid")).alias("cid"),
         F.when(creates, F.col("time")).alias("createdAt"),
-        F.when(post, tx.sanitize(F.col("doc_text"))).alias("text"),
+        F.when(post, tx.sanitize(F.col("doc_text")) if text else F.col("doc_text")).alias("text"),
         F.when(post, F.col("rootUri")).alias("rootUri"),
         F.when(post, F.when(F.col("rootUri") == "", "").otherwise(cid_of(F.col("rootUri")))).alias("rootCid"),
         carded(F.concat(F.lit("https://example.com/item/"), k)).alias("linkUrl"),

@@ -37,12 +37,16 @@ def _post(spark: SparkSession, folder: str) -> DataFrame:
     return fold.fold_posts(events.event_log(spark, folder))
 
 
+def _textless(spark: SparkSession, folder: str) -> DataFrame:
+    return events.event_log(spark, folder, text=False)
+
+
 def _post_times(spark: SparkSession, folder: str) -> DataFrame:
-    return fold.fold_post_columns(events.event_log(spark, folder))
+    return fold.fold_post_columns(_textless(spark, folder))
 
 
 def _engagement(spark: SparkSession, folder: str) -> DataFrame:
-    return fold.fold_engagement(events.event_log(spark, folder))
+    return fold.fold_engagement(_textless(spark, folder))
 
 
 def _frames(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,6 +57,13 @@ def _frame_log(spark: SparkSession, folder: str) -> DataFrame:
     return ops.log_from_frames(_frames(spark, folder), ops.frame_instant())
 
 
+def _written_frame_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The log as a written table: frames are decoded once, folds read it often."""
+    out = work_folder(spark, "log")
+    collect.write_log(_frames(spark, folder), out, ops.frame_instant())
+    return collect.read_log(spark, out)
+
+
 def _busiest(df: DataFrame, column: str) -> str:
     """The most frequent value of a column; of equals the smallest."""
     return df.groupBy(column).count().orderBy(F.desc("count"), column).first()[column]
@@ -69,7 +80,7 @@ def ops_exploded(spark, folder):
 
 @query
 def ops_by_collection_action(spark, folder):
-    return events.event_log(spark, folder).groupBy("collection", "action").agg(F.count(F.lit(1)).alias("n"))
+    return _textless(spark, folder).groupBy("collection", "action").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- state fold -----------------------------------------------------------------
@@ -88,7 +99,7 @@ def engagement_state(spark, folder):
 @query
 def engagement_state_hot_keys(spark, folder):
     """The same fold with its hottest uris taken through the broadcast branch."""
-    log = events.event_log(spark, folder)
+    log = _textless(spark, folder)
     hot = fold.hot_uris(fold.engagement_of(log), rows_per_task=5, fraction=1.0)
     return fold.fold_engagement(log, hot)
 
@@ -100,7 +111,7 @@ def compacted_post_state(spark, folder):
 
 @query
 def compacted_engagement_state(spark, folder):
-    return fold.fold_engagement(fold.compact_engagement(events.event_log(spark, folder)))
+    return fold.fold_engagement(fold.compact_engagement(_textless(spark, folder)))
 
 
 @query
@@ -165,7 +176,7 @@ def histogram_marks(spark, folder):
 @query
 def frame_report_by_type(spark, folder):
     """The report's type count on the tables collected from frames."""
-    tabs = collect.fold_log(_frame_log(spark, folder))
+    tabs = collect.fold_log(_written_frame_log(spark, folder))
     return report.report(tabs.post, tabs.engagement)["engagement_by_type"]
 
 
@@ -174,7 +185,7 @@ def frame_report_by_type(spark, folder):
 
 @query
 def table_inventory(spark, folder):
-    log = events.event_log(spark, folder)
+    log = _textless(spark, folder)
     state = progress.checkpoint_position(_frames(spark, folder), SERVICE)
     return tables.inventory(
         {"post": fold.fold_post_columns(log), "engagement": fold.fold_engagement(log), "sub_state": state}
@@ -213,14 +224,14 @@ def post_counters(spark, folder):
 
 @query
 def post_counters_with_deleted(spark, folder):
-    log = events.event_log(spark, folder)
+    log = _textless(spark, folder)
     full = counters.with_counters(fold.fold_posts(log), fold.fold_engagement(log), include_deleted=True)
     return full.select("uri", *counters.COUNTERS)
 
 
 @query
 def subject_counts(spark, folder):
-    log = events.event_log(spark, folder)
+    log = _textless(spark, folder)
     return counters.subject_counts(fold.fold_post_columns(log, ("rootUri",)), fold.fold_engagement(log))
 
 
@@ -423,7 +434,7 @@ def frame_post_state(spark, folder):
 
 @query
 def frame_engagement_state(spark, folder):
-    return fold.fold_engagement(_frame_log(spark, folder))
+    return fold.fold_engagement(_written_frame_log(spark, folder))
 
 
 @query
