@@ -58,10 +58,12 @@ def test_stream_equals_batch(spark, landed, tmp_path, compact_every):
 def test_restart_continues_and_repeated_batches_change_nothing(spark, tmp_path):
     root, path = str(tmp_path / "root"), str(tmp_path / "frames")
     first = frames(spark, commit(1, create(like())), commit(20, create(post())))
-    source.write(first, path)
+    source.write(first.coalesce(1), path)  # one file, so one batch
     run(spark, path, root)
-    source.write(frames(spark, commit(40, delete(S.LIKE)), commit(41, delete(S.POST))), path)
+    second = frames(spark, commit(40, delete(S.LIKE)), commit(41, delete(S.POST)))
+    source.write(second.coalesce(1), path)
     run(spark, path, root)
+    assert {r["batch"] for r in collector._landed(spark, root).select("batch").collect()} == {0, 1}
     got = collector.tables(spark, root)
     assert got.engagement.count() == 0
     assert [r["deletedAt"] for r in got.post.collect()] == ["2024-01-01T00:00:41.000Z"]
