@@ -4,8 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from verification.oracles import ORACLES
+from verification.queries import QUERIES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 )
@@ -22,6 +23,8 @@ def db(folder):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
