@@ -30,7 +30,6 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -52,6 +51,7 @@ RATE = 0.5
 SALTS = 16
 SMOOTH = 0.1
 START = HEAD + RARE_KEYS  # history before the text
+_MOST = np.float32(60)  # of a score; what exceeds it would not fit its exponential
 
 _MIX1, _MIX2, _MIX3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -86,10 +86,19 @@ class Vocabulary(NamedTuple):
 
 
 def vocabulary(counted: DataFrame, known: int = KNOWN) -> Vocabulary:
-    """Runs two jobs; at most `known` rows come back."""
-    sums = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("kinds")).first()
-    top = counted.orderBy(F.desc("n"), "token").limit(known).collect()
-    return Vocabulary(sums["total"], sums["kinds"], tuple(bytes(r["token"]) for r in top), tuple(r["n"] for r in top))
+    """Runs two jobs. What comes back has a bounded size: sums by step of the counts'
+    logarithm, then the tokens of the highest steps that hold no more than `known`."""
+    step = F.floor(F.log2("n") * 8)
+    sums = counted.groupBy(step.alias("step")).agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).collect()
+    room, least = known, None
+    for row in sorted(sums, key=lambda r: -r["step"]):
+        room -= row["kinds"]
+        if room < 0:
+            break
+        least = row["step"]
+    top = [] if least is None else counted.where(step >= least).collect()
+    top = sorted(((bytes(r["token"]), r["n"]) for r in top), key=lambda r: (-r[1], r[0]))
+    return Vocabulary(sum(r["n"] for r in sums), sum(r["kinds"] for r in sums), tuple(t for t, _ in top), tuple(n for _, n in top))
 
 
 class Model:
@@ -127,9 +136,9 @@ class Model:
         for i in range(1, rows.shape[1]):
             scores += weights[rows[:, i]]
         scores += bias
-        scores -= scores.max(1, keepdims=True)
+        np.minimum(scores, _MOST, out=scores)
         np.exp(scores, out=scores)
-        scores /= scores.sum(1, keepdims=True)
+        scores *= (1 / (scores @ np.ones(scores.shape[1], np.float32)))[:, None]
         return scores
 
     def log10(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -173,33 +182,40 @@ def _descend(weights: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> Non
     """One step for each feature; a row's gradient is the mean over its positions,
     weighted down where it has few."""
     for i in range(rows.shape[1]):
-        order = np.argsort(rows[:, i], kind="stable")
-        sorted_rows = rows[order, i]
+        own = rows[:, i].astype(np.uint16)  # sorted in linear time
+        order = np.argsort(own, kind="stable")
+        sorted_rows = own[order]
         begin = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
         sums = np.add.reduceat(gradient[order], begin, axis=0)
         n = np.diff(np.append(begin, len(order)))
         weights[sorted_rows[begin]] -= (RATE / rows.shape[1]) * sums / (n + 4)[:, None].astype(np.float32)
 
 
-class Lookup:
-    """What a task needs to number tokens."""
+class Numbers(dict):
+    """Ids of tokens: of the head by rank, of others by hash, remembered while they are few."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.head = {token: i for i, token in enumerate(vocabulary.known[:HEAD])}
-        self.count = dict(zip(vocabulary.known, vocabulary.n, strict=True))
+    def __init__(self, head: tuple[bytes, ...]):
+        super().__init__((token, i) for i, token in enumerate(head))
+        self._head = dict(self)
 
-    def number(self, of_text: list[bytes]) -> list[int]:
-        """Ids: of the head by rank, of others by hash."""
-        get = self.head.get
-        ids = [get(t, -1) for t in of_text]
-        if -1 in ids:
-            ids = [HEAD + _hashed(t) if i < 0 else i for i, t in zip(ids, of_text)]
-        return ids
+    def __missing__(self, token: bytes) -> int:
+        if len(self) > 200_000:
+            self.clear()
+            self.update(self._head)
+            if token in self._head:
+                return self._head[token]
+        made = self[token] = HEAD + int.from_bytes(hashlib.blake2b(token, digest_size=4).digest(), "big") % RARE_KEYS
+        return made
 
 
-@lru_cache(maxsize=200_000)
-def _hashed(token: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(token, digest_size=4).digest(), "big") % RARE_KEYS
+class Lookup:
+    """What a task needs to number and count tokens."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.numbers = Numbers(vocabulary.known[:HEAD])
+        self.head_counts = np.zeros(HEAD)
+        self.head_counts[: len(vocabulary.n[:HEAD])] = vocabulary.n[:HEAD]
+        self.count = dict(zip(vocabulary.known[HEAD:], vocabulary.n[HEAD:], strict=True))
 
 
 def _numbered(lookup: Lookup, of_texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +224,7 @@ def _numbered(lookup: Lookup, of_texts: list[list[bytes]]) -> tuple[np.ndarray,
     first = []
     for one in of_texts:
         first.append(len(ids))
-        ids += lookup.number(one)
+        ids += map(lookup.numbers.__getitem__, one)
     return np.array(ids, np.int64), np.array(first, np.int64)
 
 
@@ -359,11 +375,13 @@ def _scored(model: Model, lookup: Lookup, batch: pa.RecordBatch) -> pa.RecordBat
     for doc_id, one in zip(batch.column(1).to_pylist(), of_texts, strict=True):
         own_ids = ids[begin : begin + len(one)]
         begin += len(one)
-        found = [lookup.count.get(t, 0) for t in one]
-        n = np.array(found, np.float64)
         rare = own_ids >= HEAD
+        outside = [one[i] for i in np.flatnonzero(rare)]
+        found = [lookup.count.get(t, 0) for t in outside]
+        n = lookup.head_counts[np.minimum(own_ids, HEAD - 1)]
+        n[rare] = found
         near = n > 0
-        far = Counter(t for t, c in zip(one, found) if not c) if not near.all() else {}
+        far = Counter(t for t, c in zip(outside, found) if not c)
         log = np.log10(n[near] + SMOOTH)
         rows["n_tokens"].append(len(one))
         rows["n_known"].append(int(near.sum()))
