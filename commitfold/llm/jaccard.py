@@ -29,6 +29,7 @@ nothing else does; an empty table gives an empty table; other columns are ignore
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import work_folder
 from .common import importable, sheltered, written
 
 SHINGLE = 5
@@ -403,7 +405,7 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     answers = entries.groupBy("zone").applyInArrow(_shared_keys, _ROWS)
     sets = answers.groupBy("block").applyInArrow(lambda block: _sets(block, percent), _SETS)
     sets = written(sets, "sets")
-    live = sets.where("keys is not null").dropDuplicates(["digest"])
+    live = _kept_by_digest(sets.where("keys is not null"), 1 << zone_bits)
 
     found = components(links(live, percent)).withColumnRenamed("node", "digest")
     sizes = sets.groupBy("digest").agg(F.max("n").alias("n_shingles"))
@@ -418,6 +420,15 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     )
 
 
+def _kept_by_digest(sets: DataFrame, buckets: int) -> DataFrame:
+    """The sets, each once, written in buckets of the digest: joins by it do not move them."""
+    spark, name = sets.sparkSession, f"jaccard_{uuid.uuid4().hex}"
+    once = sets.repartition(buckets, "digest").dropDuplicates(["digest"])
+    writer = once.write.bucketBy(buckets, "digest").sortBy("digest").option("path", work_folder(spark, "live-sets"))
+    writer.format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The documents that name their component, with the columns given. Rows that repeat
     a naming doc_id all stay, and so do documents without an id."""
