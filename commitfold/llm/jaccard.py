@@ -44,7 +44,7 @@ from .common import importable, sheltered, written
 SHINGLE = 5
 PERCENT = 80
 KEY_BITS, DOC_BITS = 48, 12
-BLOCK_DOCS, BLOCK_KEYS = 1 << DOC_BITS, 2_000_000
+BLOCK_DOCS, BLOCK_KEYS = 1 << DOC_BITS, 1_000_000
 RANGE_KEYS = 1_500_000
 OFTEN = 64  # sets of a block from which a key is sent once
 
@@ -61,10 +61,14 @@ def _digest(of_text: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(of_text), digest_size=16).digest()
 
 
-def _shingles(of_texts: list[list[bytes]], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all shingles of some texts, and the number of the text of each."""
+def _hashed(of_text: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, of_text), np.uint64, len(of_text))
+
+
+def _shingles(of_texts: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all shingles of some texts of hashed words, and the number of the text of each."""
     lengths = np.array([len(t) for t in of_texts], np.int64)
-    every = np.fromiter((xxhash.xxh3_64_intdigest(w) for t in of_texts for w in t), np.uint64, int(lengths.sum()))
+    every = np.concatenate(of_texts) if of_texts else np.zeros(0, np.uint64)
     of = np.repeat(np.arange(len(of_texts)), lengths)
     starts = np.cumsum(lengths) - lengths
     n = max(len(every) - size + 1, 0)
@@ -121,7 +125,7 @@ _ARROW_ROWS = pa.schema(
 )
 
 
-def _block_rows(digests: list[bytes], of_texts: list[list[bytes]], size: int, zone_bits: int) -> Iterator[pa.RecordBatch]:
+def _block_rows(digests: list[bytes], of_texts: list[np.ndarray], size: int, zone_bits: int) -> Iterator[pa.RecordBatch]:
     """The rows of one block: what its documents are, and a run of entries per zone."""
     keys, owners = _shingles(of_texts, size)
     entries = np.unique((keys << np.uint64(DOC_BITS)) | owners.astype(np.uint64))
@@ -167,12 +171,12 @@ def _block_rows(digests: list[bytes], of_texts: list[list[bytes]], size: int, zo
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int, zone_bits: int) -> Iterator[pa.RecordBatch]:
     """Documents gathered into blocks; the same words only once in a block."""
-    held: dict[bytes, list[bytes]] = {}
+    held: dict[bytes, np.ndarray] = {}
     n = 0
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            of_text = words(text)
-            held[_digest(of_text)] = of_text
+        for text in batch.column(0):
+            of_text = words(text.as_py())
+            held[_digest(of_text)] = _hashed(of_text)
             n += len(of_text)
             if len(held) == BLOCK_DOCS or n >= BLOCK_KEYS:
                 yield from _block_rows(list(held), list(held.values()), size, zone_bits)
