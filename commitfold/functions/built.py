@@ -6,13 +6,13 @@ from collections.abc import Callable
 from functools import wraps
 from typing import TypeVar
 
-from pyspark import SparkContext
+from pyspark.sql import SparkSession
 
 Built = TypeVar("Built")
 
 
 def built_once(build: Callable[[], Built]) -> Callable[[], Built]:
-    """Keeps what `build` returns for as long as its Spark context lives.
+    """Keeps what `build` returns for as long as its Spark session is the active one.
 
     A column expression belongs to no DataFrame, so it can be used in any number of
     queries; assembling a large one takes longer than planning it.
@@ -21,10 +21,10 @@ def built_once(build: Callable[[], Built]) -> Callable[[], Built]:
 
     @wraps(build)
     def get() -> Built:
-        context = SparkContext.getOrCreate()
-        if kept.get("context") is not context:
+        session = SparkSession.getActiveSession()
+        if session is None or kept.get("session") is not session:
             kept["value"] = build()
-            kept["context"] = context
+            kept["session"] = session
         return kept["value"]
 
     return get

@@ -15,7 +15,7 @@ redelivery, so `fold(compact(a) + b) == fold(a + b)` for any split.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,6 +26,9 @@ from ..functions import times
 # sort compares numbers and looks at the text of equal hashes only.
 _KEY = ("uri_hash", "uri")
 
+# Commits in a part of a uri; a commit holds at most 200 operations.
+SPLIT = 10_000
+
 _POST_PAYLOAD = (
     "cid",
     "createdAt",
@@ -106,66 +109,40 @@ def fold_post_columns(log: DataFrame, payload: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def hot_uris(
-    log: DataFrame, rows_per_task: int = 5_000_000, fraction: float = 0.001, at_most: int = 1000
-) -> list[str]:
-    """Uris whose creates are too many for one join task. Runs a small job.
-
-    Counts a sample of the uri column. The list steers the physical plan only:
-    results are the same whatever it holds, and its length is bounded.
-    """
-    hits = F.col("count") >= max(1, int(rows_per_task * fraction))
-    counts = log.where(_is_create()).select("uri").sample(fraction=fraction, seed=1).groupBy("uri").count()
-    return [r["uri"] for r in counts.where(hits).orderBy(F.desc("count"), "uri").limit(at_most).collect()]
+def _last_deletes(log: DataFrame) -> DataFrame:
+    """The greatest delete position of each uri, combined before its shuffle."""
+    return log.where(_is_delete()).groupBy(*_KEY).agg(F.max("seq").alias("deleted_seq"))
 
 
-def _alive(
-    log: DataFrame, last_delete: DataFrame, hot: Sequence[str], reduce: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Creates not undone by a later delete of their uri, reduced per uri.
+def fold_engagement(log: DataFrame, split: int = SPLIT) -> DataFrame:
+    """The `engagement` table.
 
-    Cold uris: creates and last deletes meet by uri and `reduce` needs no further
-    exchange. Hot uris: their last deletes (at most one row per listed uri) are
-    broadcast, the creates stay where they are, and `reduce` combines them before
-    its shuffle.
+    Every uri is split along `seq` into parts of `split` commits, so the rows that meet
+    in one place are bounded by what that many commits can hold, however hot a uri is.
+    A last delete decides inside its own part only: earlier parts drop out whole, and of
+    a later part the first create is enough. What is left is one row per uri and part,
+    and the smallest of those from the delete's part on is the answer.
     """
-    creates = log.where(_is_create())
-
-    def surviving(some: DataFrame, gone: DataFrame) -> DataFrame:
-        joined = some.join(gone, [*_KEY], "left")
-        return reduce(joined.where(F.col("seq") >= F.coalesce("deleted_seq", F.lit(-1))))
-
-    if not hot:
-        return surviving(creates, last_delete)
-    is_hot = F.col("uri").isin(*hot)
-    return surviving(creates.where(~is_hot), last_delete.where(~is_hot)).unionByName(
-        surviving(creates.where(is_hot), F.broadcast(last_delete.where(is_hot)))
-    )
-
-
-def fold_engagement(log: DataFrame, hot: Sequence[str] | None = None) -> DataFrame:
-    """The `engagement` table. One narrow shuffle of deletes, one of creates.
-
-    `hot` names the uris to take through the broadcast branch; when not given they
-    are looked for first (see `hot_uris`).
-    """
-    log = engagement_of(log)
-    hot = hot_uris(log) if hot is None else hot
-    log = _keyed(log)
-    last_delete = log.where(_is_delete()).groupBy(*_KEY).agg(F.max("seq").alias("deleted_seq"))
-
-    def first_per_uri(alive: DataFrame) -> DataFrame:
-        return alive.groupBy(*_KEY).agg(F.min(_create(_ENGAGEMENT_PAYLOAD)).alias("first"))
-
-    return _alive(log, last_delete, hot, first_per_uri).select(
-        "uri",
-        "first.cid",
-        "first.subjectUri",
-        "first.subjectCid",
-        "first.type",
-        times.iso_millis(F.col("first.ingested_us")).alias("indexedAt"),
-        "first.createdAt",
-        "first.author",
+    log = _keyed(engagement_of(log)).withColumn("part", F.expr(f"seq div {split}"))
+    deletes = _last_deletes(log).withColumn("part", F.expr(f"deleted_seq div {split}"))
+    part = (*_KEY, "part")
+    alive = log.where(_is_create()).join(deletes, [*part], "left").where(F.col("seq") >= F.coalesce("deleted_seq", F.lit(-1)))
+    firsts = alive.groupBy(*part).agg(F.min(_create(_ENGAGEMENT_PAYLOAD)).alias("first"))
+    from_part = deletes.select(*_KEY, F.col("part").alias("from_part"))
+    kept = firsts.join(from_part, [*_KEY], "left").where(F.col("part") >= F.coalesce("from_part", F.lit(0)))
+    return (
+        kept.groupBy(*_KEY)
+        .agg(F.min("first").alias("first"))
+        .select(
+            "uri",
+            "first.cid",
+            "first.subjectUri",
+            "first.subjectCid",
+            "first.type",
+            times.iso_millis(F.col("first.ingested_us")).alias("indexedAt"),
+            "first.createdAt",
+            "first.author",
+        )
     )
 
 
@@ -206,27 +183,28 @@ def compact_posts(log: DataFrame) -> DataFrame:
     return creates.unionByName(_compact_deletes(log))
 
 
-def compact_engagement(log: DataFrame, hot: Sequence[str] | None = None) -> DataFrame:
+def compact_engagement(log: DataFrame) -> DataFrame:
     """The last delete of each uri and every distinct create not before it.
 
     All such creates are kept, not only the first: a late operation with a smaller
-    `seq` may still undo the earlier ones.
+    `seq` may still undo the earlier ones. Redeliveries are combined first, on a key that
+    spreads a hot uri; nothing is grouped after the join, so a hot uri can be split there.
     """
     log = engagement_of(log)
-    hot = hot_uris(log) if hot is None else hot
     deletes = _compact_deletes(log)
     key = ("uri", "seq", "op_idx")
     payload = [f.name for f in S.OPS.fields if f.name not in (*key, "ingested_us")]
-
-    def distinct(alive: DataFrame) -> DataFrame:
-        return alive.groupBy("uri_hash", *key).agg(F.min(F.struct("ingested_us", *payload)).alias("first"))
-
-    last_delete = _keyed(deletes).select(*_KEY, F.col("seq").alias("deleted_seq"))
-    creates = _alive(_keyed(log), last_delete, hot, distinct).select(
-        *[(f.name if f.name in key else f"first.{f.name}") for f in S.OPS.fields]
+    distinct = (
+        _keyed(log.where(_is_create()))
+        .groupBy("uri_hash", *key)
+        .agg(F.min(F.struct("ingested_us", *payload)).alias("first"))
+    )
+    alive = distinct.join(_last_deletes(_keyed(log)), [*_KEY], "left").where(
+        F.col("seq") >= F.coalesce("deleted_seq", F.lit(-1))
     )
+    creates = alive.select(*[(f.name if f.name in key else f"first.{f.name}") for f in S.OPS.fields])
     return creates.unionByName(deletes)
 
 
-def compact(log: DataFrame, hot: Sequence[str] | None = None) -> DataFrame:
-    return compact_posts(log).unionByName(compact_engagement(log, hot))
+def compact(log: DataFrame) -> DataFrame:
+    return compact_posts(log).unionByName(compact_engagement(log))

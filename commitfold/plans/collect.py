@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,13 +24,13 @@ class Tables(NamedTuple):
     engagement: DataFrame
 
 
-def fold_log(log: DataFrame, with_counters: bool = False, hot: Sequence[str] | None = None) -> Tables:
+def fold_log(log: DataFrame, with_counters: bool = False) -> Tables:
     """The two tables of a log.
 
     Posts with counters are shuffled once: the replies to count come from a fold of
     their own that carries nothing but root and deletion.
     """
-    engagement = fold.fold_engagement(log, hot)
+    engagement = fold.fold_engagement(log)
     if not with_counters:
         return Tables(fold.fold_posts(log), engagement)
     return Tables(_counted_posts(log, engagement), engagement)

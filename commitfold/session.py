@@ -11,6 +11,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     # Recording a call site for every column operation is most of the time it takes
     # to assemble the validation rules.
@@ -18,6 +19,13 @@ SETTINGS = {
 }
 
 
+def sized(shuffle_gb: float, partition_mb: int = 128) -> dict[str, str]:
+    """Settings for a largest shuffle of `shuffle_gb`: adaptive execution merges small
+    partitions, but never makes more of them than a shuffle started with."""
+    wanted = max(200, round(shuffle_gb * 1024 / partition_mb))
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted)}
+
+
 def build(master: str | None = None, app: str = "commitfold", **settings: str) -> SparkSession:
     """A session with the recommended settings; on a cluster the master is given
     by the submit command."""

@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
+from ..operators import ops
 
 
 def checkpoint_position(frames: DataFrame, service: str) -> DataFrame:
-    """The position to save: the greatest commit `seq` that is a multiple of the
-    checkpoint interval. No row where there is none."""
+    """The position to save: the greatest `seq` of a valid commit that is a multiple of
+    the checkpoint interval. No row where there is none; a rejected frame never moves it."""
     due = (F.col("kind") == "commit") & (F.col("seq") % S.CURSOR_EVERY == 0)
     return (
-        frames.where(due)
+        ops.valid_frames(frames.where(due))
         .agg(F.max("seq").alias("cursor"))
         .where(F.col("cursor").isNotNull())
         .select(F.lit(service).alias("service"), "cursor")

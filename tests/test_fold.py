@@ -80,9 +80,9 @@ def log_of(spark, rows):
     return spark.createDataFrame([tuple(r[n] for n in S.OPS.fieldNames()) for r in rows], S.OPS)
 
 
-def folded(log, hot=None):
+def folded(log, split=fold.SPLIT):
     post = {r["uri"]: (r["cid"], r["deletedAt"]) for r in fold.fold_posts(log).collect()}
-    engagement = {r["uri"]: r["cid"] for r in fold.fold_engagement(log, hot).collect()}
+    engagement = {r["uri"]: r["cid"] for r in fold.fold_engagement(log, split).collect()}
     return post, engagement
 
 
@@ -97,15 +97,14 @@ def test_equals_simulation(spark, seed):
     assert folded(log_of(spark, rows)) == expected(rows)
 
 
-def test_hot_uris_take_another_road_to_the_same_rows(spark):
+@pytest.mark.parametrize("split", [1, 2, 7])
+def test_split_uris_give_the_same_rows(spark, split):
     rows = random_ops(11)
     log = log_of(spark, rows)
-    hot = fold.hot_uris(fold.engagement_of(log), rows_per_task=30, fraction=1.0)
-    assert sorted(u.rsplit("/", 1)[1] for u in hot) == ["hot", "hot"]
-    assert fold.hot_uris(log) == []
-    assert folded(log, hot) == folded(log, ["at://unknown"]) == folded(log, ()) == expected(rows)
-    compacted = fold.compact(log, hot)
-    assert folded(compacted) == expected(rows)
+    assert folded(log, split) == expected(rows)
+    compacted = fold.compact(log)
+    assert folded(compacted, split) == expected(rows)
+
 
 
 def test_replay_and_order_do_not_matter(spark):
@@ -181,29 +180,18 @@ def test_one_shuffle_per_fold(spark, tmp_path):
     log = spark.read.schema(S.OPS).parquet(path)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        posts, engagement = plan(fold.fold_posts(log)), plan(fold.fold_engagement(log, ()))
+        posts, engagement = plan(fold.fold_posts(log)), plan(fold.fold_engagement(log))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert posts.count("Exchange hashpartitioning(uri_hash") == 1
     assert "partial_min" in posts and "partial_max" in posts
-    # Deletes are shuffled as (uri, max seq), creates once; the fold needs no third.
-    assert engagement.count("Exchange hashpartitioning(uri_hash") == 2
+    # Whole creates move once, by uri and part; the rest is a row per uri or per part.
+    # Below the join of the parts: creates, and the last deletes summed and dealt by part;
+    # above it a row per uri and part, and the last deletes again.
+    assert engagement.count("SortMergeJoin") == 2
+    assert engagement.count("Exchange hashpartitioning(uri_hash") == 5
     assert "SortMergeJoin" in engagement and "partial_max" in engagement
     for text in (posts, engagement):
         assert "PartitionFilters: [isnotnull(target" in text
         assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
     assert "PushedFilters: [IsNotNull(action), EqualTo(action,delete)" in engagement
-
-
-def test_hot_branch_moves_no_creates(spark, tmp_path):
-    path = str(tmp_path / "log")
-    log_of(spark, random_ops(1)).write.partitionBy("target").parquet(path)
-    log = spark.read.schema(S.OPS).parquet(path)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(fold.fold_engagement(log, ["at://hot"]))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    hot = text[text.index("BroadcastHashJoin") :]
-    assert "partial_min" in text[: text.index("BroadcastHashJoin")]
-    assert "BroadcastExchange" in hot

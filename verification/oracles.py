@@ -246,7 +246,7 @@ ORACLES: dict[str, str] = {
     "ops_by_collection_action": q(LOG, "SELECT collection, action, count(*) AS n FROM log GROUP BY 1, 2"),
     "post_state": q(TABLES, "SELECT * FROM post"),
     "engagement_state": q(TABLES, "SELECT * FROM engagement"),
-    "engagement_state_hot_keys": q(TABLES, "SELECT * FROM engagement"),
+    "engagement_state_split": q(TABLES, "SELECT * FROM engagement"),
     "compacted_post_state": q(TABLES, "SELECT * FROM post"),
     "compacted_engagement_state": q(TABLES, "SELECT * FROM engagement"),
     "compacted_log": q(

@@ -97,11 +97,9 @@ def engagement_state(spark, folder):
 
 
 @query
-def engagement_state_hot_keys(spark, folder):
-    """The same fold with its hottest uris taken through the broadcast branch."""
-    log = _textless(spark, folder)
-    hot = fold.hot_uris(fold.engagement_of(log), rows_per_task=5, fraction=1.0)
-    return fold.fold_engagement(log, hot)
+def engagement_state_split(spark, folder):
+    """The same fold with every uri split into many parts."""
+    return fold.fold_engagement(events.event_log(spark, folder), split=3)
 
 
 @query
