@@ -1,7 +1,8 @@
 """Operator 9: exact n-gram Jaccard join by set relations.
 
 Texts are sets of hashed word shingles; two link when the Jaccard index reaches the
-threshold. Rows with the same words are one class, found first, so copies cost nothing.
+threshold. Rows with the same words are one class. A task lays out a class once; where
+several tasks hold it, its sets are made one as soon as they are kept. Texts never move.
 
 Index. The sets are laid out in blocks of documents, and the entries of a block go to
 ranges of the key space as sorted runs. A range counts how many sets hold each key and
@@ -36,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import work_folder
@@ -125,8 +127,9 @@ _ARROW_ROWS = pa.schema(
 )
 
 
-def _block_rows(digests: list[bytes], of_texts: list[np.ndarray], size: int, zone_bits: int) -> Iterator[pa.RecordBatch]:
-    """The rows of one block: what its documents are, and a run of entries per zone."""
+def _block_rows(place: bytes, digests: list[bytes], of_texts: list[np.ndarray], size: int, zone_bits: int) -> Iterator[pa.RecordBatch]:
+    """The rows of one block: what its documents are, and a run of entries per zone. The
+    place tells blocks of the same documents apart."""
     keys, owners = _shingles(of_texts, size)
     entries = np.unique((keys << np.uint64(DOC_BITS)) | owners.astype(np.uint64))
     keys, owners = entries >> np.uint64(DOC_BITS), (entries & np.uint64(BLOCK_DOCS - 1)).astype(np.uint16)
@@ -134,7 +137,7 @@ def _block_rows(digests: list[bytes], of_texts: list[np.ndarray], size: int, zon
     begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     times = np.diff(np.append(begin, len(keys)))
     often = np.repeat(times > OFTEN, times)
-    name = hashlib.blake2b(b"".join(digests), digest_size=12).digest()
+    name = hashlib.blake2b(place + b"".join(digests), digest_size=12).digest()
     zones = 1 << zone_bits
     row = {
         "zone": int.from_bytes(name[:4], "big") % zones,
@@ -170,19 +173,30 @@ def _block_rows(digests: list[bytes], of_texts: list[np.ndarray], size: int, zon
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], size: int, zone_bits: int) -> Iterator[pa.RecordBatch]:
-    """Documents gathered into blocks; the same words only once in a block."""
+    """Documents gathered into blocks; the same words only once in a task."""
+    context = TaskContext.get()
+    task = context.partitionId() if context else 0
+    seen: set[bytes] = set()
     held: dict[bytes, np.ndarray] = {}
-    n = 0
+    n = made = 0
+
+    def block() -> Iterator[pa.RecordBatch]:
+        return _block_rows(b"%d/%d:" % (task, made), list(held), list(held.values()), size, zone_bits)
+
     for batch in batches:
         for text in batch.column(0):
             of_text = words(text.as_py())
-            held[_digest(of_text)] = _hashed(of_text)
+            digest = _digest(of_text)
+            if not of_text or digest in seen:
+                continue
+            seen.add(digest)
+            held[digest] = _hashed(of_text)
             n += len(of_text)
             if len(held) == BLOCK_DOCS or n >= BLOCK_KEYS:
-                yield from _block_rows(list(held), list(held.values()), size, zone_bits)
-                held, n = {}, 0
+                yield from block()
+                held, n, made = {}, 0, made + 1
     if held:
-        yield from _block_rows(list(held), list(held.values()), size, zone_bits)
+        yield from block()
 
 
 def _shared_keys(zone: pa.Table) -> pa.Table:
@@ -377,22 +391,17 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, row (the id, or a hash of the text where that is null), digest of the
-    words and their number."""
+    """doc_id, digest of the words and their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of_texts = [words(t) for t in batch.column(2).to_pylist()]
+            of_texts = [words(t) for t in batch.column(1).to_pylist()]
             digests = pa.array([_digest(t) for t in of_texts], pa.binary())
             n = pa.array([len(t) for t in of_texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), digests, n], names=["doc_id", "row", "digest", "n_words"])
-
-    return _rows(docs).mapInArrow(run, "doc_id bigint, row bigint, digest binary, n_words bigint")
-
+            yield pa.RecordBatch.from_arrays([batch.column(0), digests, n], names=["doc_id", "digest", "n_words"])
 
-def _rows(docs: DataFrame) -> DataFrame:
-    doc_id = F.col("doc_id").cast("bigint")
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.xxhash64("text")).alias("row"), "text")
+    numbered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return numbered.mapInArrow(run, "doc_id bigint, digest binary, n_words bigint")
 
 
 def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -402,10 +411,8 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     keyed = written(classes(docs), "classes")
     total = keyed.agg(F.sum("n_words")).first()[0] or 0
     zone_bits = max(2, (max(total, 1) // RANGE_KEYS).bit_length())
-    first = keyed.where("n_words > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("row").alias("any_row"))
-    rows = first.select(F.coalesce("least", "any_row").alias("row"))
-    texts = _rows(docs).join(rows, "row", "left_semi").select("text")
-    entries = texts.mapInArrow(lambda batches: _blocks(batches, size, zone_bits), _ROWS)
+    first = keyed.where("n_words > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    entries = docs.select("text").mapInArrow(lambda batches: _blocks(batches, size, zone_bits), _ROWS)
     answers = entries.groupBy("zone").applyInArrow(_shared_keys, _ROWS)
     sets = answers.groupBy("block").applyInArrow(lambda block: _sets(block, percent), _SETS)
     sets = written(sets, "sets")
@@ -425,9 +432,18 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
 
 
 def _kept_by_digest(sets: DataFrame, buckets: int) -> DataFrame:
-    """The sets, each once, written in buckets of the digest: joins by it do not move them."""
+    """The sets, each once, written in buckets of the digest: joins by it do not move them.
+    Sets of one digest are made one before they move, and again where they meet."""
     spark, name = sets.sparkSession, f"jaccard_{uuid.uuid4().hex}"
-    once = sets.repartition(buckets, "digest").dropDuplicates(["digest"])
+
+    def once_a_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            digests = batch.column("digest").to_pylist()
+            new = [d not in seen and not seen.add(d) for d in digests]
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    once = sets.mapInArrow(once_a_task, sets.schema).repartition(buckets, "digest").dropDuplicates(["digest"])
     writer = once.write.bucketBy(buckets, "digest").sortBy("digest").option("path", work_folder(spark, "live-sets"))
     writer.format("parquet").saveAsTable(name)
     return spark.table(name)
