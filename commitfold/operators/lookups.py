@@ -25,6 +25,18 @@ def _page(limit: int) -> int:
     return limit
 
 
+Cursor = tuple[str, str] | None
+
+
+def _latest(found: DataFrame, at: str, key: str, cursor: Cursor, limit: int) -> DataFrame:
+    """One page, latest first. The cursor is the (time, key) of the last row of the page
+    before; rows up to it are left out before anything is sorted."""
+    if cursor is not None:
+        last_at, last_key = cursor
+        found = found.where((F.col(at) < last_at) | ((F.col(at) == last_at) & (F.col(key) < last_key)))
+    return found.orderBy(F.desc(at), F.desc(key)).limit(_page(limit))
+
+
 # --- engagement ----------------------------------------------------------------
 
 
@@ -34,38 +46,42 @@ def subject_engagement(engagement: DataFrame, subject: str, type: int | None = N
 
 
 def actors_of(
-    engagement: DataFrame, subject: str, type: int, cid: str | None = None, limit: int = DEFAULT_PAGE
+    engagement: DataFrame,
+    subject: str,
+    type: int,
+    cid: str | None = None,
+    limit: int = DEFAULT_PAGE,
+    cursor: Cursor = None,
 ) -> DataFrame:
     """Who engaged with a subject, latest first."""
     found = subject_engagement(engagement, subject, type)
     if cid is not None:
         found = found.where(F.col("subjectCid") == cid)
-    return (
-        found.select("author", "uri", "subjectUri", "indexedAt", "createdAt")
-        .orderBy(F.desc("indexedAt"), F.desc("uri"))
-        .limit(_page(limit))
-    )
+    found = found.select("author", "uri", "subjectUri", "indexedAt", "createdAt")
+    return _latest(found, "indexedAt", "uri", cursor, limit)
 
 
-def likes_of(engagement: DataFrame, subject: str, cid: str | None = None, limit: int = DEFAULT_PAGE) -> DataFrame:
-    return actors_of(engagement, subject, TYPE_LIKE, cid, limit)
+def likes_of(
+    engagement: DataFrame, subject: str, cid: str | None = None, limit: int = DEFAULT_PAGE, cursor: Cursor = None
+) -> DataFrame:
+    return actors_of(engagement, subject, TYPE_LIKE, cid, limit, cursor)
 
 
-def reposted_by(engagement: DataFrame, subject: str, cid: str | None = None, limit: int = DEFAULT_PAGE) -> DataFrame:
-    return actors_of(engagement, subject, TYPE_REPOST, cid, limit)
+def reposted_by(
+    engagement: DataFrame, subject: str, cid: str | None = None, limit: int = DEFAULT_PAGE, cursor: Cursor = None
+) -> DataFrame:
+    return actors_of(engagement, subject, TYPE_REPOST, cid, limit, cursor)
 
 
-def liked_posts(post: DataFrame, engagement: DataFrame, actor: str, limit: int = DEFAULT_PAGE) -> DataFrame:
+def liked_posts(
+    post: DataFrame, engagement: DataFrame, actor: str, limit: int = DEFAULT_PAGE, cursor: Cursor = None
+) -> DataFrame:
     """Collected posts an actor liked, latest like first."""
     likes = engagement.where((F.col("author") == actor) & (F.col("type") == TYPE_LIKE)).select(
         F.col("subjectUri").alias("uri"), F.col("indexedAt").alias("likedAt"), F.col("uri").alias("likeUri")
     )
-    return (
-        post.join(likes, "uri")
-        .select("uri", "author", "text", "likedAt", "likeUri")
-        .orderBy(F.desc("likedAt"), F.desc("likeUri"))
-        .limit(_page(limit))
-    )
+    found = post.join(likes, "uri").select("uri", "author", "text", "likedAt", "likeUri")
+    return _latest(found, "likedAt", "likeUri", cursor, limit)
 
 
 # --- posts ---------------------------------------------------------------------
@@ -100,7 +116,11 @@ def author_posts(post: DataFrame, author: str) -> DataFrame:
 
 
 def author_feed(
-    post: DataFrame, author: str, filter: str = "posts_with_replies", limit: int = DEFAULT_PAGE
+    post: DataFrame,
+    author: str,
+    filter: str = "posts_with_replies",
+    limit: int = DEFAULT_PAGE,
+    cursor: Cursor = None,
 ) -> DataFrame:
     """An author's live posts, latest first, with or without replies."""
     if filter not in ("posts_with_replies", "posts_no_replies"):
@@ -108,7 +128,7 @@ def author_feed(
     found = author_posts(post, author).where(F.col("deletedAt").isNull())
     if filter == "posts_no_replies":
         found = found.where(F.col("rootUri") == "")
-    return found.orderBy(F.desc("indexedAt"), F.desc("uri")).limit(_page(limit))
+    return _latest(found, "indexedAt", "uri", cursor, limit)
 
 
 def thread(post: DataFrame, root: str) -> DataFrame:
@@ -120,14 +140,10 @@ def _matching(post: DataFrame, query: str) -> DataFrame:
     return post.where(F.col("deletedAt").isNull() & tx.contains_all(F.col("text"), query.split()))
 
 
-def search_posts(post: DataFrame, query: str, limit: int = DEFAULT_HITS) -> DataFrame:
+def search_posts(post: DataFrame, query: str, limit: int = DEFAULT_HITS, cursor: Cursor = None) -> DataFrame:
     """Live posts containing every term of the query, ignoring case, latest first."""
-    return (
-        _matching(post, query)
-        .select("uri", "cid", "author", "text", "indexedAt")
-        .orderBy(F.desc("indexedAt"), F.desc("uri"))
-        .limit(_page(limit))
-    )
+    found = _matching(post, query).select("uri", "cid", "author", "text", "indexedAt")
+    return _latest(found, "indexedAt", "uri", cursor, limit)
 
 
 def search_total(post: DataFrame, query: str) -> DataFrame:

@@ -13,6 +13,8 @@ the query's checkpoint once the batch is done.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -65,8 +67,10 @@ def _base(spark: SparkSession, root: str) -> tuple[int, str | None]:
     """Last batch covered by the newest announced base, and where that base is."""
     try:
         manifest = spark.read.schema(_MANIFEST).json(f"{root}/manifest")
-    except AnalysisException:  # nothing compacted yet
-        return -1, None
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1, None  # nothing compacted yet
     newest = manifest.orderBy(F.desc("upto")).limit(1).collect()
     return (newest[0]["upto"], newest[0]["path"]) if newest else (-1, None)
 
@@ -89,9 +93,13 @@ def log(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
 
 
 def compact(spark: SparkSession, root: str, upto: int) -> None:
-    """Writes a compacted log of everything up to and including a finished batch."""
-    path = f"{root}/base/upto={upto}"
-    fold.compact(log(spark, root, upto)).write.mode("overwrite").partitionBy("target").parquet(path)
+    """Writes a compacted log of everything up to and including a finished batch, unless
+    an announced base has it already. Every run writes a folder of its own and announces
+    it last, so no base is ever replaced."""
+    if _base(spark, root)[0] >= upto:
+        return
+    path = f"{root}/base/upto={upto}-{uuid.uuid4().hex}"
+    fold.compact(log(spark, root, upto)).write.partitionBy("target").parquet(path)
     spark.createDataFrame([(upto, path)], _MANIFEST).coalesce(1).write.mode("append").json(f"{root}/manifest")
 
 

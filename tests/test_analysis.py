@@ -274,3 +274,15 @@ def test_adapter_sizes(spark, folder):
     assert log.where("target = 'engagement' and action = 'create'").count() == 398
     assert events.event_frames(spark, folder).where("kind = 'commit' or kind is null").count() == 250
     assert CID
+
+
+def test_pages_walk_through_everything_once(spark):
+    liked = [(f"u{i}", "s", S.TYPE_LIKE, f"2024-01-0{1 + i // 3}") for i in range(9)]
+    engagement = spark.createDataFrame(liked, "uri string, subjectUri string, type int, indexedAt string").selectExpr(
+        "*", "'a' AS author", "'c' AS subjectCid", "'t' AS createdAt"
+    )
+    seen, cursor = [], None
+    while page := lookups.likes_of(engagement, "s", limit=2, cursor=cursor).collect():
+        seen += [r["uri"] for r in page]
+        cursor = page[-1]["indexedAt"], page[-1]["uri"]
+    assert seen == [f"u{i}" for i in reversed(range(9))]

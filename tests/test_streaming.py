@@ -78,6 +78,26 @@ def test_restart_continues_and_repeated_batches_change_nothing(spark, tmp_path):
     assert [r["likes_count"] for r in counted.collect()] == [0]
 
 
+def test_compaction_never_replaces_a_base(spark, tmp_path):
+    root, path = str(tmp_path / "root"), str(tmp_path / "frames")
+    source.write(frames(spark, commit(1, create(like())), commit(2, create(post()))).coalesce(1), path)
+    run(spark, path, root)
+    files = lambda: sorted((str(f), f.stat().st_mtime_ns) for f in (tmp_path / "root" / "base").rglob("*.parquet"))
+    collector.compact(spark, root, 0)
+    first, before = files(), rows(collector.tables(spark, root).post)
+    collector.compact(spark, root, 0)
+    assert files() == first
+    assert rows(collector.tables(spark, root).post) == before
+
+
+def test_a_manifest_that_cannot_be_read_is_an_error(spark, tmp_path):
+    assert collector._base(spark, str(tmp_path)) == (-1, None)
+    (tmp_path / "manifest").mkdir()
+    (tmp_path / "manifest" / "a.json.gz").write_text("not compressed")
+    with pytest.raises(Exception):
+        collector._base(spark, str(tmp_path))
+
+
 def test_unreadable_lines_are_quarantined(spark, tmp_path):
     path, root = tmp_path / "frames", str(tmp_path / "root")
     path.mkdir()

@@ -362,6 +362,32 @@ ORACLES: dict[str, str] = {
         f"""SELECT {ACTOR_COLUMNS} FROM engagement WHERE type = 1 AND subjectUri = {BUSY_SUBJECT}
             ORDER BY indexedAt DESC, uri DESC LIMIT 50""",
     ),
+    "likes_of_subject_next_page": q(
+        TABLES,
+        f"""SELECT {ACTOR_COLUMNS} FROM engagement WHERE type = 2 AND subjectUri = {BUSY_SUBJECT}
+            ORDER BY indexedAt DESC, uri DESC LIMIT 3 OFFSET 1""",
+    ),
+    "reposters_of_subject_next_page": q(
+        TABLES,
+        f"""SELECT {ACTOR_COLUMNS} FROM engagement WHERE type = 1 AND subjectUri = {BUSY_SUBJECT}
+            ORDER BY indexedAt DESC, uri DESC LIMIT 3 OFFSET 1""",
+    ),
+    "posts_liked_by_actor_next_page": q(
+        TABLES,
+        f"""SELECT p.uri, p.author, p.text, e.indexedAt AS likedAt, e.uri AS likeUri
+            FROM engagement e JOIN post p ON p.uri = e.subjectUri
+            WHERE e.type = 2 AND e.author = {BUSY_ACTOR} ORDER BY e.indexedAt DESC, e.uri DESC LIMIT 3 OFFSET 1""",
+    ),
+    "author_feed_next_page": q(
+        TABLES,
+        f"""SELECT * FROM post WHERE author = {BUSY_AUTHOR} AND deletedAt IS NULL
+            ORDER BY indexedAt DESC, uri DESC LIMIT 3 OFFSET 1""",
+    ),
+    "post_search_next_page": q(
+        FRAME_TABLES,
+        f"""SELECT uri, cid, author, text, indexedAt FROM post WHERE {MATCH}
+            ORDER BY indexedAt DESC, uri DESC LIMIT 3 OFFSET 1""",
+    ),
     "posts_liked_by_actor": q(
         TABLES,
         f"""SELECT p.uri, p.author, p.text, e.indexedAt AS likedAt, e.uri AS likeUri

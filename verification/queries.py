@@ -8,6 +8,7 @@ engaged subject, the busiest author, ...), read as one row.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -338,6 +339,45 @@ def repo_records_next_page(spark, folder):
     return lookups.repo_records(post, _busiest(post, "author"), S.POST, cursor="2", reverse=True, limit=3)
 
 
+def _next_page(look: Callable[..., DataFrame], at: str, key: str) -> DataFrame:
+    """The page after a first one of one row."""
+    last = look(limit=1).collect()
+    return look(limit=3, cursor=(last[-1][at], last[-1][key]) if last else None)
+
+
+@query
+def likes_of_subject_next_page(spark, folder):
+    engagement = _engagement(spark, folder)
+    look = partial(lookups.likes_of, engagement, _busiest(engagement, "subjectUri"))
+    return _next_page(look, "indexedAt", "uri")
+
+
+@query
+def reposters_of_subject_next_page(spark, folder):
+    engagement = _engagement(spark, folder)
+    look = partial(lookups.reposted_by, engagement, _busiest(engagement, "subjectUri"))
+    return _next_page(look, "indexedAt", "uri")
+
+
+@query
+def posts_liked_by_actor_next_page(spark, folder):
+    engagement = _engagement(spark, folder)
+    look = partial(lookups.liked_posts, _post(spark, folder), engagement, _busiest(engagement, "author"))
+    return _next_page(look, "likedAt", "likeUri")
+
+
+@query
+def author_feed_next_page(spark, folder):
+    post = _post(spark, folder)
+    return _next_page(partial(lookups.author_feed, post, _busiest(post, "author")), "indexedAt", "uri")
+
+
+@query
+def post_search_next_page(spark, folder):
+    post = fold.fold_posts(_frame_log(spark, folder))
+    return _next_page(partial(lookups.search_posts, post, TERMS), "indexedAt", "uri")
+
+
 # --- text, formats --------------------------------------------------------------
 
 
