@@ -395,10 +395,13 @@ def classes(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of_texts = [words(t) for t in batch.column(1).to_pylist()]
-            digests = pa.array([_digest(t) for t in of_texts], pa.binary())
-            n = pa.array([len(t) for t in of_texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), digests, n], names=["doc_id", "digest", "n_words"])
+            digests, n = [], []
+            for text in batch.column(1):  # the words of one text at a time are held
+                of_text = words(text.as_py())
+                digests.append(_digest(of_text))
+                n.append(len(of_text))
+            made = [batch.column(0), pa.array(digests, pa.binary()), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(made, names=["doc_id", "digest", "n_words"])
 
     numbered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return numbered.mapInArrow(run, "doc_id bigint, digest binary, n_words bigint")
