@@ -15,14 +15,21 @@ from ..session import work_folder
 SPACES = b" \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
+# Python workers are kept between tasks. These settings of the C library make them give
+# freed arrays back to the system instead of holding them while others work.
+_GIVE_BACK = {"MALLOC_MMAP_THRESHOLD_": "524288", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 
 def importable(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it, as with
-    `spark.executorEnv.PYTHONPATH`; on a cluster without that path ship it with --py-files."""
+    `spark.executorEnv.PYTHONPATH`; on a cluster without that path ship it with --py-files.
+    Workers started after this also return freed memory (`_GIVE_BACK`), where nothing else is set."""
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+    for name, value in _GIVE_BACK.items():
+        spark.sparkContext.environment.setdefault(name, value)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
