@@ -16,8 +16,8 @@ SPACES = b" \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 # Python workers are kept between tasks. These settings of the C library make them give
-# freed arrays back to the system instead of holding them while others work.
-_GIVE_BACK = {"MALLOC_MMAP_THRESHOLD_": "524288", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+# freed large arrays back to the system instead of holding them while others work.
+_GIVE_BACK = {"MALLOC_MMAP_THRESHOLD_": "4194304", "MALLOC_TRIM_THRESHOLD_": "8388608", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def importable(spark: SparkSession) -> None:

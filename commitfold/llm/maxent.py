@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -132,9 +133,9 @@ class Model:
 
     def chances(self, rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
         """Softmax probabilities of each position."""
-        scores = weights[rows[:, 0]]
+        scores = weights.take(rows[:, 0], axis=0)
         for i in range(1, rows.shape[1]):
-            scores += weights[rows[:, i]]
+            scores += weights.take(rows[:, i], axis=0)
         scores += bias
         np.minimum(scores, _MOST, out=scores)
         np.exp(scores, out=scores)
@@ -186,46 +187,52 @@ def _descend(weights: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> Non
         order = np.argsort(own, kind="stable")
         sorted_rows = own[order]
         begin = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
-        sums = np.add.reduceat(gradient[order], begin, axis=0)
+        sums = np.add.reduceat(gradient.take(order, axis=0), begin, axis=0)
         n = np.diff(np.append(begin, len(order)))
         weights[sorted_rows[begin]] -= (RATE / rows.shape[1]) * sums / (n + 4)[:, None].astype(np.float32)
 
 
-class Numbers(dict):
-    """Ids of tokens: of the head by rank, of others by hash, remembered while they are few."""
+class Lookup(dict):
+    """What a task needs to number and count tokens: a place for each, of known tokens by
+    rank, of others in the order they are met, remembered while they are few."""
 
-    def __init__(self, head: tuple[bytes, ...]):
-        super().__init__((token, i) for i, token in enumerate(head))
-        self._head = dict(self)
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__(zip(vocabulary.known, range(len(vocabulary.known))))
+        self.known = len(vocabulary.known)
+        self._first = dict(self)
+        self._ids = np.array([*range(min(self.known, HEAD)), *map(_rare_id, vocabulary.known[HEAD:])], np.int64)
+        self._others = array("q")
+        self._counts = np.array([*vocabulary.n, 0], np.float64)
 
     def __missing__(self, token: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-            self.update(self._head)
-            if token in self._head:
-                return self._head[token]
-        made = self[token] = HEAD + int.from_bytes(hashlib.blake2b(token, digest_size=4).digest(), "big") % RARE_KEYS
+        made = self[token] = self.known + len(self._others)
+        self._others.append(_rare_id(token))
         return made
 
+    def places(self, of_texts: list[list[bytes]]) -> np.ndarray:
+        """Places of the tokens of some texts end to end; good until the next call."""
+        if len(self._others) > 200_000:
+            self.clear()
+            self.update(self._first)
+            self._others = array("q")
+        return np.array([place for one in of_texts for place in map(self.__getitem__, one)], np.int64)
+
+    def ids(self, places: np.ndarray) -> np.ndarray:
+        """Of the head by rank, of others by hash."""
+        return np.append(self._ids, np.array(self._others, np.int64))[places]
 
-class Lookup:
-    """What a task needs to number and count tokens."""
+    def counts(self, places: np.ndarray) -> np.ndarray:
+        return self._counts[np.minimum(places, self.known)]
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.numbers = Numbers(vocabulary.known[:HEAD])
-        self.head_counts = np.zeros(HEAD)
-        self.head_counts[: len(vocabulary.n[:HEAD])] = vocabulary.n[:HEAD]
-        self.count = dict(zip(vocabulary.known[HEAD:], vocabulary.n[HEAD:], strict=True))
+
+def _rare_id(token: bytes) -> int:
+    return HEAD + int.from_bytes(hashlib.blake2b(token, digest_size=4).digest(), "big") % RARE_KEYS
 
 
-def _numbered(lookup: Lookup, of_texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of some texts end to end, and where each text begins."""
-    ids: list[int] = []
-    first = []
-    for one in of_texts:
-        first.append(len(ids))
-        ids += map(lookup.numbers.__getitem__, one)
-    return np.array(ids, np.int64), np.array(first, np.int64)
+def _begins(of_texts: list[list[bytes]]) -> np.ndarray:
+    """Where each text begins when they stand end to end."""
+    lengths = np.array([len(one) for one in of_texts], np.int64)
+    return np.cumsum(lengths) - lengths
 
 
 def _empty() -> np.ndarray:
@@ -261,8 +268,9 @@ def _changes(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, weights)
     lookup, seen = Lookup(vocabulary), 0
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
-            ids, first = _numbered(lookup, [tokens(t) for t in texts(batch.slice(at, 256))])
-            model.learn(ids, first)
+            of_texts = [tokens(t) for t in texts(batch.slice(at, 256))]
+            ids = lookup.ids(lookup.places(of_texts))
+            model.learn(ids, _begins(of_texts))
             seen += len(ids)
     if not seen:
         return
@@ -368,20 +376,17 @@ def _lookup(shared) -> Lookup:
 def _scored(model: Model, lookup: Lookup, batch: pa.RecordBatch) -> pa.RecordBatch:
     """Everything about some documents but the counts of tokens beyond the known ones."""
     of_texts = [tokens(t) for t in texts(batch)]
-    ids, first = _numbered(lookup, of_texts)
+    places, first = lookup.places(of_texts), _begins(of_texts)
+    ids, counted = lookup.ids(places), lookup.counts(places)
     logs = np.add.reduceat(model.log10(ids, first), first) if len(first) else np.zeros(0)
     rows = {name: [] for name in ("n_tokens", "n_known", "n_rare", "n_far", "known_logs", "rare_logs", "digest", "far")}
     begin = 0
     for doc_id, one in zip(batch.column(1).to_pylist(), of_texts, strict=True):
-        own_ids = ids[begin : begin + len(one)]
+        cut = slice(begin, begin + len(one))
         begin += len(one)
-        rare = own_ids >= HEAD
-        outside = [one[i] for i in np.flatnonzero(rare)]
-        found = [lookup.count.get(t, 0) for t in outside]
-        n = lookup.head_counts[np.minimum(own_ids, HEAD - 1)]
-        n[rare] = found
+        rare, n = ids[cut] >= HEAD, counted[cut]
         near = n > 0
-        far = Counter(t for t, c in zip(outside, found) if not c)
+        far = Counter(one[i] for i in np.flatnonzero(places[cut] >= lookup.known))
         log = np.log10(n[near] + SMOOTH)
         rows["n_tokens"].append(len(one))
         rows["n_known"].append(int(near.sum()))
