@@ -258,7 +258,8 @@ def event_frames(spark: SparkSession, folder: str) -> DataFrame:
 
     Defects of an operation go by `(event_id + k) mod 61`: see `EXTRA`; 29 is a
     create without cid, 30 one whose block is missing, 41 an update, 42 a record
-    of another collection. Defects of a commit go by `seq mod 50`. Every tenth
+    of another collection. Defects of a commit go by `seq mod 50`, and by `seq mod 100`
+    for those at which a position would be saved. Every tenth
     commit is followed by a frame of another kind, some of them invalid.
     """
     ops = event_ops(spark, folder).withColumn("defect", (F.col("event_id") + F.col("k")) % DEFECT_NUMBERS)
@@ -287,7 +288,7 @@ def event_frames(spark: SparkSession, folder: str) -> DataFrame:
         "seq",
         F.lit(False).alias("rebase"),
         F.lit(False).alias("tooBig"),
-        F.when(g == 1, "not a did").otherwise(F.col("repo")).alias("repo"),
+        F.when((g == 1) | (F.col("seq") % 100).isin(0, 40, 80), "not a did").otherwise(F.col("repo")).alias("repo"),
         cid_of(F.concat(F.lit("commit "), F.col("seq").cast("string"))).alias("commit"),
         F.when(g != 3, F.concat(F.lit("rev"), F.col("seq").cast("string"))).alias("rev"),
         F.map_from_entries(F.transform(blocks, lambda o: F.struct(o["key"], o["payload"]))).alias("records"),

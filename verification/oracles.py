@@ -121,6 +121,10 @@ def _case(defects: dict) -> str:
     return f"CASE {whens} END"
 
 
+# Commits that break a frame rule: among them such that would save a position.
+BAD_DID = "(seq % 50 = 1 OR seq % 100 IN (0, 40, 80))"
+BAD_COMMIT = f"(seq % 50 BETWEEN 1 AND 5 OR {BAD_DID})"
+
 FRAMES = f"""{OPS},
 fops AS (
   SELECT *, CASE WHEN d = 41 THEN 'update' ELSE action END AS act,
@@ -128,7 +132,7 @@ fops AS (
     CASE WHEN action = 'create' AND d <> 29 THEN cid0 END AS cid,
     CASE WHEN k % 2 = 1 THEN 'Event ' || event_id || ' of kind ' || event_type || ' by user ' || user_id
          ELSE doc_text END AS words
-  FROM (SELECT *, (event_id + k) % 61 AS d FROM ops) WHERE seq % 50 NOT IN (1, 2, 3, 4, 5)),
+  FROM (SELECT *, (event_id + k) % 61 AS d FROM ops) WHERE NOT {BAD_COMMIT}),
 fop AS (SELECT * REPLACE ('at://' || repo || '/' || coll || '/' || rkey AS uri) FROM fops),
 creates AS (SELECT * FROM fop WHERE act = 'create' AND coll <> 'app.bsky.graph.follow'),
 broken AS (
@@ -238,8 +242,8 @@ def q(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select}"
 
 
-CURSOR = """SELECT 'events' AS service, max(seq) AS cursor FROM commits
-WHERE seq % 20 = 0 AND seq % 50 <> 5 HAVING max(seq) IS NOT NULL"""
+CURSOR = f"""SELECT 'events' AS service, max(seq) AS cursor FROM commits
+WHERE seq % 20 = 0 AND NOT {BAD_COMMIT} HAVING max(seq) IS NOT NULL"""
 
 ORACLES: dict[str, str] = {
     "ops_exploded": q(LOG, "SELECT target, seq, op_idx, action, collection, uri, author, cid FROM log"),
@@ -303,11 +307,11 @@ ORACLES: dict[str, str] = {
     "cursor_progress": q(OTHER, CURSOR),
     "frames_after_cursor": q(
         OTHER,
-        f"""SELECT seq, CASE WHEN seq % 50 = 1 THEN 'not a did' ELSE repo END AS repo,
+        f"""SELECT seq, CASE WHEN {BAD_DID} THEN 'not a did' ELSE repo END AS repo,
              CASE WHEN seq % 50 <> 3 THEN 'rev' || seq END AS rev,
              CASE WHEN seq % 50 = 2 THEN 'yesterday' ELSE time END AS time
             FROM commits WHERE seq % 50 <> 5 AND seq > (
-              SELECT max(seq) FROM commits WHERE seq % 20 = 0
+              SELECT max(seq) FROM commits WHERE seq % 20 = 0 AND NOT {BAD_COMMIT}
               AND seq <= (SELECT max(seq) FROM commits WHERE seq % 50 <> 5) // 2)""",
     ),
     "post_counters": q(f"{TABLES},{COUNTS}", COUNTED),
@@ -433,9 +437,9 @@ ORACLES: dict[str, str] = {
         FROM p""",
     "frame_violations": q(
         OTHER,
-        """SELECT CASE WHEN seq % 50 <> 5 THEN 'commit' END AS kind, seq,
+        f"""SELECT CASE WHEN seq % 50 <> 5 THEN 'commit' END AS kind, seq,
              CASE seq % 50 WHEN 4 THEN 'V02_repo_op' WHEN 5 THEN 'frame_kind' ELSE 'V01_commit' END AS reason
-           FROM commits WHERE seq % 50 BETWEEN 1 AND 5
+           FROM commits WHERE {BAD_COMMIT}
            UNION ALL
            SELECT kind, CASE WHEN kind <> 'info' THEN seq END,
              CASE kind WHEN 'handle' THEN 'V03_handle' WHEN 'migrate' THEN 'V04_migrate'
@@ -444,7 +448,7 @@ ORACLES: dict[str, str] = {
     ),
     "valid_frames_by_kind": q(
         OTHER,
-        """SELECT 'commit' AS kind, count(*) AS n FROM commits WHERE seq % 50 NOT BETWEEN 1 AND 5
+        f"""SELECT 'commit' AS kind, count(*) AS n FROM commits WHERE NOT {BAD_COMMIT}
            UNION ALL SELECT kind, count(*) FROM other WHERE NOT bad GROUP BY kind""",
     ),
     "frame_ops": q(
