@@ -5,7 +5,9 @@ of letters and digits, near a word that announces something sensitive. Its novel
 the number of bytes that zstandard needs for it on top of the text around it, with a
 dictionary of the corpus's own identifiers: an identifier, a path or a repetition of
 what stands nearby costs a few bytes, a random key costs nearly as many as it has
-characters. Candidates above a share of bytes per character are reported as `novel`.
+characters. Candidates above a share of bytes per character are reported as `novel`. What
+is reported already and copies of the candidate itself do not count as text around it,
+and a string that is novel once is reported wherever else it stands in the document.
 
 The identifiers are counted over all documents; the dictionary is made of the most
 frequent ones up to a fixed size. It holds no digits, so a secret that stands in a
@@ -19,6 +21,7 @@ columns pass in `redacted` and are left out of the report. Offsets are code poin
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -42,7 +45,8 @@ KINDS = ("assign", "access", "hex", "novel")
 # A text without any of these, in lower case, has no assignment.
 _ASSIGNED = ("passw", "secret", "token", "api")
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+LEAST_RUN = 16
+CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}")
 SENSITIVE = re.compile(r"passw|passphrase|secret|token|api_?key|credential|private|bearer|auth", re.IGNORECASE)
 NEAR = 48  # characters before a candidate in which a sensitive word counts
 CONTEXT = 256  # characters before a candidate that prime the compressor
@@ -86,6 +90,7 @@ class Novelty:
         found: list[Span] = []
         if not SENSITIVE.search(text):
             return found
+        taken = _joined(base)
         for match in CANDIDATE.finditer(text):
             start, end = match.span()
             run = match.group()
@@ -93,9 +98,61 @@ class Novelty:
                 continue
             if any(s < end and start < e for _, s, e in base) or not SENSITIVE.search(text, max(0, start - NEAR), start):
                 continue
-            if self.bytes_for(run, text[max(0, start - CONTEXT) : start]) >= least * len(run):
+            if self.bytes_for(run, _around(text, start, taken).replace(run, "")) >= least * len(run):
                 found.append(("novel", start, end))
-        return found
+                insort(taken, (start, end))
+        return found + _further(text, found, base) if found else found
+
+
+def _joined(spans: list[Span]) -> list[tuple[int, int]]:
+    """What some spans cover, as [start, end) pairs in order and apart."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted((s, e) for _, s, e in spans):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], end)
+        else:
+            out.append((start, end))
+    return out
+
+
+def _around(text: str, start: int, taken: list[tuple[int, int]]) -> str:
+    """The characters before a candidate, without the spans that are reported already."""
+    out, upto = [], max(0, start - CONTEXT)
+    # What reaches into the context begins in it, or is the last one to begin before.
+    for s, e in taken[max(0, bisect_left(taken, (upto, 0)) - 1) :]:
+        if s >= start:
+            break
+        out.append(text[upto:s])
+        upto = max(upto, e)
+    return "".join([*out, text[upto:start]])
+
+
+def _further(text: str, found: list[Span], base: list[Span]) -> list[Span]:
+    """Every other place of the strings found, wherever it is in the text, that touches no
+    span. Runs of key characters are searched by what the strings begin with."""
+    begins: dict[str, set[str]] = {}
+    for _, start, end in found:
+        begins.setdefault(text[start : start + LEAST_RUN], set()).add(text[start:end])
+    reported = _joined(base + found)
+    more: list[Span] = []
+    at = 0
+    for match in CANDIDATE.finditer(text):
+        i, end = match.span()
+        while i + LEAST_RUN <= end:
+            while at < len(reported) and reported[at][1] <= i:
+                at += 1
+            if at < len(reported) and reported[at][0] <= i:
+                i = reported[at][1]
+                continue
+            room = min(end, reported[at][0]) if at < len(reported) else end
+            known = [k for k in begins.get(text[i : i + LEAST_RUN], ()) if i + len(k) <= room and text.startswith(k, i)]
+            if known:
+                longest = max(map(len, known))
+                more.append(("novel", i, i + longest))
+                i += longest
+            else:
+                i += 1
+    return more
 
 
 @lru_cache(maxsize=2)

@@ -89,6 +89,25 @@ def test_secrets(docs, rows, empty):
     assert secrets.report(secrets.spans_of(empty, secrets.dictionary(empty))).count() == 0
 
 
+def test_secrets_that_repeat(spark):
+    key = "Zq7Lx0Vb3Nw9Rt5Yk2Pd8Hs"
+    texts = [
+        f"Authorization: Bearer {key}\nAuthorization: Bearer {key}\n",
+        f"see {key} {'of course ' * 8} the bearer is {key}",
+        f"the bearer is {key} {'of course ' * 80} x{key}/y",
+        f"password={key} and then bearer {key}",
+        f"the bearer is {key} and auth-x={key}, bearer {key}",
+    ]
+    own = secrets.novelty(b"")
+    for text in texts:
+        base = secrets.base_spans(text)
+        spans = sorted(base + own.spans(text, base, secrets.NOVELTY), key=lambda s: s[1])
+        assert all(a[2] <= b[1] for a, b in zip(spans, spans[1:]))
+        assert all(any(s <= m.start() and m.end() <= e for _, s, e in spans) for m in re.finditer(key, text)), text
+    marked = secrets.redacted(spark.createDataFrame(enumerate(texts), "doc_id int, text string"), b"")
+    assert marked.where(F.col("text").contains(key)).count() == 0
+
+
 def test_sharding(docs, rows, empty):
     got = sharding.interleave(docs, shards=4, rows_per_bucket=3).collect()
     sizes = Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
