@@ -30,6 +30,7 @@ nothing else does; an empty table gives an empty table; other columns are ignore
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -390,31 +391,29 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return followed.select("a", "b").union(led.where("linked").select("a", "b")).union(more)
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, digest of the words and their number."""
+def classes(docs: DataFrame, *also: str) -> DataFrame:
+    """doc_id, digest of the words and their number, and the columns named besides."""
+    kept = ["doc_id", *also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, n = [], []
-            for text in batch.column(1):  # the words of one text at a time are held
+            for text in batch.column("text"):  # the words of one text at a time are held
                 of_text = words(text.as_py())
                 digests.append(_digest(of_text))
                 n.append(len(of_text))
-            made = [batch.column(0), pa.array(digests, pa.binary()), pa.array(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays(made, names=["doc_id", "digest", "n_words"])
+            made = [*map(batch.column, kept), pa.array(digests, pa.binary()), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(made, names=[*kept, "digest", "n_words"])
 
-    numbered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return numbered.mapInArrow(run, "doc_id bigint, digest binary, n_words bigint")
+    numbered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *also)
+    return numbered.mapInArrow(run, f"doc_id bigint, {''.join(f'{c} bigint, ' for c in also)}digest binary, n_words bigint")
 
 
-def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id per document. Runs jobs and writes tables under
-    the shared folder."""
-    importable(docs.sparkSession)
-    keyed = written(classes(docs), "classes")
+def _grouped(docs: DataFrame, keyed: DataFrame, first: DataFrame, size: int, percent: int) -> DataFrame:
+    """`first`, a row per digest of the written classes, with n_shingles and component (a
+    digest)."""
     total = keyed.agg(F.sum("n_words")).first()[0] or 0
     zone_bits = max(2, (max(total, 1) // RANGE_KEYS).bit_length())
-    first = keyed.where("n_words > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
     entries = docs.select("text").mapInArrow(lambda batches: _blocks(batches, size, zone_bits), _ROWS)
     answers = entries.groupBy("zone").applyInArrow(_shared_keys, _ROWS)
     sets = answers.groupBy("block").applyInArrow(lambda block: _sets(block, percent), _SETS)
@@ -423,7 +422,16 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
 
     found = components(links(live, percent)).withColumnRenamed("node", "digest")
     sizes = sets.groupBy("digest").agg(F.max("n").alias("n_shingles"))
-    known = first.join(sizes, "digest").join(found, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    return first.join(sizes, "digest").join(found, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+
+
+def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id per document. Runs jobs and writes tables under
+    the shared folder."""
+    importable(docs.sparkSession)
+    keyed = written(classes(docs), "classes")
+    first = keyed.where("n_words > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    known = _grouped(docs, keyed, first, size, percent)
     named = known.groupBy("component").agg(F.min("least").alias("component_id"))
     of_class = known.join(named, "component").select("digest", "n_shingles", "component_id")
     full = keyed.join(of_class, "digest", "left")
@@ -453,9 +461,39 @@ def _kept_by_digest(sets: DataFrame, buckets: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents that name their component, with the columns given. Rows that repeat
-    a naming doc_id all stay, and so do documents without an id."""
-    found = similar(docs.select("doc_id", "text"), size, percent)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    docs, restored = sheltered(docs, "doc_id")
-    return restored(docs.join(gone, F.col("doc_id").cast("bigint") == F.col("gone_id"), "left_anti"))
+    """One row of each component, with the columns given: that of the smallest doc_id,
+    rows without one last, and of rows of one doc_id that of the smallest hash. Rows
+    without words have no component; of those equal in all columns one stays.
+
+    Rows are told apart by two hashes of what they hold, so a doc_id may be missing or
+    stand on several rows, and reading the documents again finds the same rows."""
+    importable(docs.sparkSession)
+    docs, restored = sheltered(docs, "doc_id", "text")
+    docs = _row_keyed(docs)
+    keyed = written(classes(docs, *_ROW), "classes")
+    pick = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *_ROW)
+    first = keyed.where("n_words > 0").groupBy("digest").agg(F.min(pick).alias("pick"))
+    best = _grouped(docs, keyed, first, size, percent).groupBy("component").agg(F.min("pick").alias("pick"))
+    stay = best.select(*[f"pick.{c}" for c in _ROW]).union(keyed.where("n_words = 0").select(*_ROW).distinct())
+
+    def once_a_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in _ROW])
+            yield batch.filter(pa.array([r not in seen and not seen.add(r) for r in rows], pa.bool_()))
+
+    # Equal rows are made one before they move, and again where they meet.
+    once = docs.mapInArrow(once_a_task, docs.schema)
+    return restored(once.join(stay, list(_ROW)).dropDuplicates(list(_ROW)))
+
+
+_ROW = ("row_a", "row_b")
+
+
+def _row_keyed(docs: DataFrame) -> DataFrame:
+    """The documents with two hashes: of all columns that can be hashed, and of id and text.
+    Nulls leave a hash as it is, so where they stand goes in too."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if not re.search(r"\b(map<|variant)", f.dataType.simpleString())]
+    own = [F.col("doc_id"), F.col("text")]
+    hashed = lambda of, salt: F.xxhash64(F.lit(salt), *of, *[c.isNull() for c in of])
+    return docs.select("*", hashed(plain, 1).alias(_ROW[0]), hashed(own, 2).alias(_ROW[1]))

@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near and exact copies the one with the smallest doc_id."""
+    """Of near and exact copies one row, that of the smallest doc_id."""
     importable(spark)
     return jaccard.one_of_each(docs)
 

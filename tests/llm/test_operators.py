@@ -224,6 +224,23 @@ def test_jaccard(docs, rows, empty):
     assert jaccard.similar(empty).count() == 0
 
 
+def test_one_row_of_each_component(spark):
+    rng = random.Random(7)
+    text = lambda: " ".join(str(rng.randrange(10**6)) for _ in range(80))
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (2, a + " end", "x"), (None, a, "x"), (None, a, "x")]  # one group
+    rows += [(None, b, "x"), (None, b, "x"), (None, b + " end", None)]  # without ids
+    rows += [(3, c, "x"), (5, c + " end", "x"), (5, d, "x")]  # 5 stands on a near copy and on a text of its own
+    rows += [(9, None, "x"), (9, None, "x"), (9, "", "x"), (None, " ", "x"), (None, " ", "x"), (None, " ", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    groups = [{a, a + " end"}, {b, b + " end"}, {c, c + " end"}, {d}]
+    for parts in (1, 5):
+        stays = [tuple(r) for r in jaccard.one_of_each(docs.repartition(parts)).collect()]
+        assert Counter(next(i for i, g in enumerate(groups) if r[1] in g) for r in stays if r[1] and r[1].strip()) == Counter(range(4))
+        assert {r[:2] for r in stays} >= {(1, a), (3, c), (5, d)}
+        assert Counter(r for r in stays if not (r[1] or "").strip()) == Counter([(9, None, "x"), (9, "", "x"), (None, " ", "x"), (None, " ", None)])
+
+
 def test_jaccard_of_drifting_copies(spark):
     """Chains of edits: links between followers of different leaders decide."""
     rng = random.Random(5)
