@@ -1,7 +1,7 @@
 """Operator 2: secret scans by patterns and by dictionary-primed compression.
 
-Patterns give the base spans. Beyond them, a candidate is a run of key characters, mixed
-of letters and digits, near a word that announces something sensitive. Its novelty is
+Patterns give the base spans. Beyond them, a candidate is a run of key characters near a
+word that names something sensitive, on either side of it. Its novelty is
 the number of bytes that zstandard needs for it on top of the text around it, with a
 dictionary of the corpus's own identifiers: an identifier, a path or a repetition of
 what stands nearby costs a few bytes, a random key costs nearly as many as it has
@@ -48,7 +48,7 @@ _ASSIGNED = ("passw", "secret", "token", "api")
 LEAST_RUN = 16
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}")
 SENSITIVE = re.compile(r"passw|passphrase|secret|token|api_?key|credential|private|bearer|auth", re.IGNORECASE)
-NEAR = 48  # characters before a candidate in which a sensitive word counts
+NEAR = 48  # characters before and after a candidate in which a sensitive word counts
 CONTEXT = 256  # characters before a candidate that prime the compressor
 NOVELTY = 0.6  # bytes per character from which a candidate is novel
 DICTIONARY_BYTES = 16_384
@@ -94,9 +94,9 @@ class Novelty:
         for match in CANDIDATE.finditer(text):
             start, end = match.span()
             run = match.group()
-            if run.isalpha() or not any(map(str.isdigit, run)) or not any(map(str.isalpha, run)):
+            if any(s < end and start < e for _, s, e in base):
                 continue
-            if any(s < end and start < e for _, s, e in base) or not SENSITIVE.search(text, max(0, start - NEAR), start):
+            if not SENSITIVE.search(text, max(0, start - NEAR), start) and not SENSITIVE.search(text, end, end + NEAR):
                 continue
             if self.bytes_for(run, _around(text, start, taken).replace(run, "")) >= least * len(run):
                 found.append(("novel", start, end))

@@ -108,6 +108,16 @@ def test_secrets_that_repeat(spark):
     assert marked.where(F.col("text").contains(key)).count() == 0
 
 
+def test_secrets_of_one_kind_of_character_and_before_their_word():
+    own = secrets.novelty(b"river_station_configuration_reader")
+    for key in ("ZqLxVbNwRtYkPdHsGmJc", "8301749265018374926150", "Zq7Lx0Vb3Nw9Rt5Yk2Pd8Hs"):
+        for text in (f"the bearer is {key} here", f"{key} is the bearer here"):
+            assert [text[s:e] for _, s, e in own.spans(text, [], secrets.NOVELTY)] == [key]
+    assert own.spans("the bearer is river_station_configuration_reader here, or ================", [], secrets.NOVELTY) == []
+    far = "and so on " * 8
+    assert own.spans(f"the bearer {far} ZqLxVbNwRtYkPdHsGmJc {far} the bearer", [], secrets.NOVELTY) == []
+
+
 def test_sharding(docs, rows, empty):
     got = sharding.interleave(docs, shards=4, rows_per_bucket=3).collect()
     sizes = Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
