@@ -35,10 +35,10 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the bytes they decode to."""
+    """The ids, their number, and digests of them and of the bytes they decode to."""
     importable(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.encode(docs, path, public_tokenizers.PATTERN, with_ids=False)
+    return bpe.encode(docs, path, public_tokenizers.PATTERN)
 
 
 STAGES: list[tuple[str, Stage]] = [

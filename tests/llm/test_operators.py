@@ -313,3 +313,9 @@ def test_pipeline(spark, folder):
         assert now.columns == docs.columns, name
     last = corpus_pipeline.STAGES[-1][1](spark, now, folder)
     assert 0 < last.count() == now.count() < docs.count()
+
+
+def test_pipeline_ends_with_the_ids(spark, docs, rows):
+    encoded = corpus_pipeline.STAGES[-1][1](spark, docs, "")
+    back = bpe.decode(encoded, queries.BPE_RANKS, public_tokenizers.PATTERN).collect()
+    assert Counter((r["doc_id"], bytes(r["decoded"])) for r in back) == Counter((r[0], (r[1] or "").encode()) for r in rows)
