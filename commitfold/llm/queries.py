@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontaminate, jaccard, maxent, quality, secrets, sharding, token_counts, url_lists, warc
+from . import bpe, decontaminate, fim, jaccard, maxent, merkle, quality, repeats, secrets, sharding, token_counts, url_lists, warc
 from .common import hex_unit, table, written
 from ..session import work_folder
 
@@ -98,6 +98,28 @@ def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op11_merkle_butterfly(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    tampered = F.when(changed, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    shown = merkle.leaf(["doc_id", "source", "lang", tampered, "text"])
+    rows = docs.select("doc_id", "lang", shown.alias("shown"), merkle.leaf(docs.columns).alias("own"))
+    proved = merkle.manifest(rows, F.col("own"), "lang", "doc_id")
+    proof = F.sha2(F.array_join(merkle.siblings(F.col("path")), ""), 256)
+    out = proved.select(F.col("doc_id").cast("bigint").alias("doc_id"), "leaf", "subroot", "root", proof.alias("proof_sha256"), merkle.folded(F.col("shown"), F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fim.restored(fim.transform(table(spark, folder, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_prefix_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.cut(table(spark, folder, "documents"), with_kept=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -111,6 +133,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_temporal_lists,
         op9_set_relations,
         op10_warc_revisits,
+        op11_merkle_butterfly,
+        op12_fill_in_middle,
+        op13_prefix_intervals,
     )
 }
 
@@ -121,6 +146,10 @@ def _unit(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 8))::BIGINT"
 
 
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode(({value})::VARCHAR))::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
 ORACLES: dict[str, str] = {
     "op4_benchmark_automaton": rf"""
 WITH d AS (
@@ -192,5 +221,67 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN original IS NULL OR page_id IS NOT DISTINCT FROM original THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id IS DISTINCT FROM original THEN original END AS refers_to, true AS intact
 FROM o
+""",
+    "op11_merkle_butterfly": f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rn, doc_id, lang, {_field('doc_id')} || {_field('source')} || {_field('lang')} AS a, {_field('text')} AS z, n_chars,
+         list_reduce([4294967295] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1])),
+                     lambda c, x: CASE WHEN x >= 0 THEN xor(c, x::BIGINT) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS crc
+  FROM documents),
+l AS (
+  SELECT rn, doc_id, lang, sha256(a || {_field('n_chars')} || z) AS leaf,
+         sha256(a || {_field('CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END')} || z) AS shown
+  FROM d),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l),
+t AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY i) AS nodes FROM p GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda j: sha256(nodes[2 * j + 1] || coalesce(nodes[2 * j + 2], '')))
+  FROM t WHERE len(nodes) > 1),
+subroots AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM t WHERE len(nodes) = 1),
+u AS (
+  SELECT 0 AS level, list(subroot ORDER BY i) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda j: sha256(nodes[2 * j + 1] || coalesce(nodes[2 * j + 2], '')))
+  FROM u WHERE len(nodes) > 1),
+below AS (SELECT lang, level, unnest(nodes) AS node, unnest(range(len(nodes))) AS i, len(nodes) AS n FROM t),
+above AS (SELECT level, unnest(nodes) AS node, unnest(range(len(nodes))) AS i, len(nodes) AS n FROM u),
+up AS (
+  SELECT rn, lang, i, 0 AS level, '' AS proof, shown AS fold FROM p
+  UNION ALL
+  SELECT up.rn, up.lang, up.i // 2, up.level + 1, up.proof || coalesce(s.node, ''),
+         sha256(CASE WHEN up.i % 2 = 0 THEN up.fold || coalesce(s.node, '') ELSE s.node || up.fold END)
+  FROM up JOIN t ON t.lang IS NOT DISTINCT FROM up.lang AND t.level = up.level AND len(t.nodes) > 1
+  LEFT JOIN below s ON s.lang IS NOT DISTINCT FROM up.lang AND s.level = up.level AND s.i = xor(up.i, 1)),
+mid AS (
+  SELECT up.rn, b.subroot, b.i, up.proof, up.fold
+  FROM up JOIN t ON t.lang IS NOT DISTINCT FROM up.lang AND t.level = up.level AND len(t.nodes) = 1
+  JOIN subroots b ON b.lang IS NOT DISTINCT FROM up.lang),
+top AS (
+  SELECT rn, subroot, i, 0 AS level, proof, fold FROM mid
+  UNION ALL
+  SELECT top.rn, top.subroot, top.i // 2, top.level + 1, top.proof || coalesce(s.node, ''),
+         sha256(CASE WHEN top.i % 2 = 0 THEN top.fold || coalesce(s.node, '') ELSE s.node || top.fold END)
+  FROM top JOIN u ON u.level = top.level AND len(u.nodes) > 1 LEFT JOIN above s ON s.level = top.level AND s.i = xor(top.i, 1))
+SELECT l.doc_id, l.leaf, top.subroot, u.nodes[1] AS root, sha256(top.proof) AS proof_sha256, top.fold AS folded_root, top.fold = u.nodes[1] AS verified
+FROM top JOIN u ON u.level = top.level AND len(u.nodes) = 1 JOIN l USING (rn)
+""",
+    "op12_fill_in_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS k,
+         sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+c AS (
+  SELECT doc_id, t, k, len(k)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(k) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (len(k) + 1) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+e AS (
+  SELECT *, array_to_string(k[1:least(x, y)], '') AS p, array_to_string(k[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(k[greatest(x, y) + 1:], '') AS s
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM e
 """,
 }
