@@ -53,6 +53,43 @@ def valid_frames(frames: DataFrame) -> DataFrame:
     return frames.where(_is_valid_frame())
 
 
+def judged_frames(frames: DataFrame) -> DataFrame:
+    """All frames with `frame_reasons`, the names of the broken frame rules (empty for a
+    valid one, an unreadable line under its own name), worked out once."""
+    if S.CORRUPT not in frames.columns:
+        frames = frames.withColumn(S.CORRUPT, F.lit(None).cast("string"))
+    none = F.array().cast("array<string>")
+    unreadable = F.col(S.CORRUPT).isNotNull()
+    broken = F.when(unreadable, F.array(F.lit(NOT_A_FRAME))).when(_is_valid_frame(), none).otherwise(_frame_reasons())
+    return frames.select("*", F.explode(F.array(broken)).alias("frame_reasons"))
+
+
+def landed_position() -> Column:
+    """The position to save (`progress.checkpoint_position`) as an aggregate of judged frames."""
+    due = (F.col("kind") == "commit") & (F.col("seq") % S.CURSOR_EVERY == 0) & (F.size("frame_reasons") == 0)
+    return F.max(F.when(due, F.col("seq")))
+
+
+def landed(judged: DataFrame, ingested: Column | None = None) -> DataFrame:
+    """Everything that is kept of judged frames, in one pass: the log columns, `reasons` and
+    `payload` of tracked operations (target `quarantine` where a rule is broken), and a row
+    with target `frame` and the frame's kind for each rejected frame."""
+    rejected = F.size("frame_reasons") > 0
+    nothing = F.array(F.lit(None).cast(S.REPO_OP))
+    listed = F.when(rejected, nothing).when(F.col("kind") == "commit", F.col("ops"))
+    exploded = judged.select("kind", "seq", "repo", "time", "records", "frame_reasons", S.CORRUPT, F.posexplode(listed).alias("op_idx", "op"))
+    kept = exploded.select(*_op_columns(), "kind", "frame_reasons", S.CORRUPT)
+    kept = kept.where(rejected | _is_tracked())
+    none = F.array().cast("array<string>")
+    reasons = F.when(rejected, F.col("frame_reasons")).when(_is_valid(), none).otherwise(_reasons())
+    kept = with_record(kept).withColumn("reasons", F.explode(F.array(reasons)))
+    broken = F.size("reasons") > 0
+    payload = F.when(rejected, F.col(S.CORRUPT)).when(broken, F.col("payload"))
+    target = F.when(F.size("frame_reasons") > 0, "frame").when(broken, "quarantine").otherwise(F.col("target"))
+    out = to_log(kept, ingested, extra=["reasons", payload.alias("payload"), "kind", "frame_reasons"])
+    return out.withColumn("target", target).drop("frame_reasons")
+
+
 def explode_ops(frames: DataFrame) -> DataFrame:
     """One row per repository operation, keeping its position in the commit.
 
@@ -61,8 +98,12 @@ def explode_ops(frames: DataFrame) -> DataFrame:
     exploded = commits(frames).select(
         "seq", "repo", "time", "records", F.posexplode("ops").alias("op_idx", "op")
     )
+    return exploded.select(*_op_columns())
+
+
+def _op_columns() -> list:
     path = F.col("op.path")
-    return exploded.select(
+    return [
         "seq",
         "op_idx",
         F.col("repo").alias("author"),
@@ -72,7 +113,7 @@ def explode_ops(frames: DataFrame) -> DataFrame:
         tx.collection_of(path).alias("collection"),
         F.col("op.cid").alias("cid"),
         F.when(F.col("op.action") == "create", F.try_element_at("records", F.col("op.cid"))).alias("payload"),
-    )
+    ]
 
 
 def tracked(ops: DataFrame) -> DataFrame:
@@ -81,7 +122,11 @@ def tracked(ops: DataFrame) -> DataFrame:
     Updates, unknown actions and other collections produce nothing. The type
     test is equality: the repost id also ends in "post".
     """
-    return ops.where(F.col("action").isin("create", "delete") & F.col("collection").isin(*S.COLLECTIONS))
+    return ops.where(_is_tracked())
+
+
+def _is_tracked() -> Column:
+    return F.col("action").isin("create", "delete") & F.col("collection").isin(*S.COLLECTIONS)
 
 
 def with_record(ops: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
+from .seq_stream import SeqStream
 
 _JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT}
 
@@ -37,6 +38,14 @@ def stream(spark: SparkSession, path: str, fmt: str = "json", files_per_batch: i
     return reader.load(path)
 
 
+def stream_after(spark: SparkSession, path: str, position: int | str = 0, **options) -> DataFrame:
+    """Frames landed as Parquet, by position: those after a known one, or with `tail` what
+    lands from now on. The query's checkpoint holds positions (`seq_stream`)."""
+    spark.dataSource.register(SeqStream)
+    reader = spark.readStream.format(SeqStream.name()).option("path", path).option("start", str(position))
+    return reader.options(**options).load()
+
+
 def stream_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "latest", **options) -> DataFrame:
     """Frames from a topic of JSON messages; starts at the live tail by default.
 

@@ -6,7 +6,7 @@ resumption and reporting.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
 from ..operators import ops
@@ -39,3 +39,22 @@ def after_cursor(frames: DataFrame, state: DataFrame, service: str) -> DataFrame
     """Frames not yet covered by the saved position; all of them without one."""
     position = cursor(state, service)
     return frames if position is None else frames.where(F.col("seq") > position)
+
+
+def saved(spark: SparkSession, database: str) -> DataFrame:
+    """The `sub_state` table of a database, empty before anything is saved."""
+    if spark.catalog.tableExists(f"{database}.sub_state"):
+        return spark.table(f"{database}.sub_state")
+    return spark.createDataFrame([], S.SUB_STATE_TABLE)
+
+
+def save(spark: SparkSession, database: str, service: str, position: int | None) -> None:
+    """Upserts a service's position, which never moves back. The table has a row per service,
+    so it is a view of its rows: replacing it is one step, and a reader sees all or nothing."""
+    if position is None:
+        return
+    update = spark.createDataFrame([(service, position)], S.SUB_STATE_TABLE)
+    rows = merge(saved(spark, database), update).orderBy("service").collect()
+    quoted = lambda name: "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    listed = ", ".join(f"({quoted(r['service'])}, cast({r['cursor']} as bigint))" for r in rows)
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.sub_state AS SELECT * FROM VALUES {listed} AS t(service, cursor)")

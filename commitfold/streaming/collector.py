@@ -1,9 +1,13 @@
 """Structured Streaming collector.
 
-Each micro-batch adds one folder to the operation log; nothing is rewritten while
-the stream runs. The tables are the fold of the log, so they can be read at any
-moment (`tables`). `compact` replaces the log up to a batch by a smaller one with
-the same fold, written beside it and then announced in the manifest; readers take
+Each micro-batch adds one folder to the operation log, in one pass over its frames;
+nothing is rewritten while the stream runs. The tables are the fold of the log, so they
+can be read at any moment (`tables`).
+
+Two ways keep that cheap, both run beside the stream and not in its batches. `advance`
+takes finished batches into standing tables in the catalog; `standing` reads those with
+the batches after them. `compact` replaces the log up to a batch by a smaller one with the
+same fold, written beside it and then announced in the manifest; readers of the log take
 the announced base with the largest batch and the log after it.
 
 A batch writes to folders named after its id and overwrites them, so a batch
@@ -20,11 +24,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
-from ..operators import fold, ops
+from ..operators import fold
 from ..plans import collect
-from ..sources import progress
+from ..sources import base
 
 _MANIFEST = "upto bigint, path string"
+_POSITION = "service string, cursor bigint"
 
 
 def start(
@@ -32,28 +37,19 @@ def start(
     root: str,
     service: str = "default",
     ingested: Column | None = None,
-    compact_every: int | None = None,
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Starts the collector on a stream of frames.
 
-    `trigger` goes to the writer, for example `{"availableNow": True}`. With
-    `compact_every` the log is compacted after every so many batches.
+    `trigger` goes to the writer, for example `{"availableNow": True}`. The position of a
+    batch is written after its log, so it also says that the batch is whole.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            collect.write_log(batch, f"{root}/log/batch={batch_id}", ingested, mode="overwrite")
-            ops.frame_violations(batch).write.mode("overwrite").parquet(f"{root}/rejected_frames/batch={batch_id}")
-            progress.checkpoint_position(batch, service).write.mode("overwrite").parquet(
-                f"{root}/progress/batch={batch_id}"
-            )
-        finally:
-            batch.unpersist()
-        if compact_every is not None and (batch_id + 1) % compact_every == 0:
-            compact(batch.sparkSession, root, batch_id)
+        cursor = collect.write_log(batch, f"{root}/log/batch={batch_id}", ingested, mode="overwrite")
+        position = batch.sparkSession.createDataFrame([(service, cursor)], _POSITION)
+        position.coalesce(1).write.mode("overwrite").parquet(f"{root}/progress/batch={batch_id}")
 
     writer = frames.writeStream.foreachBatch(land).option("checkpointLocation", f"{root}/checkpoint")
     if trigger is not None:
@@ -108,17 +104,51 @@ def tables(spark: SparkSession, root: str, with_counters: bool = False) -> colle
     return collect.fold_log(log(spark, root), with_counters)
 
 
+def _finished(spark: SparkSession, root: str) -> int:
+    """The last whole batch, -1 before the first."""
+    saved = spark.read.schema(f"{_POSITION}, batch bigint").parquet(f"{root}/progress")
+    last = saved.agg(F.max("batch")).first()[0]
+    return -1 if last is None else last
+
+
+def _between(spark: SparkSession, root: str, after: int, upto: int) -> DataFrame:
+    """The log of the batches after one and up to another, without a look at the others."""
+    folders = [f"{root}/log/batch={b}" for b in range(after + 1, upto + 1)]
+    if not folders:
+        return spark.createDataFrame([], S.OPS)
+    landed = spark.read.schema(collect.LOG_FILE).option("basePath", f"{root}/log").parquet(*folders)
+    return landed.where(F.col("target").isin("post", "engagement")).select(*S.OPS.fieldNames())
+
+
+def advance(spark: SparkSession, root: str, database: str, buckets: int) -> None:
+    """Takes the finished batches that are not in them yet into the standing tables. Work
+    and shuffle grow with those batches and not with the history; the standing tables are
+    read and written in their buckets."""
+    known = base.current(spark, database)
+    done, last = -1 if known is None or known.batch is None else known.batch, _finished(spark, root)
+    if last > done:
+        base.advance(_between(spark, root, done, last), database, buckets, batch=last)
+
+
+def standing(spark: SparkSession, root: str, database: str, with_counters: bool = False) -> base.Standing:
+    """The current tables: the standing ones and the finished batches after them."""
+    known = base.current(spark, database)
+    done, last = -1 if known is None or known.batch is None else known.batch, _finished(spark, root)
+    tail = _between(spark, root, done, last) if last > done or known is None else None
+    return base.tables(spark, database, tail, with_counters)
+
+
 def quarantine(spark: SparkSession, root: str) -> DataFrame:
     """Rejected operations, one row per broken rule."""
     return collect.rejected(_landed(spark, root))
 
 
 def rejected_frames(spark: SparkSession, root: str) -> DataFrame:
-    columns = "kind string, seq bigint, reason string, payload string"
-    return spark.read.schema(columns).parquet(f"{root}/rejected_frames").drop("batch")
+    """Rejected frames, one row per broken rule."""
+    return collect.rejected_frames(_landed(spark, root))
 
 
 def positions(spark: SparkSession, root: str) -> DataFrame:
     """The `sub_state` table of the stream: one row per service."""
-    saved = spark.read.schema("service string, cursor bigint").parquet(f"{root}/progress")
-    return saved.groupBy("service").agg(F.max("cursor").alias("cursor"))
+    saved = spark.read.schema(_POSITION).parquet(f"{root}/progress")
+    return saved.where("cursor is not null").groupBy("service").agg(F.max("cursor").alias("cursor"))

@@ -229,6 +229,30 @@ def test_backfill(spark, tmp_path):
     assert spark.read.parquet(f"{out}/engagement").where(F.col("type") == 2).count() == 1
 
 
+def test_two_half_runs_are_one(spark, tmp_path):
+    from commitfold.sources import base
+
+    items = [commit(s, create(post(), str(s % 7)), create(like(), str(s % 5))) for s in range(1, 50)]
+    items += [commit(s, delete(S.POST, str(s % 7)), delete(S.LIKE, str(s % 3))) for s in range(50, 70)]
+    for name, cuts in (("runs_two", (45, 100)), ("runs_one", (100,))):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+        for cut in cuts:
+            landed = frames(spark, *[f for f in items if f["seq"] <= cut])
+            collect.resume(landed, str(tmp_path / name), name, 4, "o'svc", ops.frame_instant())
+    two, one = base.tables(spark, "runs_two", with_counters=True), base.tables(spark, "runs_one", with_counters=True)
+    assert sorted(map(str, two.post.collect())) == sorted(map(str, one.post.collect()))
+    assert sorted(map(str, two.engagement.collect())) == sorted(map(str, one.engagement.collect()))
+    assert [tuple(r) for r in progress.saved(spark, "runs_two").collect()] == [("o'svc", 60)]
+    # The second run read what came after the first one's position only.
+    runs = spark.read.schema(collect.LOG_FILE).parquet(str(tmp_path / "runs_two" / "log")).groupBy("run").agg(F.min("seq").alias("first"))
+    assert sorted(r["first"] for r in runs.collect()) == [1, 41]
+    progress.save(spark, "runs_two", "o'svc", 20)
+    progress.save(spark, "runs_two", "b", 7)
+    assert sorted(tuple(r) for r in progress.saved(spark, "runs_two").collect()) == [("b", 7), ("o'svc", 60)]
+    for name in ("runs_two", "runs_one"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def test_invalid_commits_do_not_move_the_position(spark):
     some = frames(spark, commit(20), commit(40, repo="not a did"))
     assert [r["cursor"] for r in progress.checkpoint_position(some, "s").collect()] == [20]

@@ -9,7 +9,7 @@ from builders import TIME, commit, create, delete, frames, like, post
 from commitfold import schemas as S
 from commitfold.operators import fold, ops
 from commitfold.plans import collect
-from commitfold.sources import events, frames as source, progress
+from commitfold.sources import base, events, frames as source, progress
 from commitfold.streaming import collector
 
 NOW = {"availableNow": True}
@@ -37,10 +37,12 @@ def run(spark, path, root, **options):
     return query
 
 
-@pytest.mark.parametrize("compact_every", [None, 2], ids=["plain", "compacted"])
-def test_stream_equals_batch(spark, landed, tmp_path, compact_every):
+@pytest.mark.parametrize("compacted", [False, True], ids=["plain", "compacted"])
+def test_stream_equals_batch(spark, landed, tmp_path, compacted):
     root = str(tmp_path)
-    run(spark, landed, root, compact_every=compact_every)
+    run(spark, landed, root)
+    if compacted:
+        collector.compact(spark, root, 1)
     want, got = batch_tables(spark, landed), collector.tables(spark, root)
     assert rows(got.post) == rows(want.post)
     assert rows(got.engagement) == rows(want.engagement)
@@ -50,11 +52,42 @@ def test_stream_equals_batch(spark, landed, tmp_path, compact_every):
     assert rows(collector.positions(spark, root)) == rows(
         progress.checkpoint_position(source.read(spark, landed), "svc")
     )
-    if compact_every:
+    if compacted:
         before = collector._landed(spark, root).where("target <> 'quarantine'").count()
         assert collector.log(spark, root).count() < before
 
 
+def test_standing_tables_follow_the_stream(spark, landed, tmp_path):
+    root, database = str(tmp_path), "standing_stream"
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    run(spark, landed, root)
+    want = batch_tables(spark, landed)
+    assert rows(collector.standing(spark, root, database).post) == rows(want.post)
+    base.advance(collector._between(spark, root, -1, 0), database, 4, batch=0)
+    got = collector.standing(spark, root, database)
+    assert rows(got.engagement) == rows(want.engagement)
+    collector.advance(spark, root, database, 4)
+    version = base.current(spark, database)
+    assert version.batch == collector._finished(spark, root) == 2
+    collector.advance(spark, root, database, 4)
+    assert base.current(spark, database) == version
+    got = collector.standing(spark, root, database, with_counters=True)
+    assert rows(got.engagement) == rows(want.engagement)
+    assert rows(got.post) == rows(collector.tables(spark, root, with_counters=True).post)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_landing_is_one_pass(spark, landed, tmp_path):
+    frames_ = source.read(spark, landed)
+    judged = ops.judged_frames(frames_)
+    text = ops.landed(judged)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Exchange" not in text
+    cursor = collect.write_log(frames_, str(tmp_path / "log"), ops.frame_instant())
+    assert [(r["cursor"],) for r in progress.checkpoint_position(frames_, "svc").collect()] == [(cursor,)]
+    assert rows(collect.read_rejected_frames(spark, str(tmp_path / "log"))) == rows(ops.frame_violations(frames_))
+    assert collect.write_log(frames_.where("seq = 1"), str(tmp_path / "one"), ops.frame_instant()) is None
+
+
 def test_restart_continues_and_repeated_batches_change_nothing(spark, tmp_path):
     root, path = str(tmp_path / "root"), str(tmp_path / "frames")
     first = frames(spark, commit(1, create(like())), commit(20, create(post())))
@@ -157,3 +190,35 @@ def test_positions(spark):
     assert progress.cursor(merged, "none") is None
     assert sorted(r["seq"] for r in progress.after_cursor(df, older, "a").collect()) == [21, 40, 60]
     assert progress.after_cursor(df, older, "none").count() == 4
+
+
+def test_stream_by_position(spark, tmp_path):
+    """Starts after a position, goes on where it ended, and at the tail sees the new only."""
+    path = str(tmp_path / "frames")
+    land = lambda *seqs: source.write(frames(spark, *[commit(s, create(post(), str(s))) for s in seqs]).coalesce(2), path, "parquet")
+
+    def seqs(root, position):
+        stream = source.stream_after(spark, path, position, filesPerTask="1")
+        collector.start(stream, root, "svc", ops.frame_instant(), trigger=NOW).awaitTermination()
+        return sorted(r["seq"] for r in collector._landed(spark, root).where("target = 'post'").collect())
+
+    land(5, 1, 9, 3)
+    after, tail = str(tmp_path / "after"), str(tmp_path / "tail")
+    assert seqs(after, 3) == [5, 9]
+    spark_rows = source.stream_after(spark, path, "tail")
+    assert spark_rows.schema == S.FRAME
+    assert tail_seqs(spark, path, tail) == []
+    land(12, 10)
+    assert seqs(after, 0) == [5, 9, 10, 12]  # the checkpoint decides, not the option
+    assert tail_seqs(spark, path, tail) == [10, 12]
+    assert seqs(after, 0) == [5, 9, 10, 12]
+
+
+def tail_seqs(spark, path, root):
+    stream = source.stream_after(spark, path, "tail")
+    collector.start(stream, root, "svc", ops.frame_instant(), trigger=NOW).awaitTermination()
+    try:
+        return sorted(r["seq"] for r in collector._landed(spark, root).where("target = 'post'").collect())
+    except Exception as error:
+        assert "PATH_NOT_FOUND" in str(error)
+        return []

@@ -263,6 +263,17 @@ ORACLES: dict[str, str] = {
            UNION ALL
            SELECT DISTINCT target, 'delete', log.uri, d FROM log JOIN deletes x ON x.uri = log.uri""",
     ),
+    "merged_post_state": q(TABLES, "SELECT * FROM post"),
+    "merged_engagement_state": q(TABLES, "SELECT * FROM engagement"),
+    "maintained_counters": q(f"{TABLES},{COUNTS}", f"SELECT uri, likes_count, repost_count, comments_count FROM ({COUNTED})"),
+    "maintained_totals": q(
+        TABLES,
+        """SELECT 'post' AS name, count(*) AS n FROM post
+           UNION ALL SELECT CASE type WHEN 1 THEN 'repost' ELSE 'like' END, count(*) FROM engagement GROUP BY type""",
+    ),
+    "standing_posts_with_tail": q(f"{TABLES},{COUNTS}", COUNTED),
+    "resumed_posts": q(f"{FRAME_TABLES},{COUNTS}", COUNTED),
+    "observed_position": q(OTHER, CURSOR),
     "post_deleted": q(TABLES, "SELECT * FROM post WHERE deletedAt IS NOT NULL"),
     "post_live": q(TABLES, "SELECT uri, author, indexedAt FROM post WHERE deletedAt IS NULL"),
     "post_count": q(TABLES, "SELECT count(*) AS n FROM post"),
@@ -469,6 +480,12 @@ ORACLES: dict[str, str] = {
     "backfilled_quarantine": q(FRAMES, "SELECT seq, op_idx, uri, collection, reason FROM violations"),
     "stream_post_state": q(FRAME_TABLES, "SELECT * FROM post"),
     "stream_engagement_state": q(FRAME_TABLES, "SELECT * FROM engagement"),
+    "stream_standing_posts": q(f"{FRAME_TABLES},{COUNTS}", COUNTED),
+    "stream_from_position": q(
+        FRAME_LOG,
+        """SELECT target, seq, op_idx, action, uri, cid FROM log
+           WHERE seq > (SELECT max(event_id // 4) FROM events) // 2""",
+    ),
     "stream_quarantine": q(FRAMES, "SELECT seq, op_idx, uri, collection, reason FROM violations"),
     "stream_position": q(OTHER, CURSOR),
 }

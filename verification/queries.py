@@ -7,6 +7,7 @@ engaged subject, the busiest author, ...), read as one row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -17,7 +18,7 @@ from commitfold.functions import formats, recode, text as tx
 from commitfold.operators import analysis, counters, fold, lookups, ops, quality
 from commitfold.plans import collect, report
 from commitfold.session import work_folder
-from commitfold.sources import events, frames as frame_source, progress, tables
+from commitfold.sources import base, events, frames as frame_source, progress, tables
 from commitfold.streaming import collector
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +130,73 @@ def post_live(spark, folder):
     return analysis.live(_post(spark, folder)).select("uri", "author", "indexedAt")
 
 
+# --- standing tables --------------------------------------------------------------
+
+BUCKETS = 8
+
+
+def _standing(spark: SparkSession, log: DataFrame, name: str) -> str:
+    """The standing tables of a log that came in three parts, the second of which repeats
+    the end of the first; `settled` positions are known for the first two."""
+    database = f"{name}_{uuid.uuid4().hex[:8]}"
+    last = log.agg(F.max("seq").alias("last")).first()["last"]
+    cuts = [last // 2, last * 4 // 5, last]
+    for i, upto in enumerate(cuts):
+        after = cuts[i - 1] - 200 if i else -1
+        part = log.where((F.col("seq") > after) & (F.col("seq") <= upto))
+        base.advance(part, database, BUCKETS, settled=upto if i < 2 else None)
+    return database
+
+
+@query
+def merged_post_state(spark, folder):
+    return base.tables(spark, _standing(spark, events.event_log(spark, folder), "merged")).post
+
+
+@query
+def merged_engagement_state(spark, folder):
+    return base.tables(spark, _standing(spark, _textless(spark, folder), "merged")).engagement
+
+
+@query
+def maintained_counters(spark, folder):
+    database = _standing(spark, _textless(spark, folder), "counted")
+    return base.tables(spark, database, with_counters=True).post.select("uri", *counters.COUNTERS)
+
+
+@query
+def maintained_totals(spark, folder):
+    """Rows per type of post and engagement, kept up to date and not counted."""
+    return base.totals(spark, _standing(spark, _textless(spark, folder), "totals"))
+
+
+@query
+def standing_posts_with_tail(spark, folder):
+    """Half of the log stands; the other half comes with the read, counters included."""
+    log = events.event_log(spark, folder)
+    database = f"tail_{uuid.uuid4().hex[:8]}"
+    half = log.agg(F.max("seq").alias("last")).first()["last"] // 2
+    base.advance(log.where(F.col("seq") <= half), database, BUCKETS)
+    return base.tables(spark, database, log.where(F.col("seq") > half), with_counters=True).post
+
+
+@query
+def resumed_posts(spark, folder):
+    """Two runs of the batch job, the second from the position that the first has saved."""
+    landed, out, database = _frames(spark, folder), work_folder(spark, "resumed"), f"resumed_{uuid.uuid4().hex[:8]}"
+    half = ops.commits(landed).agg(F.max("seq").alias("last")).first()["last"] // 2
+    for part in (landed.where(F.col("seq") <= half), landed):
+        collect.resume(part, out, database, BUCKETS, SERVICE, ops.frame_instant())
+    return base.tables(spark, database, with_counters=True).post
+
+
+@query
+def observed_position(spark, folder):
+    """The position that is observed while the log is written."""
+    cursor = collect.write_log(_frames(spark, folder), work_folder(spark, "observed"), ops.frame_instant())
+    return spark.createDataFrame([(SERVICE, cursor)], S.SUB_STATE_TABLE)
+
+
 # --- analysis report ------------------------------------------------------------
 
 
@@ -499,10 +567,9 @@ def _streamed(spark: SparkSession, folder: str, name: str) -> str:
     # One file per position range, so that batches follow the stream.
     _frames(spark, folder).repartitionByRange(6, "seq").write.json(f"{root}/landed")
     stream = frame_source.stream(spark, f"{root}/landed", files_per_batch=2)
-    running = collector.start(
-        stream, root, SERVICE, ops.frame_instant(), compact_every=2, trigger={"availableNow": True}
-    )
+    running = collector.start(stream, root, SERVICE, ops.frame_instant(), trigger={"availableNow": True})
     running.awaitTermination()
+    collector.compact(spark, root, 1)
     return root
 
 
@@ -516,6 +583,26 @@ def stream_engagement_state(spark, folder):
     return collector.tables(spark, _streamed(spark, folder, "stream")).engagement
 
 
+@query
+def stream_standing_posts(spark, folder):
+    """The stream's first batches taken into standing tables, the others read with them."""
+    root, database = _streamed(spark, folder, "stream"), f"stream_{uuid.uuid4().hex[:8]}"
+    base.advance(collector.log(spark, root, upto=0), database, BUCKETS, batch=0)
+    return collector.standing(spark, root, database, with_counters=True).post
+
+
+@query
+def stream_from_position(spark, folder):
+    """The stream from a position half way on, by the source whose offset is the position."""
+    root = work_folder(spark, "from-position")
+    landed = _frames(spark, folder)
+    frame_source.write(landed.repartitionByRange(6, "seq"), f"{root}/landed", "parquet")
+    half = ops.commits(landed).agg(F.max("seq").alias("last")).first()["last"] // 2
+    stream = frame_source.stream_after(spark, f"{root}/landed", half)
+    collector.start(stream, root, SERVICE, ops.frame_instant(), trigger={"availableNow": True}).awaitTermination()
+    return collector.log(spark, root).select("target", "seq", "op_idx", "action", "uri", "cid")
+
+
 @query
 def stream_quarantine(spark, folder):
     root = _streamed(spark, folder, "stream")
