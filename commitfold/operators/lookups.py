@@ -76,12 +76,18 @@ def reposted_by(
 def liked_posts(
     post: DataFrame, engagement: DataFrame, actor: str, limit: int = DEFAULT_PAGE, cursor: Cursor = None
 ) -> DataFrame:
-    """Collected posts an actor liked, latest like first."""
+    """Collected posts an actor liked, latest first.
+
+    The page is chosen from the uris alone; the columns of its posts, at most a page of
+    them, are fetched afterwards. Of a post table in buckets by uri (`tables.save_bucketed`)
+    nothing is shuffled.
+    """
     likes = engagement.where((F.col("author") == actor) & (F.col("type") == TYPE_LIKE)).select(
         F.col("subjectUri").alias("uri"), F.col("indexedAt").alias("likedAt"), F.col("uri").alias("likeUri")
     )
-    found = post.join(likes, "uri").select("uri", "author", "text", "likedAt", "likeUri")
-    return _latest(found, "likedAt", "likeUri", cursor, limit)
+    page = _latest(likes.join(post.select("uri"), "uri", "left_semi"), "likedAt", "likeUri", cursor, limit)
+    found = post.select("uri", "author", "text").join(F.broadcast(page), "uri")
+    return found.select("uri", "author", "text", "likedAt", "likeUri").orderBy(F.desc("likedAt"), F.desc("likeUri"))
 
 
 # --- posts ---------------------------------------------------------------------

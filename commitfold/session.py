@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -37,6 +39,16 @@ def build(master: str | None = None, app: str = "commitfold", **settings: str) -
     return builder.getOrCreate()
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it. Only the two
+    modules with code in such workers need it (`sources.seq_stream`, `streaming.keyed`); on
+    a cluster without that path ship the package with --py-files."""
+    root = str(Path(__file__).resolve().parents[1])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables.
 

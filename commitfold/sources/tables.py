@@ -20,12 +20,16 @@ BLOOM = {
 }
 
 
+# The catalog forgets that a column of a file table is not null; its comment says so.
+REQUIRED = "required"
+
+
 def create(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Creates the database and its empty tables where missing."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, schema in S.TABLES.items():
         columns = ", ".join(
-            f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
+            f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else f" NOT NULL COMMENT '{REQUIRED}'"}" for f in schema.fields
         )
         at = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{at}")
@@ -35,6 +39,30 @@ def list_tables(spark: SparkSession, database: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(database))
 
 
+def catalog(spark: SparkSession, database: str) -> DataFrame:
+    """The tables of a database as the catalog lists them, with their columns: table_name,
+    column_name, position, type, required."""
+    rows = []
+    for name in list_tables(spark, database):
+        for i, c in enumerate(spark.catalog.listColumns(f"{database}.{name}")):
+            rows.append((name, c.name, i, c.dataType, c.description == REQUIRED))
+    return spark.createDataFrame(rows, "table_name string, column_name string, position int, type string, required boolean")
+
+
+def insert(df: DataFrame, database: str, name: str) -> None:
+    """Appends rows to a catalog table. A null in a column that must not hold any fails the
+    write, which the file format would not do by itself."""
+
+    def checked(field):
+        value = F.col(field.name).cast(field.dataType)
+        if field.nullable:
+            return value.alias(field.name)
+        message = F.lit(f"null in {name}.{field.name}")
+        return F.when(value.isNull(), F.raise_error(message).cast(field.dataType)).otherwise(value).alias(field.name)
+
+    df.select(*[checked(f) for f in S.TABLES[name].fields]).write.insertInto(f"{database}.{name}")
+
+
 def inventory(tables: dict[str, DataFrame]) -> DataFrame:
     """Table names with their row counts."""
     counts = [

@@ -489,3 +489,44 @@ ORACLES: dict[str, str] = {
     "stream_quarantine": q(FRAMES, "SELECT seq, op_idx, uri, collection, reason FROM violations"),
     "stream_position": q(OTHER, CURSOR),
 }
+
+# The same rows, whatever they are read from.
+for _name in (
+    "author_posts",
+    "author_feed",
+    "thread_posts",
+    "posts_created_in_range",
+    "posts_indexed_in_range",
+    "subject_engagement",
+    "likes_of_subject",
+    "posts_liked_by_actor",
+):
+    ORACLES[f"{_name}_stored"] = ORACLES[_name]
+for _name in ("post_search", "post_search_total"):
+    ORACLES[f"{_name}_indexed"] = ORACLES[_name]
+for _name in ("post_state", "engagement_state"):
+    ORACLES[f"stateful_{_name}"] = ORACLES[_name]
+
+_COLUMNS = {
+    "post": "uri! cid! indexedAt! createdAt! deletedAt author! text! rootUri! rootCid! linkUrl! linkTitle! linkDescription! "
+    "likes_count:int repost_count:int comments_count:int",
+    "engagement": "uri! cid! subjectUri! subjectCid! type!:int indexedAt! createdAt! author!",
+    "sub_state": "service! cursor!:bigint",
+}
+
+
+def _listed(table: str) -> str:
+    rows = []
+    for i, column in enumerate(_COLUMNS[table].split()):
+        name, _, kind = column.partition(":")
+        rows.append(f"('{table}', '{name.rstrip('!')}', {i}, '{kind or 'string'}', {str(name.endswith('!')).lower()})")
+    return ", ".join(rows)
+
+
+ORACLES["catalog_tables"] = q(
+    TABLES,
+    f"""SELECT t.*, n.n FROM (VALUES {', '.join(_listed(t) for t in _COLUMNS)}) t(table_name, column_name, position, type, required)
+        JOIN (SELECT 'post' AS table_name, count(*) AS n FROM post
+              UNION ALL SELECT 'engagement', count(*) FROM engagement
+              UNION ALL SELECT 'sub_state', 1) n USING (table_name)""",
+)

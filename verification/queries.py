@@ -18,8 +18,8 @@ from commitfold.functions import formats, recode, text as tx
 from commitfold.operators import analysis, counters, fold, lookups, ops, quality
 from commitfold.plans import collect, report
 from commitfold.session import work_folder
-from commitfold.sources import base, events, frames as frame_source, progress, tables
-from commitfold.streaming import collector
+from commitfold.sources import base, events, frames as frame_source, progress, tables, text_index
+from commitfold.streaming import collector, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,6 +281,20 @@ def frames_after_cursor(spark, folder):
     return progress.after_cursor(commits, state, SERVICE).select("seq", "repo", "rev", "time")
 
 
+@query
+def catalog_tables(spark, folder):
+    """The tables as the catalog lists them, filled from the log, with their rows."""
+    database = f"catalog_{uuid.uuid4().hex[:8]}"
+    tables.create(spark, database)
+    log = events.event_log(spark, folder)
+    tables.insert(fold.fold_posts(log), database, "post")
+    tables.insert(fold.fold_engagement(log), database, "engagement")
+    tables.insert(progress.checkpoint_position(_frames(spark, folder), SERVICE), database, "sub_state")
+    listed = tables.catalog(spark, database)
+    counted = tables.inventory({name: spark.table(f"{database}.{name}") for name in tables.list_tables(spark, database)})
+    return listed.join(counted, "table_name")
+
+
 # --- counters and lookups -------------------------------------------------------
 
 
@@ -335,6 +349,81 @@ def posts_indexed_in_range(spark, folder):
     return lookups.indexed_between(_post(spark, folder), *RANGE)
 
 
+def _laid_out(spark: SparkSession, df: DataFrame, name: str, column: str) -> DataFrame:
+    """A stored copy of a table, laid out to be searched by a column."""
+    path = work_folder(spark, f"{name}-by-{column}")
+    tables.write(df, name, path, search_by=column, files=BUCKETS)
+    return tables.read(spark, name, path)
+
+
+@query
+def author_posts_stored(spark, folder):
+    post = _laid_out(spark, _post(spark, folder), "post", "author")
+    return lookups.author_posts(post, _busiest(post, "author"))
+
+
+@query
+def author_feed_stored(spark, folder):
+    post = _laid_out(spark, _post(spark, folder), "post", "author")
+    return lookups.author_feed(post, _busiest(post, "author"))
+
+
+@query
+def thread_posts_stored(spark, folder):
+    post = _laid_out(spark, _post(spark, folder), "post", "rootUri")
+    return lookups.thread(post, _busiest(post.where("rootUri <> ''"), "rootUri"))
+
+
+@query
+def posts_created_in_range_stored(spark, folder):
+    return lookups.created_between(_laid_out(spark, _post(spark, folder), "post", "createdAt"), *RANGE)
+
+
+@query
+def posts_indexed_in_range_stored(spark, folder):
+    return lookups.indexed_between(_laid_out(spark, _post(spark, folder), "post", "indexedAt"), *RANGE)
+
+
+@query
+def subject_engagement_stored(spark, folder):
+    engagement = _laid_out(spark, _engagement(spark, folder), "engagement", "subjectUri")
+    return lookups.subject_engagement(engagement, _busiest(engagement, "subjectUri"))
+
+
+@query
+def likes_of_subject_stored(spark, folder):
+    engagement = _laid_out(spark, _engagement(spark, folder), "engagement", "subjectUri")
+    return lookups.likes_of(engagement, _busiest(engagement, "subjectUri"))
+
+
+@query
+def posts_liked_by_actor_stored(spark, folder):
+    """Posts in buckets by uri, engagement laid out by its author."""
+    database = f"liked_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    tables.save_bucketed(_post(spark, folder), database, "post", BUCKETS)
+    engagement = _laid_out(spark, _engagement(spark, folder), "engagement", "author")
+    return lookups.liked_posts(spark.table(f"{database}.post"), engagement, _busiest(engagement, "author"))
+
+
+def _indexed(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
+    path = work_folder(spark, "search")
+    tables.write(fold.fold_posts(_frame_log(spark, folder)), "post", f"{path}/post")
+    post = tables.read(spark, "post", f"{path}/post")
+    text_index.build(post, f"{path}/index", BUCKETS)
+    return post, f"{path}/index"
+
+
+@query
+def post_search_indexed(spark, folder):
+    return text_index.search_posts(*_indexed(spark, folder), TERMS)
+
+
+@query
+def post_search_total_indexed(spark, folder):
+    return text_index.search_total(*_indexed(spark, folder), TERMS)
+
+
 @query
 def author_posts(spark, folder):
     post = _post(spark, folder)
@@ -603,6 +692,25 @@ def stream_from_position(spark, folder):
     return collector.log(spark, root).select("target", "seq", "op_idx", "action", "uri", "cid")
 
 
+def _stateful(spark: SparkSession, folder: str, target: str) -> DataFrame:
+    root = work_folder(spark, "keyed")
+    # Dealt out at random, so that batches come in no order.
+    events.event_log(spark, folder, text=target == "post").repartition(6, "op_idx", "seq").write.parquet(f"{root}/log")
+    log = spark.readStream.schema(S.OPS).option("maxFilesPerTrigger", 3).parquet(f"{root}/log")
+    keyed.start(log, root, target, {"availableNow": True}).awaitTermination()
+    return keyed.table(spark, root, target)
+
+
+@query
+def stateful_post_state(spark, folder):
+    return _stateful(spark, folder, "post")
+
+
+@query
+def stateful_engagement_state(spark, folder):
+    return _stateful(spark, folder, "engagement")
+
+
 @query
 def stream_quarantine(spark, folder):
     root = _streamed(spark, folder, "stream")
