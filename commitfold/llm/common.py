@@ -66,12 +66,12 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
-def sheltered(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+def sheltered(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
     """`df` with all columns but the needed ones under names that no operator uses, and
-    what gives a result its columns and their names back."""
+    what gives a result its columns and their names back, with named ones that were added."""
     names = df.columns
     inner = [c if c in needed else f"_{i}_{c}" for i, c in enumerate(names)]
-    return df.toDF(*inner), lambda out: out.select(*[F.col(f"`{c}`") for c in inner]).toDF(*names)
+    return df.toDF(*inner), lambda out, *added: out.select(*[F.col(f"`{c}`") for c in inner], *added).toDF(*names, *added)
 
 
 def worked_out(df: DataFrame, made: dict[str, Column]) -> DataFrame:

@@ -7,7 +7,8 @@ its fetch day. A captured host meets the patterns that are the host itself and e
 its parent domains.
 
 Captures are reduced to their distinct (host, day) before anything is joined, so a host
-with a third of all captures is at most one row per day. Intervals and captures meet by
+with a third of all captures is at most one row per day; of the domains above it only those
+that some entry names stay, found by pattern alone. Intervals and captures meet by
 pattern and month; an interval stands in every month it covers, so a pattern with many
 entries is met a month at a time. The verdicts go back to the captures by host and day.
 
@@ -23,6 +24,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import sheltered
+
 OPEN_END = "9999-12-31"
 
 
@@ -53,7 +56,10 @@ def active(captured: DataFrame, spans: DataFrame) -> DataFrame:
     labels = F.split("host", r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     month = lambda day: F.year(day) * 12 + F.month(day)
-    asked = asked.select("host", "day", F.explode(parents).alias("pattern"), month(F.col("day")).alias("month"))
+    # Domains that are on no list, as most top-level ones, go before months are looked at.
+    listed = asked.select(F.explode(parents).alias("pattern")).distinct().join(spans.select("pattern").distinct(), "pattern", "left_semi")
+    of_host = asked.select("host").distinct().select("host", F.explode(parents).alias("pattern")).join(listed, "pattern")
+    asked = asked.join(of_host, "host").select("host", "day", "pattern", month(F.col("day")).alias("month"))
     # Months are listed up to the last capture only.
     end = captured.agg(F.max("day")).first()[0]
     if end is None:
@@ -69,10 +75,16 @@ def active(captured: DataFrame, spans: DataFrame) -> DataFrame:
 def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """The captures (with `url` and `day`) and their `host`, the `lists` they were on at
     fetch time, and `blocked`: on a blocking list and on none that allows."""
-    captures = captures.drop("lists", "blocked", "v_host", "v_day").withColumn("host", host(F.col("url"))).withColumn("day", F.col("day").cast("date"))
-    verdicts = active(captures, intervals(entries)).withColumnsRenamed({"host": "v_host", "day": "v_day"})
-    same = (F.col("host") == F.col("v_host")) & (F.col("day") == F.col("v_day"))
-    lists = F.coalesce("lists", F.array().cast("array<string>"))
-    judged = captures.join(verdicts, same, "left").drop("v_host", "v_day").withColumn("lists", lists)
+    given = captures.drop("host", "lists", "blocked")
+    inner, restored = sheltered(given, "url", "day")
+    inner = inner.withColumn("host", host(F.col("url"))).withColumn("day", F.col("day").cast("date"))
+    verdicts = active(inner, intervals(entries)).withColumnsRenamed({"host": "_on_host", "day": "_on_day"})
+    # Captures that no list can hold do not meet in the join.
+    known = F.col("host").isNotNull() & F.col("day").isNotNull()
+    same = (F.col("host") == F.col("_on_host")) & (F.col("day") == F.col("_on_day"))
+    judged = inner.where(known).join(verdicts, same, "left").drop("_on_host", "_on_day")
+    rest = inner.where(~known).withColumn("lists", F.lit(None).cast("array<string>"))
+    judged = judged.unionByName(rest).withColumn("lists", F.coalesce("lists", F.array().cast("array<string>")))
     blocked = F.exists("lists", lambda name: name.startswith("block")) & ~F.exists("lists", lambda name: name.startswith("allow"))
-    return judged.withColumn("blocked", blocked)
+    judged = judged.withColumn("blocked", blocked)
+    return restored(judged, "host", "lists", "blocked")
