@@ -418,9 +418,12 @@ def _grouped(docs: DataFrame, keyed: DataFrame, first: DataFrame, size: int, per
     answers = entries.groupBy("zone").applyInArrow(_shared_keys, _ROWS)
     sets = answers.groupBy("block").applyInArrow(lambda block: _sets(block, percent), _SETS)
     sets = written(sets, "sets")
-    live = _kept_by_digest(sets.where("keys is not null"), 1 << zone_bits)
-
-    found = components(links(live, percent)).withColumnRenamed("node", "digest")
+    spark, name = docs.sparkSession, f"jaccard_{uuid.uuid4().hex}"
+    try:
+        live = _kept_by_digest(sets.where("keys is not null"), 1 << zone_bits, name)
+        found = written(components(links(live, percent)).withColumnRenamed("node", "digest"), "components")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     sizes = sets.groupBy("digest").agg(F.max("n").alias("n_shingles"))
     return first.join(sizes, "digest").join(found, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
 
@@ -442,10 +445,10 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     )
 
 
-def _kept_by_digest(sets: DataFrame, buckets: int) -> DataFrame:
-    """The sets, each once, written in buckets of the digest: joins by it do not move them.
-    Sets of one digest are made one before they move, and again where they meet."""
-    spark, name = sets.sparkSession, f"jaccard_{uuid.uuid4().hex}"
+def _kept_by_digest(sets: DataFrame, buckets: int, name: str) -> DataFrame:
+    """The sets, each once, as a catalog table in buckets of the digest: joins by it do not
+    move them. Sets of one digest are made one before they move, and again where they meet."""
+    spark = sets.sparkSession
 
     def once_a_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
