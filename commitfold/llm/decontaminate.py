@@ -58,11 +58,19 @@ class Automaton:
             last = 0
             for word in run:
                 last = self._extend(last, word)
+        # The last state up the links, itself included, whose runs are a window or longer:
+        # links lead to shorter runs, so in order of length the one above is known.
+        by_length = sorted(range(1, len(self.link)), key=self.length.__getitem__)
+        self.window_state = list(range(len(self.link)))
+        for state in by_length:
+            above = self.link[state]
+            if self.length[above] >= window:
+                self.window_state[state] = self.window_state[above]
         for name, run in items:
             self._name(name, run)
         # The nearest state up the links, itself included, at which a short item ends.
         self.to_short = [-1] * len(self.link)
-        for state in sorted(range(1, len(self.link)), key=self.length.__getitem__):
+        for state in by_length:
             self.to_short[state] = state if state in self.short else self.to_short[self.link[state]]
 
     def _state(self, length: int, link: int, onward: dict[bytes, int]) -> int:
@@ -94,18 +102,13 @@ class Automaton:
             self.link[new] = to if self.length[to] == self.length[last] + 1 else self._split(last, word, to)
         return new
 
-    def window_state(self, state: int) -> int:
-        while self.length[self.link[state]] >= self.window:
-            state = self.link[state]
-        return state
-
     def _name(self, name: str, run: list[bytes]) -> None:
         """Notes the item at the states of its windows, or of the whole of a short one."""
         state = 0
         for i, word in enumerate(run):
             state = self.next[state][word]
             if i + 1 >= self.window:
-                self.windows.setdefault(self.window_state(state), set()).add(name)
+                self.windows.setdefault(self.window_state[state], set()).add(name)
         if len(run) < self.window:
             self.short.setdefault(state, []).append((len(run), name))
 
@@ -134,7 +137,7 @@ class Automaton:
             reach = 0
             if matched >= window:
                 reach = window
-                found |= self.windows[self.window_state(state)]
+                found |= self.windows[self.window_state[state]]
             if short:
                 at = to_short[state]
                 while at >= 0:
