@@ -9,6 +9,9 @@ characters. Candidates above a share of bytes per character are reported as `nov
 is reported already and copies of the candidate itself do not count as text around it,
 and a string that is novel once is reported wherever else it stands in the document.
 
+What is not looked at: runs of fewer than `least_run` key characters, and runs with no
+sensitive word within `near` characters before or after them. Both are arguments.
+
 The identifiers are counted over all documents; the dictionary is made of the most
 frequent ones up to a fixed size. It holds no digits, so a secret that stands in a
 thousand copies does not become familiar.
@@ -30,7 +33,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import importable, replaced, texts
+from .common import importable, replaced, texts, written
 
 # Fixed values of the base kinds, in the order of the report. The lengths of matches of
 # the last two are part of the pattern: a maximal run is either long enough or not.
@@ -45,8 +48,7 @@ KINDS = ("assign", "access", "hex", "novel")
 # A text without any of these, in lower case, has no assignment.
 _ASSIGNED = ("passw", "secret", "token", "api")
 
-LEAST_RUN = 16
-CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}")
+LEAST_RUN = 16  # key characters of a candidate at least
 SENSITIVE = re.compile(r"passw|passphrase|secret|token|api_?key|credential|private|bearer|auth", re.IGNORECASE)
 NEAR = 48  # characters before and after a candidate in which a sensitive word counts
 CONTEXT = 256  # characters before a candidate that prime the compressor
@@ -77,7 +79,9 @@ def _order(span: Span) -> tuple[int, int, int]:
 class Novelty:
     """Marginal compressed sizes on top of a context and a dictionary."""
 
-    def __init__(self, dictionary: bytes):
+    def __init__(self, dictionary: bytes, least_run: int = LEAST_RUN, near: int = NEAR):
+        self.least_run, self.near = least_run, near
+        self.candidate = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{least_run},}}")
         primed = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(dictionary) >= 8 else None
         self.compress = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False).compress
 
@@ -90,18 +94,48 @@ class Novelty:
         found: list[Span] = []
         if not SENSITIVE.search(text):
             return found
-        taken = _joined(base)
-        for match in CANDIDATE.finditer(text):
+        known = _joined(base)
+        taken, at = known[:], 0
+        for match in self.candidate.finditer(text):
             start, end = match.span()
             run = match.group()
-            if any(s < end and start < e for _, s, e in base):
+            while at < len(known) and known[at][1] <= start:
+                at += 1
+            if at < len(known) and known[at][0] < end:
                 continue
-            if not SENSITIVE.search(text, max(0, start - NEAR), start) and not SENSITIVE.search(text, end, end + NEAR):
+            if not SENSITIVE.search(text, max(0, start - self.near), start) and not SENSITIVE.search(text, end, end + self.near):
                 continue
             if self.bytes_for(run, _around(text, start, taken).replace(run, "")) >= least * len(run):
                 found.append(("novel", start, end))
                 insort(taken, (start, end))
-        return found + _further(text, found, base) if found else found
+        return found + self._further(text, found, base) if found else found
+
+    def _further(self, text: str, found: list[Span], base: list[Span]) -> list[Span]:
+        """Every other place of the strings found, wherever it is in the text, that touches no
+        span. Runs of key characters are searched by what the strings begin with."""
+        begins: dict[str, set[str]] = {}
+        for _, start, end in found:
+            begins.setdefault(text[start : start + self.least_run], set()).add(text[start:end])
+        reported = _joined(base + found)
+        more: list[Span] = []
+        at = 0
+        for match in self.candidate.finditer(text):
+            i, end = match.span()
+            while i + self.least_run <= end:
+                while at < len(reported) and reported[at][1] <= i:
+                    at += 1
+                if at < len(reported) and reported[at][0] <= i:
+                    i = reported[at][1]
+                    continue
+                room = min(end, reported[at][0]) if at < len(reported) else end
+                known = [k for k in begins.get(text[i : i + self.least_run], ()) if i + len(k) <= room and text.startswith(k, i)]
+                if known:
+                    longest = max(map(len, known))
+                    more.append(("novel", i, i + longest))
+                    i += longest
+                else:
+                    i += 1
+        return more
 
 
 def _joined(spans: list[Span]) -> list[tuple[int, int]]:
@@ -119,45 +153,16 @@ def _around(text: str, start: int, taken: list[tuple[int, int]]) -> str:
     """The characters before a candidate, without the spans that are reported already."""
     out, upto = [], max(0, start - CONTEXT)
     # What reaches into the context begins in it, or is the last one to begin before.
-    for s, e in taken[max(0, bisect_left(taken, (upto, 0)) - 1) :]:
-        if s >= start:
-            break
+    for i in range(max(0, bisect_left(taken, (upto, 0)) - 1), bisect_left(taken, (start, 0))):
+        s, e = taken[i]
         out.append(text[upto:s])
         upto = max(upto, e)
     return "".join([*out, text[upto:start]])
 
 
-def _further(text: str, found: list[Span], base: list[Span]) -> list[Span]:
-    """Every other place of the strings found, wherever it is in the text, that touches no
-    span. Runs of key characters are searched by what the strings begin with."""
-    begins: dict[str, set[str]] = {}
-    for _, start, end in found:
-        begins.setdefault(text[start : start + LEAST_RUN], set()).add(text[start:end])
-    reported = _joined(base + found)
-    more: list[Span] = []
-    at = 0
-    for match in CANDIDATE.finditer(text):
-        i, end = match.span()
-        while i + LEAST_RUN <= end:
-            while at < len(reported) and reported[at][1] <= i:
-                at += 1
-            if at < len(reported) and reported[at][0] <= i:
-                i = reported[at][1]
-                continue
-            room = min(end, reported[at][0]) if at < len(reported) else end
-            known = [k for k in begins.get(text[i : i + LEAST_RUN], ()) if i + len(k) <= room and text.startswith(k, i)]
-            if known:
-                longest = max(map(len, known))
-                more.append(("novel", i, i + longest))
-                i += longest
-            else:
-                i += 1
-    return more
-
-
 @lru_cache(maxsize=2)
-def novelty(dictionary: bytes) -> Novelty:
-    return Novelty(dictionary)
+def novelty(dictionary: bytes, least_run: int = LEAST_RUN, near: int = NEAR) -> Novelty:
+    return Novelty(dictionary, least_run, near)
 
 
 def identifier_counts(docs: DataFrame) -> DataFrame:
@@ -178,11 +183,24 @@ def identifier_counts(docs: DataFrame) -> DataFrame:
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
     """The identifiers that most of the corpus's identifier bytes are made of, the most
-    frequent last, as a compressor wants them; at most `size` bytes. Runs a job."""
+    frequent last, as a compressor wants them; at most `size` bytes. Runs jobs.
+
+    A histogram of their weights says first from which weight on they fill the dictionary,
+    so what comes to the driver is about a dictionary's worth, whatever the number of tasks.
+    """
     importable(docs.sparkSession)
-    by_weight = identifier_counts(docs).where("n > 1").orderBy((F.col("n") * F.length("name")).desc(), "name")
+    weight, grade = F.col("n") * F.length("name"), F.floor(F.log2("weight") * 64)
+    counted = written(identifier_counts(docs).where("n > 1").withColumn("weight", weight).withColumn("grade", grade), "identifiers")
+    grades = counted.groupBy("grade").agg(F.sum(F.length("name") + 1).alias("bytes")).orderBy(F.desc("grade")).collect()
+    held, last = 0, None
+    for row in grades:
+        held, last = held + row["bytes"], row["grade"]
+        if held > size:
+            break
+    if last is None:
+        return b""
     made, room = [], size
-    for row in by_weight.limit(size // 7).collect():
+    for row in counted.where(F.col("grade") >= last).orderBy(F.desc("weight"), "name").limit(size // 7).collect():
         room -= len(row["name"]) + 1
         if room < 0:
             break
@@ -190,11 +208,11 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
     return " ".join(reversed(made)).encode()
 
 
-def spans_of(docs: DataFrame, identifiers: bytes, least: float = NOVELTY) -> DataFrame:
+def spans_of(docs: DataFrame, identifiers: bytes, least: float = NOVELTY, least_run: int = LEAST_RUN, near: int = NEAR) -> DataFrame:
     """doc_id and `found`, all spans as structs of kind, start and end, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = novelty(identifiers)
+        own = novelty(identifiers, least_run, near)
         for batch in batches:
             found = []
             for text in texts(batch):
@@ -225,11 +243,13 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
-def redacted(docs: DataFrame, identifiers: bytes, least: float = NOVELTY, mark: str = "[redacted]") -> DataFrame:
+def redacted(
+    docs: DataFrame, identifiers: bytes, least: float = NOVELTY, mark: str = "[redacted]", least_run: int = LEAST_RUN, near: int = NEAR
+) -> DataFrame:
     """The documents with every span replaced by a mark; overlapping spans by one."""
 
     def make(batch: pa.RecordBatch) -> list:
-        own = novelty(identifiers)
+        own = novelty(identifiers, least_run, near)
         out = []
         for text in batch.column("text").to_pylist():
             base = base_spans(text or "")

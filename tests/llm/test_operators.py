@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -118,6 +119,64 @@ def test_secrets_of_one_kind_of_character_and_before_their_word():
     assert own.spans(f"the bearer {far} ZqLxVbNwRtYkPdHsGmJc {far} the bearer", [], secrets.NOVELTY) == []
 
 
+def test_secrets_at_the_edges_of_what_is_looked_at(spark):
+    key = "Zq7Lx0Vb3Nw9Rt5Yk2Pd8HsX"
+    own = secrets.novelty(b"")
+    for n, seen in ((15, False), (16, True)):
+        assert bool(own.spans(f"the bearer is {key[:n]} here", [], secrets.NOVELTY)) == seen
+    for gap, seen in ((42, True), (43, False)):  # the word and the gap are 48 and 49 characters
+        assert bool(own.spans(f"bearer{' ' * gap}{key}", [], secrets.NOVELTY)) == seen
+        assert bool(own.spans(f"{key}{' ' * gap}bearer", [], secrets.NOVELTY)) == seen
+    docs = spark.createDataFrame([(1, f"the bearer is {key[:12]} here"), (2, f"bearer{' ' * 90}{key}")], "doc_id bigint, text string")
+    assert secrets.redacted(docs, b"").where("text like '%redacted%'").count() == 0
+    assert secrets.redacted(docs, b"", least_run=12, near=100).where("text like '%redacted%'").count() == 2
+    assert secrets.spans_of(docs, b"", least_run=12, near=100).where("size(found) = 1").count() == 2
+
+
+def seconds(work, *sizes):
+    out = []
+    for n in sizes:
+        start = time.process_time()
+        work(n)
+        out.append(time.process_time() - start)
+    return out
+
+
+def test_secrets_in_very_long_texts_take_time_in_proportion():
+    rng = random.Random(2)
+    key = lambda: "".join(rng.choice("ABCDEFGHabcdefgh0123456789") for _ in range(20))
+    own = secrets.novelty(b"")
+
+    def scan(n):
+        text = " ".join(f"password={key()} and bearer {key()}" for _ in range(n))
+        base = secrets.base_spans(text)
+        assert len(base) == n and len(own.spans(text, base, secrets.NOVELTY)) >= 0.9 * n
+
+    scan(100)
+    small, large = seconds(scan, 1500, 6000)
+    assert large < 8 * small
+
+
+def test_the_dictionary_is_of_the_heaviest_identifiers(spark):
+    names = {f"name_{'abcdefghij'[i % 10] * (i % 7 + 1)}_{'klmnopqrst'[i // 10]}": 2 + i * 3 for i in range(100)}
+    docs = spark.createDataFrame([(i, " ".join([n] * k)) for i, (n, k) in enumerate(names.items())], "doc_id bigint, text string")
+    order = sorted(names, key=lambda n: (-names[n] * len(n), n))
+    made = secrets.dictionary(docs, 200).decode().split()
+    assert made[::-1] == order[: len(made)] and 150 < len(" ".join(made)) < 200
+    assert secrets.dictionary(docs.where("false")) == b""
+
+
+def test_automaton_of_equal_words_takes_time_in_proportion():
+    def run(n):
+        words = [b"a"] * n
+        spans, names = decontaminate.Automaton([("x", words)], 13).hits(words)
+        assert spans == [0, n] and names == {"x"}
+
+    run(500)
+    small, large = seconds(run, 4000, 16000)
+    assert large < 8 * small
+
+
 def test_sharding(docs, rows, empty):
     got = sharding.interleave(docs, shards=4, rows_per_bucket=3).collect()
     sizes = Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
@@ -232,6 +291,7 @@ def test_jaccard(docs, rows, empty):
     assert stays.columns == docs.columns
     assert {r["doc_id"] for r in stays.collect()} == {r[0] for i, r in enumerate(rows) if r[0] is None or not sets[i] or min(ids[root(i)]) == r[0]}
     assert jaccard.similar(empty).count() == 0
+    assert not [t for t in docs.sparkSession.catalog.listTables() if t.name.startswith("jaccard")]
 
 
 def test_one_row_of_each_component(spark):
@@ -302,6 +362,11 @@ def test_url_lists(spark):
     got = sorted((r["page_id"], tuple(r["lists"]), r["blocked"]) for r in url_lists.judge(pages, listed).collect())
     assert got == [(1, ("block-x",), True), (1, ("block-x",), True), (2, ("allow-y",), False), (3, (), False), (4, (), False), (5, (), False)]
     assert url_lists.judge(pages.where("false"), listed).count() == 0
+    own = pages.withColumn("v_host", F.lit("mine")).withColumn("pattern", F.lit(1)).withColumn("month", F.lit(2)).withColumn("valid_to", F.lit(3))
+    kept = url_lists.judge(own, listed)
+    assert kept.columns == [c for c in own.columns if c != "lists"] + ["host", "lists", "blocked"]
+    assert {(r["v_host"], r["pattern"], r["month"], r["valid_to"]) for r in kept.collect()} == {("mine", 1, 2, 3)}
+    assert sorted((r["page_id"], tuple(r["lists"])) for r in kept.collect()) == [g[:2] for g in got]
     assert url_lists.judge(pages, listed.where("false")).where("blocked").count() == 0
 
 
