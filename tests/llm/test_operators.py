@@ -189,6 +189,39 @@ def test_sharding(docs, rows, empty):
     assert sharding.interleave(empty).count() == 0
 
 
+@pytest.mark.parametrize("per_bucket", [3, 10_000])
+def test_shards_and_slots(docs, rows, per_bucket):
+    md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
+    unit = lambda text: int(md5(text)[:8], 16)
+    seen, strata = Counter(), defaultdict(list)
+    for r in rows:
+        raw = (r[1] or "").encode()
+        row = (r[0], len(raw) + 1, zlib.crc32(raw), "" if r[3] is None else f"={r[3]}")
+        copy = seen[row]
+        seen[row] += 1
+        name = f"42:{'' if r[0] is None else r[0]}:{row[2]}" + (f":{copy}" if copy else "")
+        strata[row[3]].append((md5(name), (r[0] is not None, r[0] or 0), row[2], row[1], copy, row))
+    placed = []
+    for stratum, own in strata.items():
+        phase = unit(f"42/{stratum}") / 4294967296.0
+        for rank, one in enumerate(sorted(own)):
+            placed.append(((rank + phase) / len(own), stratum, *one))
+    placed.sort()
+    expected, first = Counter(), {}
+    for at, (*_, row) in enumerate(placed):
+        shard = at * 5 // len(placed)
+        expected[row[:3] + (shard, at - first.setdefault(shard, at))] += 1
+    got = sharding.interleave(docs, shards=5, rows_per_bucket=per_bucket)
+    assert counted(got, "doc_id", "size", "text_crc32", "shard", "slot") == expected
+
+
+def test_equal_rows_are_dealt_out(spark):
+    many = spark.range(3000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("x").alias("text"), F.lit("s").alias("source"))
+    got = sharding.interleave(many, rows_per_bucket=100)
+    assert counted(got, "shard") == Counter({(i,): 188 if i % 2 == 0 else 187 for i in range(16)})
+    assert got.groupBy("shard", "slot").count().where("count > 1").count() == 0
+
+
 def test_shards_hold_the_mixture(spark):
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.expr("if(id % 4 = 0, 'a', if(id % 40 = 1, 'b', 'c'))").alias("source"))
     mixed = sharding.interleave(many, rows_per_bucket=100).join(many.select("doc_id", "source"), "doc_id")
