@@ -183,25 +183,30 @@ def compact_posts(log: DataFrame) -> DataFrame:
     return creates.unionByName(_compact_deletes(log))
 
 
-def compact_engagement(log: DataFrame) -> DataFrame:
+def compact_engagement(log: DataFrame, split: int = SPLIT) -> DataFrame:
     """The last delete of each uri and every distinct create not before it.
 
     All such creates are kept, not only the first: a late operation with a smaller
-    `seq` may still undo the earlier ones. Redeliveries are combined first, on a key that
-    spreads a hot uri; nothing is grouped after the join, so a hot uri can be split there.
+    `seq` may still undo the earlier ones. A uri is split along `seq` as in the fold: its
+    last delete comes to its own part, and earlier parts drop out by a row per part, so the
+    creates of a hot uri meet in no one place.
     """
     log = engagement_of(log)
     deletes = _compact_deletes(log)
     key = ("uri", "seq", "op_idx")
     payload = [f.name for f in S.OPS.fields if f.name not in (*key, "ingested_us")]
+    part = [*_KEY, "part"]
+    keyed = _keyed(log).withColumn("part", F.expr(f"seq div {split}"))
     distinct = (
-        _keyed(log.where(_is_create()))
-        .groupBy("uri_hash", *key)
+        keyed.where(_is_create())
+        .groupBy(*part, "seq", "op_idx")
         .agg(F.min(F.struct("ingested_us", *payload)).alias("first"))
     )
-    alive = distinct.join(_last_deletes(_keyed(log)), [*_KEY], "left").where(
-        F.col("seq") >= F.coalesce("deleted_seq", F.lit(-1))
-    )
+    last = _last_deletes(keyed).withColumn("last_part", F.expr(f"deleted_seq div {split}"))
+    # What the last delete says to each part that has creates: a row per uri and part.
+    met = keyed.where(_is_create()).select(*part).distinct().join(last, [*_KEY])
+    bounds = met.where(F.col("part") <= F.col("last_part")).select(*part, "deleted_seq")
+    alive = distinct.join(bounds, part, "left").where(F.col("seq") >= F.coalesce("deleted_seq", F.lit(-1)))
     creates = alive.select(*[(f.name if f.name in key else f"first.{f.name}") for f in S.OPS.fields])
     return creates.unionByName(deletes)
 

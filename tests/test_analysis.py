@@ -11,7 +11,8 @@ from commitfold import schemas as S
 from commitfold.functions import recode, text as tx, times
 from commitfold.operators import analysis, lookups, ops, quality
 from commitfold.plans import collect, report
-from commitfold.sources import events, tables
+from commitfold.sources import tables
+from verification import events
 
 
 def post_rows(spark, *items):

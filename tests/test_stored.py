@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from commitfold import schemas as S
 from commitfold.operators import fold, lookups
-from commitfold.sources import events, progress, tables, text_index
+from commitfold.sources import tables, text_index
 from commitfold.streaming import keyed
 from test_fold import log_of, make_late, plan, random_ops
+from verification import events
 
 
 def rows(df):

@@ -9,8 +9,9 @@ from builders import TIME, commit, create, delete, frames, like, post
 from commitfold import schemas as S
 from commitfold.operators import fold, ops
 from commitfold.plans import collect
-from commitfold.sources import base, events, frames as source, progress
+from commitfold.sources import base, frames as source, progress
 from commitfold.streaming import collector
+from verification import events
 
 NOW = {"availableNow": True}
 

@@ -13,9 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .. import schemas as S
-from ..functions import text as tx, times
-from ..functions.built import built_once
+from commitfold import schemas as S
+from commitfold.functions import text as tx, times
+from commitfold.functions.built import built_once
 
 EPOCH_SECONDS = 1_704_067_200  # 2024-01-01T00:00:00Z
 OPS_PER_COMMIT = 4

@@ -18,9 +18,11 @@ from commitfold.functions import formats, recode, text as tx
 from commitfold.operators import analysis, counters, fold, lookups, ops, quality
 from commitfold.plans import collect, report
 from commitfold.session import work_folder
-from commitfold.sources import base, events, frames as frame_source, progress, tables, text_index
+from commitfold.sources import base, frames as frame_source, progress, tables, text_index
 from commitfold.streaming import collector, keyed
 
+from . import events
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SERVICE = "events"
