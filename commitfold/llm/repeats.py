@@ -13,15 +13,16 @@ that share so many bytes. If what precedes them differs, the repeat cannot be ex
 the left, and all its occurrences are a group. Intervals that all continue to the left are
 passed over: the suffixes one byte earlier hold them.
 
-A frame that stands in several places (a passage in thousands of texts) travels once per
-task and is a repeat as a whole. A bucket with more than `most` different frames (a common
+Frames are first told apart by their digests. One that stands in several places (a passage
+in thousands of texts) is a repeat as a whole, and only the bytes of buckets with different
+frames travel, each frame once per task. A bucket with more than `most` different frames (a common
 phrase in ever new surroundings) is not put into one task: its frames are split by where
-their strings begin, into parts that share a longer core; parts whose core no other has
-are done, and of the rest each string of `length` bytes is looked up by its digest. So no
-group grows with the data and nothing is dropped.
+their strings begin, into parts that share a longer core. Equal parts are a repeat as they
+are; where different ones share a core, the strings of `length` bytes of one frame for each
+are looked up by digest. So no group grows with the data and nothing is dropped.
 
-A group is maximal inside the frame of its anchor, and of `length` bytes in a bucket that
-was split. Longer repeats appear as groups of successive, overlapping frames; the union of
+A group is maximal inside the frame of its anchor; in a bucket that was split it is a part
+or a run of strings that each occur again. Longer repeats appear as groups of successive, overlapping frames; the union of
 their occurrences is exact.
 
 Cases: a null text is empty; a text shorter than `length` loses nothing; repeated rows are
@@ -32,16 +33,18 @@ other columns are ignored. A text is the unit that has to fit into a task.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import work_folder
 from .common import written
 
 LENGTH = 400
-MOST = 1000  # different frames of a bucket
+MOST = 64  # different frames of a bucket
 SEGMENT = 1 << 20  # positions that are hashed at once
 BATCH = 2 << 20  # bytes of frames whose suffixes are ordered together
 SALTS = 8
@@ -165,7 +168,7 @@ def _digest() -> list[Column]:
 
 
 def _anchored(docs: DataFrame, length: int) -> DataFrame:
-    """hi, lo, key, again: the anchors of every text, a key once; `again` if it has several."""
+    """hi, lo, key, n: the anchors of every text, a key once with its number of places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
@@ -173,24 +176,12 @@ def _anchored(docs: DataFrame, length: int) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 found = [np.unique(keys, return_counts=True) for _, keys in _by_text(_raw(part), length, hashes)]
-                keys, counts = _lists([f[0] for f in found], pa.int64()), _lists([f[1] > 1 for f in found], pa.bool_())
-                yield pa.RecordBatch.from_arrays([part.column("hi"), part.column("lo"), keys, counts], ["hi", "lo", "keys", "agains"])
+                lists = [_lists([f[i] for f in found], pa.int64()) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([part.column("hi"), part.column("lo"), *lists], ["hi", "lo", "keys", "ns"])
 
-    lists = docs.mapInArrow(run, "hi bigint, lo bigint, keys array<bigint>, agains array<boolean>")
-    opened = lists.select("hi", "lo", F.explode(F.arrays_zip("keys", "agains")).alias("one"))
-    return opened.select("hi", "lo", F.col("one.keys").alias("key"), F.col("one.agains").alias("again"))
-
-
-def _occurring_again(found: DataFrame) -> DataFrame:
-    """Keys that stand in two different texts, or twice in one."""
-    ranges = found.groupBy("key").agg(
-        *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("hi", "lo")], F.max("again").alias("again")
-    )
-    return ranges.where("again or min_hi <> max_hi or min_lo <> max_lo").select("key")
-
-
-def _all_salts(df: DataFrame) -> DataFrame:
-    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    lists = docs.select("hi", "lo", "text").mapInArrow(run, "hi bigint, lo bigint, keys array<bigint>, ns array<bigint>")
+    opened = lists.select("hi", "lo", F.explode(F.arrays_zip("keys", "ns")).alias("one"))
+    return opened.select("hi", "lo", F.col("one.keys").alias("key"), F.col("one.ns").alias("n"))
 
 
 def _dealt() -> Column:
@@ -198,13 +189,16 @@ def _dealt() -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
 
 
-_SALT = f"cast(pmod(lo, {SALTS}) as int)"
+def _keys_by_text(anchors: DataFrame, keys: DataFrame) -> DataFrame:
+    """hi, lo, keys: of each text those of its anchors that are among `keys`. A gram may
+    stand in any share of the texts; its rows are narrow, and adaptive execution splits it."""
+    return anchors.join(keys, "key", "left_semi").groupBy("hi", "lo").agg(F.collect_set("key").alias("keys"))
 
 
 # --- frames ------------------------------------------------------------------------
 
-_FRAMES = {"key": pa.int64(), "rid": pa.binary(), "ahead": pa.int32(), "hi": pa.int64(), "lo": pa.int64()}
-_FRAMES |= {"at": pa.list_(pa.int32()), "size": pa.int32(), "frame": pa.binary()}
+_PLACES = {"key": pa.int64(), "rid": pa.binary(), "ahead": pa.int32(), "hi": pa.int64(), "lo": pa.int64(), "at": pa.list_(pa.int32()), "size": pa.int32()}
+_BODIES = {"key": pa.int64(), "rid": pa.binary(), "ahead": pa.int32(), "frame": pa.binary()}
 
 
 def _name(raw: bytes) -> bytes:
@@ -217,38 +211,60 @@ def _rows(rows: list[tuple], kinds: dict[str, pa.DataType]) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays(columns, list(kinds))
 
 
-def _framed(sources: DataFrame, length: int) -> DataFrame:
-    """The frames around the wanted keys of each text, equal ones of a text as one row.
-    `ahead` is the number of bytes before the anchor. The bytes go along once per task;
-    their digest `rid` tells frames apart."""
-    width = width_of(length)
+def _of_texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tuple[int, int, dict]]]:
+    """(hi, lo, frames) of some texts at a time: the frames (key, bytes before the anchor,
+    bytes) around the wanted keys with the places of their anchors."""
+    hashes, width = Hashes(), width_of(length)
+    for batch in batches:
+        for i in range(0, batch.num_rows, 64):
+            part, out = batch.slice(i, 64), []
+            raws = _raw(part)
+            given = zip(*[part.column(c).to_pylist() for c in ("hi", "lo", "keys")], strict=True)
+            for raw, (hi, lo, wanted), (at, keys) in zip(raws, given, _by_text(raws, length, hashes), strict=True):
+                use = np.isin(keys, wanted)
+                frames: dict[tuple[int, int, bytes], list[int]] = {}
+                for a, key in zip(at[use].tolist(), keys[use].tolist(), strict=True):
+                    ahead = min(a, width - 1)
+                    frames.setdefault((key, ahead, raw[a - ahead : a + length]), []).append(a)
+                out.append((hi, lo, frames))
+            yield out
+
+
+def _places(sources: DataFrame, length: int) -> DataFrame:
+    """Where the frames of the wanted keys stand, equal ones of a text as one row. `ahead` is
+    the number of bytes before the anchor; the digest `rid` tells frames apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, told = Hashes(), set()
-        for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                part = batch.slice(i, 64)
-                raws, rows = _raw(part), []
-                given = zip(*[part.column(c).to_pylist() for c in ("hi", "lo", "keys")], strict=True)
-                for raw, (hi, lo, wanted), (at, keys) in zip(raws, given, _by_text(raws, length, hashes), strict=True):
-                    use = np.isin(keys, wanted)
-                    frames: dict[tuple[int, int, bytes], list[int]] = {}
-                    for a, key in zip(at[use].tolist(), keys[use].tolist(), strict=True):
-                        ahead = min(a, width - 1)
-                        frames.setdefault((key, ahead, raw[a - ahead : a + length]), []).append(a)
-                    for (key, ahead, frame), places in frames.items():
-                        rid = _name(frame)
-                        new = (key, ahead, rid) not in told
-                        if new:
-                            if len(told) > 200_000:
-                                told.clear()
-                            told.add((key, ahead, rid))
-                        rows.append((key, rid, ahead, hi, lo, places, len(frame), frame if new else None))
-                yield from _rows(rows, _FRAMES)
-
-    return sources.select("hi", "lo", "text", "keys").mapInArrow(
-        run, "key bigint, rid binary, ahead int, hi bigint, lo bigint, at array<int>, size int, frame binary"
-    )
+        for texts in _of_texts(batches, length):
+            rows = [
+                (key, _name(frame), ahead, hi, lo, at, len(frame))
+                for hi, lo, frames in texts
+                for (key, ahead, frame), at in frames.items()
+            ]
+            yield from _rows(rows, _PLACES)
+
+    out = "key bigint, rid binary, ahead int, hi bigint, lo bigint, at array<int>, size int"
+    return sources.select("hi", "lo", "text", "keys").mapInArrow(run, out)
+
+
+def _bodies(sources: DataFrame, length: int) -> DataFrame:
+    """The bytes of the frames of the wanted keys, once per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[tuple[int, int, bytes]] = set()
+        for texts in _of_texts(batches, length):
+            rows = []
+            for _, _, frames in texts:
+                for key, ahead, frame in frames:
+                    one = key, ahead, _name(frame)
+                    if one not in told:
+                        if len(told) > 200_000:
+                            told.clear()
+                        told.add(one)
+                        rows.append((key, one[2], ahead, frame))
+            yield from _rows(rows, _BODIES)
+
+    return sources.select("hi", "lo", "text", "keys").mapInArrow(run, "key bigint, rid binary, ahead int, frame binary")
 
 
 # --- the suffix array of a batch of buckets ------------------------------------------
@@ -327,6 +343,25 @@ def repeats(
                         yield suffixes[x][2], name, start, size
 
 
+def _covered(found: Iterable[tuple[int, bytes, int, int]]) -> Iterator[tuple[int, None, int, int]]:
+    """The union of the occurrences in each frame."""
+    spans: dict[int, list[tuple[int, int]]] = {}
+    for nr, _, start, size in found:
+        spans.setdefault(nr, []).append((start, start + size))
+    return ((nr, None, start, end - start) for nr, own in spans.items() for start, end in union(own))
+
+
+def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order that neither overlap nor touch."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def _bucket_groups(bodies: DataFrame, length: int, longest: bool) -> DataFrame:
     """The repeats (start from the anchor, size) of frames whose buckets fit into a task.
     Buckets come one after the other, and several whole ones are worked on together."""
@@ -339,6 +374,8 @@ def _bucket_groups(bodies: DataFrame, length: int, longest: bool) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             found = repeats([(row[0], row[2], row[3]) for row in held], length, hashes, longest)
+            if longest:
+                found = _covered(found)
             yield from _rows([(*held[nr][:3], name, start, n) for nr, name, start, n in found], _ONE)
 
         def closed() -> int:
@@ -370,132 +407,184 @@ def _bucket_groups(bodies: DataFrame, length: int, longest: bool) -> DataFrame:
 
 # --- buckets of too many frames -----------------------------------------------------
 
+# Equal parts; 128 bits of place and bytes, as whole numbers, which shuffle small.
+_PART = ["core", "back", "p1", "p2"]
+_PARTS = {name: pa.int64() for name in ("nr", "n", "core")} | {"back": pa.int32(), "p1": pa.int64(), "p2": pa.int64()}
+_STRINGS = {"core": pa.int64(), "back": pa.int32(), "p1": pa.int64(), "p2": pa.int64(), "key": pa.int64(), "at": pa.int32(), "s1": pa.int64(), "s2": pa.int64()}
+
+
+def _schema(kinds: dict[str, pa.DataType]) -> str:
+    return ", ".join(f"{name} {'int' if kind == pa.int32() else 'bigint'}" for name, kind in kinds.items())
+
+
+def _numbers(raw: bytes) -> tuple[int, int]:
+    digest = hashlib.sha256(raw).digest()
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:16], "big", signed=True)
+
+
+def _step(length: int) -> int:
+    return max(1, width_of(length) // 8)
+
+
+def _part(size: int, ahead: int, back: int, length: int) -> tuple[int, int]:
+    """The first place at which a string of the part begins, and the end of the last one."""
+    last = ahead - back
+    return max(last - _step(length) + 1, 0), min(last + length, size)
+
 
 def _parts(bodies: DataFrame, length: int) -> DataFrame:
-    """key, rid, ahead, n of a frame, and its parts: `back`, the first place of a part counted
-    back from the anchor, and `core`, the digest of key, place and shared bytes."""
-    width = width_of(length)
-    step = max(1, round(width**0.5))
+    """The parts of frames: `back`, the last place of a part's strings counted back from the
+    anchor, so that equal strings have equal parts; `core`, a digest of key, place and what
+    all its strings share; `p1` and `p2`, that of its place and all its bytes."""
+    step = _step(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 rows = []
-                for key, rid, ahead, n, frame in zip(*[c.to_pylist() for c in batch.slice(i, 1024).columns], strict=True):
+                for nr, key, ahead, n, frame in zip(*[c.to_pylist() for c in batch.slice(i, 1024).columns], strict=True):
                     for back in range(0, ahead + 1, step):
-                        last = ahead - back
-                        end = last - step + 1 + length
-                        if max(last - step + 1, 0) + length <= len(frame):
-                            rows.append((key, rid, ahead, n, back, _name(b"%d %d:" % (key, back) + frame[last:end])))
-                yield from _rows(rows, {"key": pa.int64(), "rid": pa.binary(), "ahead": pa.int32(), "n": pa.int64(), "back": pa.int32(), "core": pa.binary()})
-
-    return bodies.select("key", "rid", "ahead", "n", "frame").mapInArrow(
-        run, "key bigint, rid binary, ahead int, n bigint, back int, core binary"
-    )
+                        first, end = _part(len(frame), ahead, back, length)
+                        if end - first >= length:
+                            core = frame[ahead - back : ahead - back - step + 1 + length]
+                            head = b"%d %d:" % (key, first - ahead)
+                            rows.append((nr, n, _numbers(b"%d %d:" % (key, back) + core)[0], back, *_numbers(head + frame[first:end])))
+                yield from _rows(rows, _PARTS)
+
+    return bodies.select("nr", "key", "ahead", "n", "frame").mapInArrow(run, _schema(_PARTS))
 
 
 def _strings(bodies: DataFrame, length: int) -> DataFrame:
-    """All strings of `length` bytes of the named parts (`backs`) of frames."""
-    step = max(1, round(width_of(length) ** 0.5))
+    """All strings of `length` bytes of the named parts of frames: `at` (from the anchor) and
+    the digest of the bytes (`s1`, `s2`), beside what names the part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 rows = []
-                for key, rid, ahead, n, frame, backs in zip(*[c.to_pylist() for c in batch.slice(i, 256).columns], strict=True):
-                    for back in backs:
-                        for start in range(max(ahead - back - step + 1, 0), min(ahead - back, len(frame) - length) + 1):
-                            rows.append((key, rid, ahead, n, start - ahead, _name(frame[start : start + length])))
-                yield from _rows(rows, {"key": pa.int64(), "rid": pa.binary(), "ahead": pa.int32(), "n": pa.int64(), "start": pa.int32(), "repeat": pa.binary()})
-
-    return bodies.select("key", "rid", "ahead", "n", "frame", "backs").mapInArrow(
-        run, "key bigint, rid binary, ahead int, n bigint, start int, repeat binary"
-    )
+                for key, ahead, frame, parts in zip(*[c.to_pylist() for c in batch.slice(i, 256).columns], strict=True):
+                    for part in parts:
+                        first, end = _part(len(frame), ahead, part["back"], length)
+                        for at in range(first, end - length + 1):
+                            rows.append((*[part[c] for c in _PART], key, at - ahead, *_numbers(frame[at : at + length])))
+                yield from _rows(rows, _STRINGS)
+
+    return bodies.select("key", "ahead", "frame", "parts").mapInArrow(run, _schema(_STRINGS))
 
 
-def _split_groups(frames: DataFrame, bodies: DataFrame, length: int) -> DataFrame:
-    """The repeats of frames whose buckets do not fit into a task."""
+def _split_groups(frames: DataFrame, bodies: DataFrame, length: int, longest: bool) -> DataFrame:
+    """The repeats of frames whose buckets do not fit into a task.
+
+    Equal parts are one from here on: of several, the part is a repeat as a whole. Only
+    where different parts share a core are their strings compared, of one frame for each.
+    Strings that follow one another are given as one span.
+    """
     once = bodies.groupBy(*_FRAME_KEY).agg(F.first("frame").alias("frame")).join(frames.select(*_FRAME_KEY, "n"), _FRAME_KEY)
-    once = written(once, "repeats-split")
+    once = written(once.withColumn("nr", F.monotonically_increasing_id()), "repeats-split")
     parts = written(_parts(once, length), "repeats-parts")
-    met = parts.groupBy("core").agg(F.sum("n").alias("all")).where("all > 1").select("core")
-    left = _all_salts(met).join(parts.withColumn("salt", F.expr(f"cast(pmod(xxhash64(rid), {SALTS}) as int)")), ["core", "salt"])
-    backs = left.groupBy(*_FRAME_KEY).agg(F.collect_set("back").alias("backs"))
-    strings = written(_strings(once.join(backs, _FRAME_KEY), length), "repeats-strings")
-    # As in a bucket, only strings at one place by the anchor are compared.
-    place = ["repeat", "key", "start"]
-    again = _all_salts(strings.groupBy(*place).agg(F.sum("n").alias("all")).where("all > 1").select(*place))
-    found = strings.withColumn("salt", F.expr(f"cast(pmod(xxhash64(rid), {SALTS}) as int)")).join(again, [*place, "salt"], "left_semi")
-    return found.select(*_FRAME_KEY, "repeat", "start", F.lit(length).alias("size"))
-
-
-def _solved(framed: DataFrame, length: int, most: int, longest: bool) -> DataFrame:
+    different = written(parts.groupBy(*_PART).agg(F.sum("n").alias("n"), F.min("nr").alias("nr")), "repeats-different")
+    met = different.groupBy("core", "back").agg(F.count(F.lit(1)).alias("all")).where("all > 1").select("core", "back")
+    compared = different.join(met, ["core", "back"], "left_semi").groupBy("nr").agg(F.collect_list(F.struct(*_PART)).alias("parts"))
+    strings = written(_strings(once.join(compared, "nr"), length), "repeats-strings")
+    place = ["s1", "s2", "key", "at"]
+    again = strings.groupBy(*place).agg(F.count(F.lit(1)).alias("all")).where("all > 1").select(*place)
+    runs = strings.join(again, place, "left_semi").groupBy(*_PART).agg(F.min("at").alias("low"), F.max("at").alias("high"), F.collect_list("at").alias("ats"))
+    one = F.col("high") - F.col("low") + 1 == F.size("ats")
+    span = lambda at, size: F.struct(at.cast("int").alias("start"), size.cast("int").alias("size"))
+    spans = F.when(one, F.array(span(F.col("low"), F.col("high") - F.col("low") + length))).otherwise(
+        F.transform("ats", lambda at: span(at, F.lit(length)))
+    )
+    several = different.where("n > 1").select(*_PART, F.lit(True).alias("whole"))
+    known = several.join(runs.select(*_PART, spans.alias("spans")), _PART, "full").select(*_PART, "whole", "spans")
+    by_frame = parts.select("nr", *_PART).join(known, _PART).groupBy("nr").agg(F.collect_list(F.struct("back", "whole", "spans")).alias("found"))
+    first = F.greatest(F.col("ahead") - F.col("one.back") - (_step(length) - 1), F.lit(0))
+    end = F.least(F.col("ahead") - F.col("one.back") + length, F.col("length"))
+    all_spans = F.when(F.col("one.whole"), F.array(span(first - F.col("ahead"), end - first))).otherwise(F.col("one.spans"))
+    # The bytes are needed for the names of the repeats only.
+    raw = F.substring("frame", F.col("span.start") + F.col("ahead") + 1, F.col("span.size"))
+    name = F.lit(None).cast("binary") if longest else F.unhex(F.substring(F.sha2(raw, 256), 1, 32))
+    once = once.withColumn("length", F.length("frame"))
+    opened = (once.drop("frame") if longest else once).join(by_frame, "nr").withColumn("one", F.explode("found"))
+    opened = opened.withColumn("span", F.explode(all_spans))
+    return opened.select(*_FRAME_KEY, name.alias("repeat"), "span.start", "span.size")
+
+
+def _solved(sources: DataFrame, places: DataFrame, length: int, most: int, longest: bool) -> DataFrame:
     """The repeats of all frames: key, rid, ahead, repeat, start (from the anchor), size."""
-    counted = framed.groupBy(*_FRAME_KEY).agg(F.sum(F.size("at")).alias("n"), F.max("size").alias("size"))
-    counted = written(counted, "repeats-counted")
+    counted = written(places.groupBy(*_FRAME_KEY).agg(F.sum(F.size("at")).alias("n"), F.max("size").alias("size")), "repeats-counted")
     again = counted.where((F.col("n") > 1) & (F.col("size") >= length))
     found = again.select(*_FRAME_KEY, F.col("rid").alias("repeat"), (-F.col("ahead")).alias("start"), "size")
-    sizes = counted.groupBy("key").agg(F.count(F.lit(1)).alias("n_frames"))
-    hot = written(sizes.where(F.col("n_frames") > most).select("key"), "repeats-hot")
-    bodies = framed.where(F.col("frame").isNotNull()).select(*_FRAME_KEY, "frame")
+    sizes = counted.groupBy("key").agg(F.count(F.lit(1)).alias("n_frames")).where("n_frames > 1")
+    sizes = written(sizes, "repeats-sizes")
+
+    def bodies(keys: DataFrame) -> DataFrame:
+        wanted = _keys_by_text(places.select("hi", "lo", "key"), keys.select("key"))
+        return _bodies(sources.drop("keys").join(wanted, ["hi", "lo"]), length)
+
+    found = found.unionByName(_bucket_groups(bodies(sizes.where(F.col("n_frames") <= most)), length, longest))
+    hot = sizes.where(F.col("n_frames") > most)
     if hot.isEmpty():
-        return found.unionByName(_bucket_groups(bodies, length, longest))
-    split = _split_groups(counted.join(hot, "key", "left_semi"), bodies.join(hot, "key", "left_semi"), length)
-    return found.unionByName(_bucket_groups(bodies.join(hot, "key", "left_anti"), length, longest)).unionByName(split)
+        return found
+    return found.unionByName(_split_groups(counted.join(hot, "key", "left_semi"), bodies(hot), length, longest))
 
 
 # --- results -------------------------------------------------------------------------
 
 
 class Found:
-    """What was found in the texts of `docs`: `sources` (hi, lo, n, text and more, of the
-    texts that share anything) and `occurrences` (hi, lo, at, groups); with `longest` no
-    more of the groups than their union needs."""
+    """What was found in the texts of `docs`, for as long as the block lasts: `sources` (hi,
+    lo, n, salt, text, of the texts that share anything) and `occurrences` (hi, lo, at,
+    groups); with `longest` no more of the groups than their union needs.
+
+    The sources lie in buckets by digest, so what is found out about them comes to them and
+    their texts are shuffled once. The table is taken out of the catalog again at the end."""
 
     def __init__(self, docs: DataFrame, length: int = LENGTH, most: int = MOST, longest: bool = False):
-        self.length = length
+        self.spark, self.length = docs.sparkSession, length
         texts = docs.select(*_digest(), F.coalesce("text", F.lit("")).alias("text"), _dealt().alias("salt"))
-        found = written(_anchored(texts.drop("salt"), length), "repeats-anchors")
-        here = found.select("hi", "lo", "key", F.expr(_SALT).alias("salt"))
-        again = here.join(_all_salts(_occurring_again(found)), ["key", "salt"], "left_semi")
-        keys = again.groupBy("hi", "lo").agg(F.collect_set("key").alias("keys"))
+        anchors = written(_anchored(texts, length), "repeats-anchors")
+        again = anchors.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
         once = texts.groupBy("hi", "lo").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"), F.min("salt").alias("salt"))
-        close = once.join(keys, ["hi", "lo"], "left").where(F.col("keys").isNotNull() | (F.col("n") > 1))
-        self.sources = written(close, "repeats-sources")
-        framed = written(_framed(self.sources.where(F.col("keys").isNotNull()), length), "repeats-frames")
-        solved = written(_solved(framed, length, most, longest), "repeats-groups")
-        merged = solved.groupBy(*_FRAME_KEY).agg(F.collect_list(F.struct("repeat", "start", "size")).alias("groups"))
-        here = framed.select(*_FRAME_KEY, "hi", "lo", "at", F.expr(_SALT).alias("salt"))
-        self.occurrences = here.join(_all_salts(merged), [*_FRAME_KEY, "salt"]).select("hi", "lo", "at", "groups")
-
-
-def groups(found: Found) -> DataFrame:
+        close = once.join(_keys_by_text(anchors, again), ["hi", "lo"], "left").where(F.col("keys").isNotNull() | (F.col("n") > 1))
+        self.table = f"repeats_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = work_folder(self.spark, "repeats-sources")
+        close.write.bucketBy(buckets, "hi", "lo").sortBy("hi", "lo").option("path", path).saveAsTable(self.table)
+        try:
+            self.sources = self.spark.table(self.table)
+            with_keys = self.sources.where(F.col("keys").isNotNull())
+            places = written(_places(with_keys, length), "repeats-places")
+            solved = written(_solved(with_keys, places, length, most, longest), "repeats-groups")
+            if longest:
+                solved = solved.withColumn("repeat", F.lit(None).cast("binary"))
+            merged = solved.groupBy(*_FRAME_KEY).agg(F.collect_set(F.struct("repeat", "start", "size")).alias("groups"))
+            self.occurrences = places.join(merged, _FRAME_KEY).select("hi", "lo", "at", "groups")
+        except BaseException:
+            self.__exit__()
+            raise
+
+    def __enter__(self) -> Found:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
+
+def groups(docs: DataFrame, length: int = LENGTH, most: int = MOST) -> DataFrame:
     """Every occurrence of the maximal repeats of the different texts: the text's digest (hi,
     lo), start and size in bytes, and `repeat`, the digest of the repeat's bytes."""
-    opened = found.occurrences.select("hi", "lo", F.explode("at").alias("at"), "groups")
-    opened = opened.select("hi", "lo", "at", F.explode("groups").alias("one"))
-    return opened.select(
-        "hi", "lo", (F.col("at") + F.col("one.start")).alias("start"), F.col("one.size").alias("size"), F.col("one.repeat").alias("repeat")
-    ).distinct()
-
-
-def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans in order that neither overlap nor touch."""
-    out: list[tuple[int, int]] = []
-    for start, end in sorted(spans):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((start, end))
-    return out
+    with Found(docs, length, most) as found:
+        opened = found.occurrences.select("hi", "lo", F.explode("at").alias("at"), "groups")
+        opened = opened.select("hi", "lo", "at", F.explode("groups").alias("one"))
+        start = (F.col("at") + F.col("one.start")).alias("start")
+        return written(opened.select("hi", "lo", start, "one.size", "one.repeat").distinct(), "repeats-all")
 
 
 _CHANGED = {"hi": pa.int64(), "lo": pa.int64(), "n": pa.int64(), "salt": pa.int32(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept": pa.binary()}
 
 
 def _changed(found: Found) -> DataFrame:
-    """hi, lo, salt, n_removed, n_spans, kept of the texts that lose bytes; one that stands
-    in several documents is under all salts, any other under that of its document."""
+    """hi, lo, n, salt, n_removed, n_spans, kept of the texts that lose bytes."""
     length = found.length
     flat = F.transform("groups", lambda g: F.struct(g["start"].alias("start"), g["size"].alias("size")))
     spans = found.occurrences.groupBy("hi", "lo").agg(F.collect_list(F.struct("at", flat.alias("spans"))).alias("found"))
@@ -517,25 +606,27 @@ def _changed(found: Found) -> DataFrame:
                     rows.append((hi, lo, n, salt, len(raw) - len(kept), len(gone), kept))
                 yield from _rows(rows, _CHANGED)
 
-    changed = joined.select("hi", "lo", "n", "salt", "text", "found").mapInArrow(
+    return joined.select("hi", "lo", "n", "salt", "text", "found").mapInArrow(
         run, "hi bigint, lo bigint, n bigint, salt int, n_removed bigint, n_spans bigint, kept binary"
     )
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    return changed.withColumn("salt", F.explode(F.when(F.col("n") > 1, every).otherwise(F.array("salt"))))
 
 
 def cut(docs: DataFrame, length: int = LENGTH, most: int = MOST, with_kept: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, `kept`: the remaining
     bytes, which need not be whole characters. Without them no text moves for the result."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    changed = _changed(Found(docs, length, most, longest=True)).withColumn("after", F.sha2("kept", 256))
-    changed = changed.select("hi", "lo", "salt", "n_removed", "n_spans", "after", *(["kept"] if with_kept else []))
+    with Found(docs, length, most, longest=True) as found:
+        changed = _changed(found).withColumn("after", F.sha2("kept", 256))
+        changed = written(changed if with_kept else changed.drop("kept"), "repeats-changed")
+    # A text that stands in several documents is under all salts, any other under that of its own.
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    changed = changed.withColumn("salt", F.explode(F.when(F.col("n") > 1, every).otherwise(F.array("salt")))).drop("n")
     whole = [F.encode("text", "UTF-8").alias("whole")] if with_kept else []
     rows = docs.select("doc_id", *_digest(), F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("before"), *whole)
     # Repeated rows become one with a number, so no text holds more rows than it has documents.
     key = ["doc_id", "hi", "lo", "n_bytes", "before"]
     rows = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), *[F.first("whole").alias("whole") for _ in whole])
-    found = rows.withColumn("salt", _dealt()).join(changed, ["hi", "lo", "salt"], "left")
+    joined = rows.withColumn("salt", _dealt()).join(changed, ["hi", "lo", "salt"], "left")
     out = [
         "doc_id",
         "n_bytes",
@@ -544,4 +635,4 @@ def cut(docs: DataFrame, length: int = LENGTH, most: int = MOST, with_kept: bool
         *[F.coalesce("kept", "whole").alias("kept") for _ in whole],
         F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("_row"),
     ]
-    return found.select(*out).drop("_row")
+    return joined.select(*out).drop("_row")

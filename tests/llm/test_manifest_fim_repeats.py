@@ -166,7 +166,7 @@ def documents(rng, length):
     return [*rows, rows[4], rows[15]]
 
 
-@pytest.mark.parametrize("length, most", [(400, 1000), (20, 1000), (20, 3), (8, 2)])
+@pytest.mark.parametrize("length, most", [(400, 64), (20, 64), (20, 3), (8, 1)])
 def test_repeats(spark, monkeypatch, length, most):
     rows = documents(random.Random(length + most), length)
     df = spark.createDataFrame(rows, "doc_id bigint, text string, hi string").repartition(3)
@@ -175,6 +175,7 @@ def test_repeats(spark, monkeypatch, length, most):
     narrow = repeats.cut(df, length, most, with_kept=False)
     assert Counter(tuple(r) for r in narrow.collect()) == Counter(k[:5] for k in got.elements())
     assert repeats.cut(df.where("false"), length, most).count() == 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("repeats")]
 
 
 def test_repeat_groups_have_all_occurrences(spark):
@@ -183,7 +184,7 @@ def test_repeat_groups_have_all_occurrences(spark):
     shared, tail = word(60), word(40)
     texts = [word(30) + shared + tail + word(10), "p" + shared + tail + "q", "r" + shared + "s" * 3, word(50)]
     df = spark.createDataFrame(enumerate(texts), "doc_id bigint, text string")
-    found = repeats.groups(repeats.Found(df, 50))
+    found = repeats.groups(df, 50)
     digests = df.select("doc_id", "text", *repeats._digest())
     got = found.join(digests, ["hi", "lo"]).collect()
     members = {}
