@@ -490,6 +490,27 @@ ORACLES: dict[str, str] = {
     "stream_position": q(OTHER, CURSOR),
 }
 
+ORACLES["post_sample_limited"] = q(TABLES, "SELECT * FROM post ORDER BY uri LIMIT 100")
+for _name, _type in (("likes_of_most_liked", 2), ("reposters_of_most_reposted", 1)):
+    _subject = f"(SELECT subjectUri FROM engagement WHERE type = {_type} GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
+    ORACLES[f"{_name}_next_page"] = q(
+        TABLES,
+        f"""SELECT {ACTOR_COLUMNS} FROM engagement WHERE type = {_type} AND subjectUri = {_subject}
+            ORDER BY indexedAt DESC, uri DESC LIMIT 3 OFFSET 1""",
+    )
+
+# A delete lacks cid, createdAt (the log's indexedAt here as well) and what its table holds besides.
+ORACLES["log_constraints"] = q(
+    LOG,
+    """SELECT 'post' AS table_name, count(*) AS n_rows, count(*) - count(DISTINCT uri) AS duplicate_keys,
+         CAST(9 * count(*) FILTER (action = 'delete') AS BIGINT) AS missing_values
+       FROM log WHERE target = 'post'
+       UNION ALL
+       SELECT 'engagement', count(*), count(*) - count(DISTINCT uri),
+         CAST(5 * count(*) FILTER (action = 'delete') AS BIGINT)
+       FROM log WHERE target = 'engagement'""",
+)
+
 # The same rows, whatever they are read from.
 for _name in (
     "author_posts",

@@ -212,6 +212,12 @@ def post_sample(spark, folder):
     return analysis.sample(_post(spark, folder), order_by="uri")
 
 
+@query
+def post_sample_limited(spark, folder):
+    """A sample smaller than the table."""
+    return analysis.sample(_post(spark, folder), n=100, order_by="uri")
+
+
 @query
 def engagement_by_type(spark, folder):
     return analysis.engagement_by_type(_engagement(spark, folder))
@@ -269,6 +275,18 @@ def table_constraints(spark, folder):
     )
 
 
+@query
+def log_constraints(spark, folder):
+    """The constraints of the tables, asked of the log's rows as they come: created again
+    under one uri, and deletes, which have no content."""
+    log = events.event_log(spark, folder)
+    report_of = lambda rows, name: quality.constraint_report(
+        rows.select(*[F.col(f.name) if f.name in rows.columns else F.col("createdAt").alias(f.name) for f in S.TABLES[name].fields]), name
+    )
+    post = report_of(fold.posts_of(log), "post")
+    return post.unionByName(report_of(fold.engagement_of(log), "engagement"))
+
+
 @query
 def cursor_progress(spark, folder):
     return progress.checkpoint_position(_frames(spark, folder), SERVICE)
@@ -518,6 +536,25 @@ def reposters_of_subject_next_page(spark, folder):
     return _next_page(look, "indexedAt", "uri")
 
 
+def _most(engagement: DataFrame, type: int) -> str:
+    """The subject with the most rows of a type."""
+    return _busiest(engagement.where(F.col("type") == type), "subjectUri")
+
+
+@query
+def likes_of_most_liked_next_page(spark, folder):
+    engagement = _engagement(spark, folder)
+    look = partial(lookups.likes_of, engagement, _most(engagement, S.TYPE_LIKE))
+    return _next_page(look, "indexedAt", "uri")
+
+
+@query
+def reposters_of_most_reposted_next_page(spark, folder):
+    engagement = _engagement(spark, folder)
+    look = partial(lookups.reposted_by, engagement, _most(engagement, S.TYPE_REPOST))
+    return _next_page(look, "indexedAt", "uri")
+
+
 @query
 def posts_liked_by_actor_next_page(spark, folder):
     engagement = _engagement(spark, folder)
