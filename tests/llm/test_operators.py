@@ -8,6 +8,7 @@ import time
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -303,6 +304,28 @@ def test_maxent(spark, docs, rows, empty, folder):
     assert scored[0] > scored[1]
 
 
+def test_maxent_probabilities_sum_to_one():
+    """After any history the classes and their members share a probability of one; within
+    the rare class the smoothed counts do."""
+    rng = np.random.default_rng(5)
+    counts = np.sort(rng.integers(1, 1000, 3000))[::-1]
+    names = tuple(b"t%d" % i for i in range(3000))
+    vocabulary = maxent.Vocabulary(int(counts.sum()), 3000, names, tuple(int(n) for n in counts))
+    model = maxent.Model(vocabulary, maxent._empty(), np.zeros((maxent.ROWS, maxent.MEMBERS), np.float32))
+    taught = rng.integers(0, maxent.HEAD + 50, 5000)
+    model.learn(taught, np.arange(0, 5000, 100))
+    after = np.append(np.arange(maxent.HEAD), maxent.HEAD + 7)  # every token of the head, and the rare class
+    for history in ([3, 900], [maxent.HEAD + 9, 1], [0, 0]):
+        ids = np.array([[*history, x] for x in after]).ravel()
+        logs = model.log10(ids, np.arange(0, len(ids), 3))[2::3]
+        assert abs((10.0**logs).sum() - 1) < 1e-4
+    first = model.log10(after, np.arange(len(after)))
+    assert abs((10.0**first).sum() - 1) < 1e-4
+    rare = counts[maxent.HEAD :]
+    below = rare.sum() + maxent.SMOOTH * (len(rare) + 1)
+    assert abs(((rare + maxent.SMOOTH) / below).sum() + maxent.SMOOTH / below - 1) < 1e-12
+
+
 def test_jaccard(docs, rows, empty):
     sets, at = [], []
     for r in rows:
