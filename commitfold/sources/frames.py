@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
 from ..session import importable
-from .seq_stream import SeqStream
 
 _JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT}
 
@@ -42,6 +41,8 @@ def stream(spark: SparkSession, path: str, fmt: str = "json", files_per_batch: i
 def stream_after(spark: SparkSession, path: str, position: int | str = 0, **options) -> DataFrame:
     """Frames landed as Parquet, by position: those after a known one, or with `tail` what
     lands from now on. The query's checkpoint holds positions (`seq_stream`)."""
+    from .seq_stream import SeqStream  # needs pyarrow, which nothing else here does
+
     importable(spark)
     spark.dataSource.register(SeqStream)
     reader = spark.readStream.format(SeqStream.name()).option("path", path).option("start", str(position))

@@ -21,7 +21,7 @@ print(sorted(set(entry.queries()) - set(QUERIES)))
 """
 
 
-@pytest.mark.parametrize("hidden", [["zstandard"], ["tiktoken"], ["numpy"], ["commitfold.llm"], ["corpus_pipeline"]], ids=str)
+@pytest.mark.parametrize("hidden", [["zstandard"], ["tiktoken"], ["numpy", "pyarrow", "pandas"], ["commitfold.llm"], ["corpus_pipeline"]], ids=str)
 def test_core_queries_stay(hidden):
     done = subprocess.run([sys.executable, "-c", HIDE.format(hidden=hidden)], cwd=ROOT, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
