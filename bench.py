@@ -117,7 +117,7 @@ def main() -> None:
     tail = log.where(f"seq > {cut}")
     spark.sql("DROP DATABASE IF EXISTS bench_standing CASCADE")
     timed("standing_start", lambda: base.advance(log.where(f"seq <= {cut}"), "bench_standing", int(cpus)), 1)
-    timed("standing_read_with_tail", lambda: base.tables(spark, "bench_standing", tail, with_counters=True).post)
+    timed("standing_read_with_tail", lambda: base.tables(spark, "bench_standing", tail, with_counters=True).post, 1)
     timed("standing_advance", lambda: base.advance(tail, "bench_standing", int(cpus)), 1)
     timed("standing_totals", lambda: base.totals(spark, "bench_standing"))
     timings["stream_per_batch"] = round(timings["stream_micro_batches"] / BATCHES, 3)
