@@ -197,8 +197,20 @@ def _keys_by_text(anchors: DataFrame, keys: DataFrame) -> DataFrame:
 
 # --- frames ------------------------------------------------------------------------
 
-_PLACES = {"key": pa.int64(), "rid": pa.binary(), "ahead": pa.int32(), "hi": pa.int64(), "lo": pa.int64(), "at": pa.list_(pa.int32()), "size": pa.int32()}
-_BODIES = {"key": pa.int64(), "rid": pa.binary(), "ahead": pa.int32(), "frame": pa.binary()}
+# A frame is known by 128 bits of its key, place and bytes, as two numbers that shuffle small.
+_FRAME_KEY = ["f1", "f2"]
+_PLACES = {"f1": pa.int64(), "f2": pa.int64(), "key": pa.int64(), "ahead": pa.int32(), "hi": pa.int64(), "lo": pa.int64()}
+_PLACES |= {"at": pa.list_(pa.int32()), "size": pa.int32(), "repeat": pa.binary()}
+_BODIES = {"f1": pa.int64(), "f2": pa.int64(), "key": pa.int64(), "ahead": pa.int32(), "hot": pa.bool_(), "frame": pa.binary()}
+
+
+def _numbers(raw: bytes) -> tuple[int, int]:
+    digest = hashlib.sha256(raw).digest()
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:16], "big", signed=True)
+
+
+def _frame_id(key: int, ahead: int, frame: bytes) -> tuple[int, int]:
+    return _numbers(b"%d %d:" % (key, ahead) + frame)
 
 
 def _name(raw: bytes) -> bytes:
@@ -230,48 +242,60 @@ def _of_texts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[t
             yield out
 
 
-def _places(sources: DataFrame, length: int) -> DataFrame:
+def _places(sources: DataFrame, length: int, named: bool) -> DataFrame:
     """Where the frames of the wanted keys stand, equal ones of a text as one row. `ahead` is
-    the number of bytes before the anchor; the digest `rid` tells frames apart."""
+    the number of bytes before the anchor; with `named` also the digest of the bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _of_texts(batches, length):
             rows = [
-                (key, _name(frame), ahead, hi, lo, at, len(frame))
+                (*_frame_id(key, ahead, frame), key, ahead, hi, lo, at, len(frame), _name(frame) if named else None)
                 for hi, lo, frames in texts
                 for (key, ahead, frame), at in frames.items()
             ]
             yield from _rows(rows, _PLACES)
 
-    out = "key bigint, rid binary, ahead int, hi bigint, lo bigint, at array<int>, size int"
+    out = "f1 bigint, f2 bigint, key bigint, ahead int, hi bigint, lo bigint, at array<int>, size int, repeat binary"
     return sources.select("hi", "lo", "text", "keys").mapInArrow(run, out)
 
 
 def _bodies(sources: DataFrame, length: int) -> DataFrame:
-    """The bytes of the frames of the wanted keys, once per task."""
+    """The bytes of the frames of the wanted keys, once per task; `hot` where the key is
+    among the text's `hots`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told: set[tuple[int, int, bytes]] = set()
-        for texts in _of_texts(batches, length):
+        told: set[tuple[int, int]] = set()
+        known: list[tuple[int, int, set[int]]] = []
+
+        def noted() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(0, batch.num_rows, 64):
+                    part = batch.slice(i, 64)
+                    known.extend(set(h) for h in part.column("hots").to_pylist())
+                    yield part
+
+        for texts in _of_texts(noted(), length):
             rows = []
-            for _, _, frames in texts:
+            for (_, _, frames), hots in zip(texts, known, strict=True):
                 for key, ahead, frame in frames:
-                    one = key, ahead, _name(frame)
+                    one = _frame_id(key, ahead, frame)
                     if one not in told:
                         if len(told) > 200_000:
                             told.clear()
                         told.add(one)
-                        rows.append((key, one[2], ahead, frame))
+                        rows.append((*one, key, ahead, key in hots, frame))
+            known.clear()
             yield from _rows(rows, _BODIES)
 
-    return sources.select("hi", "lo", "text", "keys").mapInArrow(run, "key bigint, rid binary, ahead int, frame binary")
+    out = "f1 bigint, f2 bigint, key bigint, ahead int, hot boolean, frame binary"
+    return sources.select("hi", "lo", "text", "keys", "hots").mapInArrow(run, out)
 
 
 # --- the suffix array of a batch of buckets ------------------------------------------
 
-_FRAME_KEY = ["key", "rid", "ahead"]
-_ONE = {"key": pa.int64(), "rid": pa.binary(), "ahead": pa.int32(), "repeat": pa.binary(), "start": pa.int32(), "size": pa.int32()}
-_GROUPS = "key bigint, rid binary, ahead int, repeat binary, start int, size int"
+_GROUP = pa.struct([("repeat", pa.binary()), ("start", pa.int32()), ("size", pa.int32())])
+_ONE = {"f1": pa.int64(), "f2": pa.int64(), "groups": pa.list_(_GROUP)}
+_GROUPS = "f1 bigint, f2 bigint, groups array<struct<repeat: binary, start: int, size: int>>"
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -343,12 +367,14 @@ def repeats(
                         yield suffixes[x][2], name, start, size
 
 
-def _covered(found: Iterable[tuple[int, bytes, int, int]]) -> Iterator[tuple[int, None, int, int]]:
-    """The union of the occurrences in each frame."""
-    spans: dict[int, list[tuple[int, int]]] = {}
-    for nr, _, start, size in found:
-        spans.setdefault(nr, []).append((start, start + size))
-    return ((nr, None, start, end - start) for nr, own in spans.items() for start, end in union(own))
+def _by_frame(found: Iterable[tuple[int, bytes, int, int]], longest: bool) -> dict[int, list[dict]]:
+    """The occurrences in each frame, or with `longest` their union."""
+    out: dict[int, list] = {}
+    for nr, name, start, size in found:
+        out.setdefault(nr, []).append((start, start + size) if longest else {"repeat": name, "start": start, "size": size})
+    if longest:
+        return {nr: [{"repeat": None, "start": a, "size": b - a} for a, b in union(own)] for nr, own in out.items()}
+    return out
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -363,45 +389,44 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _bucket_groups(bodies: DataFrame, length: int, longest: bool) -> DataFrame:
-    """The repeats (start from the anchor, size) of frames whose buckets fit into a task.
-    Buckets come one after the other, and several whole ones are worked on together."""
+    """f1, f2, groups: the repeats (start from the anchor, size) of frames whose buckets fit
+    into a task. Buckets come one after the other, and several whole ones are worked on
+    together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
-        held: list[tuple[int, bytes, int, bytes]] = []
-        bucket: dict[tuple[bytes, int], tuple] = {}
+        held: list[tuple] = []
+        bucket: dict[tuple[int, int], tuple] = {}
         size, key = 0, None
 
         def done() -> Iterator[pa.RecordBatch]:
-            found = repeats([(row[0], row[2], row[3]) for row in held], length, hashes, longest)
-            if longest:
-                found = _covered(found)
-            yield from _rows([(*held[nr][:3], name, start, n) for nr, name, start, n in found], _ONE)
+            found = repeats([row[2:] for row in held], length, hashes, longest)
+            yield from _rows([(*held[nr][:2], own) for nr, own in _by_frame(found, longest).items()], _ONE)
 
         def closed() -> int:
             """A bucket with one frame only has nothing to compare."""
             if len(bucket) > 1:
                 held.extend(bucket.values())
-                return sum(len(row[3]) for row in bucket.values())
+                return sum(len(row[4]) for row in bucket.values())
             return 0
 
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
-                for row in zip(*[part.column(c).to_pylist() for c in ("key", "rid", "ahead", "frame")], strict=True):
-                    if row[0] != key:
+                for row in zip(*[part.column(c).to_pylist() for c in ("f1", "f2", "key", "ahead", "frame")], strict=True):
+                    if row[2] != key:
                         size += closed()
                         bucket = {}
                         if size > BATCH:
                             yield from done()
                             held, size = [], 0
-                        key = row[0]
-                    bucket.setdefault(row[1:3], row)
+                        key = row[2]
+                    bucket.setdefault(row[:2], row)
         closed()
         if held:
             yield from done()
 
-    dealt = bodies.select("key", "rid", "ahead", "frame").repartition("key").sortWithinPartitions("key")
+    dealt = bodies.select("f1", "f2", "key", "ahead", "frame").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, _GROUPS)
 
 
@@ -417,11 +442,6 @@ def _schema(kinds: dict[str, pa.DataType]) -> str:
     return ", ".join(f"{name} {'int' if kind == pa.int32() else 'bigint'}" for name, kind in kinds.items())
 
 
-def _numbers(raw: bytes) -> tuple[int, int]:
-    digest = hashlib.sha256(raw).digest()
-    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:16], "big", signed=True)
-
-
 def _step(length: int) -> int:
     return max(1, width_of(length) // 8)
 
@@ -473,13 +493,14 @@ def _strings(bodies: DataFrame, length: int) -> DataFrame:
 
 
 def _split_groups(frames: DataFrame, bodies: DataFrame, length: int, longest: bool) -> DataFrame:
-    """The repeats of frames whose buckets do not fit into a task.
+    """f1, f2, groups of frames whose buckets do not fit into a task.
 
     Equal parts are one from here on: of several, the part is a repeat as a whole. Only
     where different parts share a core are their strings compared, of one frame for each.
     Strings that follow one another are given as one span.
     """
-    once = bodies.groupBy(*_FRAME_KEY).agg(F.first("frame").alias("frame")).join(frames.select(*_FRAME_KEY, "n"), _FRAME_KEY)
+    once = bodies.groupBy(*_FRAME_KEY).agg(F.max("key").alias("key"), F.max("ahead").alias("ahead"), F.first("frame").alias("frame"))
+    once = once.join(frames.select(*_FRAME_KEY, "n"), _FRAME_KEY)
     once = written(once.withColumn("nr", F.monotonically_increasing_id()), "repeats-split")
     parts = written(_parts(once, length), "repeats-parts")
     different = written(parts.groupBy(*_PART).agg(F.sum("n").alias("n"), F.min("nr").alias("nr")), "repeats-different")
@@ -496,36 +517,48 @@ def _split_groups(frames: DataFrame, bodies: DataFrame, length: int, longest: bo
     )
     several = different.where("n > 1").select(*_PART, F.lit(True).alias("whole"))
     known = several.join(runs.select(*_PART, spans.alias("spans")), _PART, "full").select(*_PART, "whole", "spans")
-    by_frame = parts.select("nr", *_PART).join(known, _PART).groupBy("nr").agg(F.collect_list(F.struct("back", "whole", "spans")).alias("found"))
-    first = F.greatest(F.col("ahead") - F.col("one.back") - (_step(length) - 1), F.lit(0))
-    end = F.least(F.col("ahead") - F.col("one.back") + length, F.col("length"))
-    all_spans = F.when(F.col("one.whole"), F.array(span(first - F.col("ahead"), end - first))).otherwise(F.col("one.spans"))
-    # The bytes are needed for the names of the repeats only.
-    raw = F.substring("frame", F.col("span.start") + F.col("ahead") + 1, F.col("span.size"))
-    name = F.lit(None).cast("binary") if longest else F.unhex(F.substring(F.sha2(raw, 256), 1, 32))
-    once = once.withColumn("length", F.length("frame"))
-    opened = (once.drop("frame") if longest else once).join(by_frame, "nr").withColumn("one", F.explode("found"))
-    opened = opened.withColumn("span", F.explode(all_spans))
-    return opened.select(*_FRAME_KEY, name.alias("repeat"), "span.start", "span.size")
+    # A frame that stands in several places is a repeat already.
+    asking = once.where(F.col("n") == 1) if longest else once
+    asked = parts.where(F.col("n") == 1) if longest else parts
+    by_frame = asked.select("nr", *_PART).join(known, _PART).groupBy("nr").agg(F.collect_list(F.struct("back", "whole", "spans")).alias("found"))
+
+    def all_spans(one: Column) -> Column:
+        first = F.greatest(F.col("ahead") - one["back"] - (_step(length) - 1), F.lit(0))
+        end = F.least(F.col("ahead") - one["back"] + length, F.col("length"))
+        return F.when(one["whole"], F.array(span(first - F.col("ahead"), end - first))).otherwise(one["spans"])
+
+    def group(span: Column) -> Column:
+        # The bytes are needed for the names of the repeats only.
+        raw = F.substring(F.col("frame"), span["start"] + F.col("ahead") + 1, span["size"])
+        name = F.lit(None).cast("binary") if longest else F.unhex(F.substring(F.sha2(raw, 256), 1, 32))
+        return F.struct(name.alias("repeat"), span["start"].alias("start"), span["size"].alias("size"))
+
+    asking = asking.withColumn("length", F.length("frame"))
+    opened = (asking.drop("frame") if longest else asking).join(by_frame, "nr")
+    return opened.select(*_FRAME_KEY, F.transform(F.flatten(F.transform("found", all_spans)), group).alias("groups"))
 
 
 def _solved(sources: DataFrame, places: DataFrame, length: int, most: int, longest: bool) -> DataFrame:
-    """The repeats of all frames: key, rid, ahead, repeat, start (from the anchor), size."""
-    counted = written(places.groupBy(*_FRAME_KEY).agg(F.sum(F.size("at")).alias("n"), F.max("size").alias("size")), "repeats-counted")
-    again = counted.where((F.col("n") > 1) & (F.col("size") >= length))
-    found = again.select(*_FRAME_KEY, F.col("rid").alias("repeat"), (-F.col("ahead")).alias("start"), "size")
-    sizes = counted.groupBy("key").agg(F.count(F.lit(1)).alias("n_frames")).where("n_frames > 1")
-    sizes = written(sizes, "repeats-sizes")
-
-    def bodies(keys: DataFrame) -> DataFrame:
-        wanted = _keys_by_text(places.select("hi", "lo", "key"), keys.select("key"))
-        return _bodies(sources.drop("keys").join(wanted, ["hi", "lo"]), length)
-
-    found = found.unionByName(_bucket_groups(bodies(sizes.where(F.col("n_frames") <= most)), length, longest))
-    hot = sizes.where(F.col("n_frames") > most)
+    """f1, f2, groups: the repeats of all frames, by start from the anchor and size."""
+    columns = [F.max(c).alias(c) for c in ("key", "ahead", "size")]
+    name = [] if longest else [F.first("repeat").alias("repeat")]
+    counted = written(places.groupBy(*_FRAME_KEY).agg(F.sum(F.size("at")).alias("n"), *columns, *name).where(F.col("size") >= length), "repeats-counted")
+    whole = F.struct(F.lit(None).cast("binary").alias("repeat") if longest else F.col("repeat"), (-F.col("ahead")).alias("start"), "size")
+    found = counted.where(F.col("n") > 1).select(*_FRAME_KEY, F.array(whole).alias("groups"))
+
+    # A frame that stands in one place has to be compared with the others of its bucket.
+    # For the union, a bucket of repeats alone needs no look; their groups may be larger.
+    sizes = counted.groupBy("key").agg(F.count(F.lit(1)).alias("n_frames"), F.count_if(F.col("n") == 1).alias("singles"))
+    open_ = (F.col("n_frames") > 1) & ((F.col("singles") > 0) | F.lit(not longest))
+    sizes = written(sizes.where(open_).select("key", (F.col("n_frames") > most).alias("hot")), "repeats-sizes")
+    by_text = places.where(F.col("size") >= length).select("hi", "lo", "key").join(sizes, "key")
+    wanted = by_text.groupBy("hi", "lo").agg(F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hots"))
+    bodies = written(_bodies(sources.drop("keys").join(wanted, ["hi", "lo"]), length), "repeats-bodies")
+    found = found.unionByName(_bucket_groups(bodies.where(~F.col("hot")), length, longest))
+    hot = sizes.where("hot").select("key")
     if hot.isEmpty():
         return found
-    return found.unionByName(_split_groups(counted.join(hot, "key", "left_semi"), bodies(hot), length, longest))
+    return found.unionByName(_split_groups(counted.join(hot, "key", "left_semi"), bodies.where("hot"), length, longest))
 
 
 # --- results -------------------------------------------------------------------------
@@ -553,11 +586,9 @@ class Found:
         try:
             self.sources = self.spark.table(self.table)
             with_keys = self.sources.where(F.col("keys").isNotNull())
-            places = written(_places(with_keys, length), "repeats-places")
+            places = written(_places(with_keys, length, not longest), "repeats-places")
             solved = written(_solved(with_keys, places, length, most, longest), "repeats-groups")
-            if longest:
-                solved = solved.withColumn("repeat", F.lit(None).cast("binary"))
-            merged = solved.groupBy(*_FRAME_KEY).agg(F.collect_set(F.struct("repeat", "start", "size")).alias("groups"))
+            merged = solved.groupBy(*_FRAME_KEY).agg(F.flatten(F.collect_list("groups")).alias("groups"))
             self.occurrences = places.join(merged, _FRAME_KEY).select("hi", "lo", "at", "groups")
         except BaseException:
             self.__exit__()
