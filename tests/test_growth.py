@@ -1,0 +1,37 @@
+"""What one task, file or state holds does not grow with the input."""
+
+import glob
+import uuid
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from builders import commit, create, frames, post
+from commitfold import schemas as S
+from commitfold.operators import analysis, fold
+from commitfold.sources import base, frames as source
+from commitfold.sources.seq_stream import SeqReader
+from test_fold import log_of, plan, random_ops
+from verification import events, queries
+
+
+def rows(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def test_positions_are_dealt_out_by_row_groups(spark, tmp_path):
+    """One landed file of many row groups is read by many tasks."""
+    path = str(tmp_path / "frames")
+    source.write(frames(spark, *[commit(s, create(post(), str(s))) for s in range(1, 41)]).coalesce(1), path, "parquet")
+    (name,) = glob.glob(f"{path}/*.parquet")
+    pq.write_table(pq.read_table(name), name, row_group_size=4)
+    for crc in glob.glob(f"{path}/.*.crc"):
+        open(crc, "w").close()
+    reader = SeqReader({"path": path, "bytespertask": "1"})
+    parts = reader.partitions({"seq": 10}, {"seq": 30})
+    assert len(parts) == 6
+    got = [seq for p in parts for b in reader.read(p) for seq in b.column("seq").to_pylist()]
+    assert sorted(got) == list(range(11, 31))
+    assert all(b.schema.names == S.FRAME.fieldNames() for p in parts for b in reader.read(p))
+    assert len(SeqReader({"path": path}).partitions({"seq": 0}, {"seq": 40})) == 1

@@ -19,6 +19,7 @@ from commitfold.functions.built import built_once
 
 EPOCH_SECONDS = 1_704_067_200  # 2024-01-01T00:00:00Z
 OPS_PER_COMMIT = 4
+COMMITS_PER_PART = 20_000  # in a landed file or a bucket, about
 
 # Post creates: JSON members that stand for one defect (or one unusual but valid
 # shape) each, by defect number. `{cid}` and `{uri}` are a valid reference.
@@ -92,6 +93,17 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def last_seq(spark: SparkSession, folder: str) -> int:
+    """The position of the last commit, from the footers of the events."""
+    last = _table(spark, folder, "events").agg(F.max("event_id").alias("last")).first()["last"]
+    return -1 if last is None else last // OPS_PER_COMMIT
+
+
+def parts(spark: SparkSession, folder: str, least: int) -> int:
+    """In how many files or buckets a stream is laid out: as many as bound the commits of one."""
+    return max(least, -(-(last_seq(spark, folder) + 1) // COMMITS_PER_PART))
+
+
 def event_ops(spark: SparkSession, folder: str) -> DataFrame:
     """One row per event with its place in the stream; no text yet."""
     head = Window.partitionBy("seq")  # a commit: four rows
