@@ -27,6 +27,7 @@ from . import counters, fold
 
 KEY = ["uri_hash", "uri"]
 _POST = ("cid", "createdAt", "author", "text", "rootUri", "rootCid", "linkUrl", "linkTitle", "linkDescription")
+OUTLINE = ("rootUri",)
 _ENGAGEMENT = ("cid", "subjectUri", "subjectCid", "type", "createdAt", "author")
 
 
@@ -45,35 +46,37 @@ def _is(action: str) -> Column:
 # --- posts -------------------------------------------------------------------------
 
 
-def post_state(log: DataFrame) -> DataFrame:
+def post_state(log: DataFrame, payload: tuple[str, ...] = _POST) -> DataFrame:
     """uri_hash, uri, `first` (the first create) and `gone` (the last delete, its earliest
-    delivery); either may be null. One shuffle, combined before it."""
+    delivery); either may be null. One shuffle, combined before it. A minimum over a struct
+    cannot be pruned, so what is not needed must not be in `payload`."""
     return (
         _keyed(fold.posts_of(log))
         .groupBy(*KEY)
         .agg(
-            F.min(F.when(_is("create"), _create(_POST))).alias("first"),
+            F.min(F.when(_is("create"), _create(payload))).alias("first"),
             F.max(F.when(_is("delete"), F.struct("seq", (-F.col("ingested_us")).alias("neg_us")))).alias("gone"),
         )
     )
 
 
 def merged_posts(base: DataFrame, tail: DataFrame) -> DataFrame:
-    """The base with the state of a tail, and what both had before as `old` (first, gone;
-    null where the tail has nothing)."""
+    """The base with the state of a tail."""
     joined = _joined(base, tail)
     return joined.select(
-        *KEY,
-        F.least("base.first", "tail.first").alias("first"),
-        F.greatest("base.gone", "tail.gone").alias("gone"),
-        F.when(F.col("tail.known"), F.struct("base.first", "base.gone")).alias("old"),
-        F.coalesce("tail.known", F.lit(False)).alias("touched"),
+        *KEY, F.least("base.first", "tail.first").alias("first"), F.greatest("base.gone", "tail.gone").alias("gone")
     )
 
 
+def post_outline(state: DataFrame) -> DataFrame:
+    """A stored post state as `post_state(log, OUTLINE)` gives it, read without texts."""
+    first = F.struct(*[F.col(f"first.{c}") for c in ("seq", "op_idx", "ingested_us", *OUTLINE)])
+    return state.select(*KEY, F.when(F.col("first.seq").isNotNull(), first).alias("first"), "gone")
+
+
 def _joined(base: DataFrame, tail: DataFrame) -> DataFrame:
     sides = [
-        df.select(*KEY, F.struct(*[c for c in df.columns if c not in KEY], F.lit(True).alias("known")).alias(name))
+        df.select(*KEY, F.struct(*[c for c in df.columns if c not in KEY]).alias(name))
         for df, name in ((base, "base"), (tail, "tail"))
     ]
     return sides[0].join(sides[1], KEY, "full")
@@ -140,16 +143,13 @@ def _in_order(creates: Column, gone: Column, settled: int | None) -> Column:
 
 
 def merged_engagement(base: DataFrame, tail: DataFrame, settled: int | None = None) -> DataFrame:
-    """The base with the state of a tail, and the create that was the row before as `old`
-    (null where the tail has nothing or there was no row)."""
+    """The base with the state of a tail."""
     joined = _joined(base, tail)
     gone = F.greatest("base.gone", "tail.gone")
     return joined.select(
         *KEY,
         gone.alias("gone"),
         _in_order(_both(F.col("base.creates"), F.col("tail.creates")), gone, settled).alias("creates"),
-        F.when(F.col("tail.known"), F.get("base.creates", F.lit(0))).alias("old"),
-        F.coalesce("tail.known", F.lit(False)).alias("touched"),
     )
 
 
@@ -164,31 +164,46 @@ def engagement_table(state: DataFrame) -> DataFrame:
 # --- what a tail changes ---------------------------------------------------------------
 
 
-def _signed(condition: Column, sign: int) -> Column:
-    return F.when(condition, sign).otherwise(0)
-
-
-def count_changes(posts: DataFrame, engagement: DataFrame) -> DataFrame:
-    """What a merge adds to the counters of each subject, and what it takes back: rows that
-    are there now count one, rows that were there before one less. Only uris of the tail
-    are looked at, and rows that a tail leaves as they were cancel out."""
-    touched = posts.where("touched")
-    live = lambda first, gone: F.col(first).isNotNull() & ~F.coalesce(_deleted_seq(first, gone), F.lit(False))
-    rows = []
-    for subject, comes in ((F.col("first.rootUri"), live("first", "gone")), (F.col("old.first.rootUri"), live("old.first", "old.gone"))):
-        sign = 1 if not rows else -1
-        rows.append(touched.where(comes & (subject != "")).select(subject.alias("uri"), *_marks(comments_count=F.lit(sign))))
-    touched = engagement.where("touched")
-    for sign, row in ((1, F.get("creates", F.lit(0))), (-1, F.col("old"))):
-        marks = _marks(likes_count=_signed(row["type"] == S.TYPE_LIKE, sign), repost_count=_signed(row["type"] == S.TYPE_REPOST, sign))
-        rows.append(touched.where(row.isNotNull()).select(row["subjectUri"].alias("uri"), *marks))
-    changes = rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
-    summed = changes.groupBy("uri").agg(*[F.sum(c).alias(c) for c in counters.COUNTERS])
+def post_facts(state: DataFrame) -> DataFrame:
+    """What counters and totals ask of stored posts, read without their texts: type, and the
+    subject of a live reply."""
+    live = ~F.coalesce(F.col("gone.seq") > F.col("first.seq"), F.lit(False))
+    there = state.where(F.col("first.seq").isNotNull())
+    return there.select(*KEY, F.lit("post").alias("type"), F.when(live & (F.col("first.rootUri") != ""), F.col("first.rootUri")).alias("subject"))
+
+
+def engagement_facts(state: DataFrame) -> DataFrame:
+    """The same of stored engagement: type and subject of the row."""
+    kind = F.get("creates.type", F.lit(0))
+    name = F.when(kind == S.TYPE_LIKE, "like").when(kind == S.TYPE_REPOST, "repost")
+    return state.where(F.size("creates.seq") > 0).select(*KEY, name.alias("type"), F.get("creates.subjectUri", F.lit(0)).alias("subject"))
+
+
+def moves(before: DataFrame | None, now: DataFrame) -> DataFrame:
+    """type, subject and sign: rows that are there now count one, rows that were there before
+    one less, those that stayed as they were not at all. Facts of two versions in the same
+    buckets meet without a shuffle."""
+    if before is None:
+        return now.select("type", "subject", F.lit(1).alias("sign"))
+    both = _joined(before, now).where("not (base <=> tail)")
+    sides = F.array(F.struct("tail.type", "tail.subject", F.lit(1).alias("sign")), F.struct("base.type", "base.subject", F.lit(-1).alias("sign")))
+    return both.select(F.explode(sides).alias("m")).select("m.*").where("type is not null")
+
+
+_COUNTED = {"comments_count": "post", "likes_count": "like", "repost_count": "repost"}
+
+
+def count_changes(moved: DataFrame) -> DataFrame:
+    """What moved rows add to the counters of each subject, and take back."""
+    marks = [F.when(F.col("type") == _COUNTED[c], F.col("sign")).otherwise(0).cast("bigint") for c in counters.COUNTERS]
+    named = moved.where("subject is not null")
+    summed = named.groupBy(F.col("subject").alias("uri")).agg(*[F.sum(m).alias(c) for m, c in zip(marks, counters.COUNTERS, strict=True)])
     return _keyed(summed.where(" or ".join(f"{c} <> 0" for c in counters.COUNTERS)))
 
 
-def _marks(**given: Column) -> list[Column]:
-    return [given.get(c, F.lit(0)).cast("bigint").alias(c) for c in counters.COUNTERS]
+def total_changes(moved: DataFrame) -> DataFrame:
+    """What moved rows add to the numbers of posts, reposts and likes: name, n."""
+    return moved.groupBy(F.col("type").alias("name")).agg(F.sum("sign").alias("n"))
 
 
 def merged_counts(base: DataFrame, changes: DataFrame) -> DataFrame:
@@ -199,17 +214,6 @@ def merged_counts(base: DataFrame, changes: DataFrame) -> DataFrame:
     return joined.select(*KEY, *total).where(" or ".join(f"{c} <> 0" for c in counters.COUNTERS))
 
 
-def total_changes(posts: DataFrame, engagement: DataFrame) -> DataFrame:
-    """What a merge adds to the numbers of posts, reposts and likes: name, n."""
-    new_post = F.col("first").isNotNull() & F.col("old.first").isNull()
-    post = posts.where("touched").agg(F.lit("post").alias("name"), F.count_if(new_post).alias("n"))
-    touched = engagement.where("touched").select(F.get("creates", F.lit(0))["type"].alias("now"), F.col("old.type").alias("before"))
-    sides = [F.struct(F.col(c).alias("type"), F.lit(sign).alias("sign")) for c, sign in (("now", 1), ("before", -1))]
-    by_type = touched.select(F.explode(F.array(*sides)).alias("m")).where("m.type is not null").groupBy("m.type").agg(F.sum("m.sign").alias("n"))
-    name = F.when(F.col("type") == S.TYPE_LIKE, "like").when(F.col("type") == S.TYPE_REPOST, "repost")
-    return post.unionByName(by_type.select(name.alias("name"), "n"))
-
-
 def merged_totals(base: DataFrame, changes: DataFrame) -> DataFrame:
     return base.select("name", "n").unionByName(changes.select("name", "n")).groupBy("name").agg(F.sum("n").alias("n"))
 

@@ -42,7 +42,7 @@ def current(spark: SparkSession, database: str) -> Current | None:
 
 def _version(df: DataFrame, database: str, name: str, version: str, buckets: int | None) -> str:
     full = f"{database}.{name}_{version}"
-    writer = df.write.format("parquet")
+    writer = df.write.format("parquet").option("compression", "zstd")
     if buckets is not None:
         writer = writer.bucketBy(buckets, *merge.KEY).sortBy(*merge.KEY)
     writer.saveAsTable(full)
@@ -73,28 +73,33 @@ def advance(
     if was is not None and was.settled is not None:
         log = log.where(F.col("seq") > was.settled)
     posts, engagement = merge.post_state(log), merge.engagement_state(log, settled)
-    if was is None:
-        nothing = lambda df: df.where("false")
-        base = nothing(posts), nothing(engagement)
-    else:
-        base = spark.table(was.post_state), spark.table(was.engagement_state)
-    posts, engagement = merge.merged_posts(base[0], posts), merge.merged_engagement(base[1], engagement, settled)
-    changes = merge.count_changes(posts, engagement)
-    more = merge.total_changes(posts, engagement)
-    if was is None:
-        counts, totals = changes.select(*merge.KEY, *merge.counters.COUNTERS), more.groupBy("name").agg(F.sum("n").alias("n"))
-    else:
-        counts = merge.merged_counts(spark.table(was.subject_counts), changes)
-        totals = merge.merged_totals(spark.table(was.totals), more)
+    if was is not None:
+        posts = merge.merged_posts(spark.table(was.post_state), posts)
+        engagement = merge.merged_engagement(spark.table(was.engagement_state), engagement, settled)
     names = [
         _version(merge.stored_posts(posts, settled), database, TABLES[0], version, buckets),
         _version(merge.stored_engagement(engagement, settled), database, TABLES[1], version, buckets),
-        _version(counts, database, TABLES[2], version, buckets),
-        _version(totals, database, TABLES[3], version, None),
     ]
+    # The rest comes from the two versions, in their buckets: the log is not worked on again.
+    moved = _moves(spark, was, *names)
+    counts, totals = merge.count_changes(moved), merge.total_changes(moved)
+    if was is not None:
+        counts = merge.merged_counts(spark.table(was.subject_counts), counts)
+        totals = merge.merged_totals(spark.table(was.totals), totals)
+    counts = counts.select(*merge.KEY, *merge.counters.COUNTERS)
+    names += [_version(counts, database, TABLES[2], version, buckets), _version(totals, database, TABLES[3], version, None)]
     _announce(spark, database, names, batch, settled if settled is not None else was.settled if was else None)
 
 
+def _moves(spark: SparkSession, was: Current | None, posts: str, engagement: str) -> DataFrame:
+    """What has moved between the versions in use and new ones."""
+    before = (None, None) if was is None else (spark.table(was.post_state), spark.table(was.engagement_state))
+    post, other = (None if b is None else facts(b) for b, facts in zip(before, (merge.post_facts, merge.engagement_facts), strict=True))
+    return merge.moves(post, merge.post_facts(spark.table(posts))).unionByName(
+        merge.moves(other, merge.engagement_facts(spark.table(engagement)))
+    )
+
+
 class Standing(NamedTuple):
     post: DataFrame
     engagement: DataFrame
@@ -113,10 +118,17 @@ def tables(spark: SparkSession, database: str, tail: DataFrame | None = None, wi
     if tail is not None:
         if was.settled is not None:
             tail = tail.where(F.col("seq") > was.settled)
+        before = posts, engagement
         posts = merge.merged_posts(posts, merge.post_state(tail))
         engagement = merge.merged_engagement(engagement, merge.engagement_state(tail))
         if with_counters:
-            counts = merge.merged_counts(counts, merge.count_changes(posts, engagement))
+            # Texts move once: what is counted comes from a merge of its own without them.
+            outline = merge.post_outline(before[0])
+            now = merge.merged_posts(outline, merge.post_state(tail, merge.OUTLINE))
+            moved = merge.moves(merge.post_facts(outline), merge.post_facts(now)).unionByName(
+                merge.moves(merge.engagement_facts(before[1]), merge.engagement_facts(engagement))
+            )
+            counts = merge.merged_counts(counts, merge.count_changes(moved))
     if not with_counters:
         return Standing(merge.post_table(posts), merge.engagement_table(engagement))
     return Standing(merge.counted(posts, counts), merge.engagement_table(engagement))

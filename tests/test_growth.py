@@ -1,6 +1,7 @@
 """What one task, file or state holds does not grow with the input."""
 
 import glob
+import random
 import uuid
 
 import pyarrow.parquet as pq
@@ -12,7 +13,8 @@ from commitfold import schemas as S
 from commitfold.operators import analysis, fold
 from commitfold.sources import base, frames as source
 from commitfold.sources.seq_stream import SeqReader
-from test_fold import log_of, plan, random_ops
+from commitfold.streaming import keyed
+from test_fold import log_of, make_late, plan, random_ops
 from verification import events, queries
 
 
@@ -35,3 +37,18 @@ def test_positions_are_dealt_out_by_row_groups(spark, tmp_path):
     assert sorted(got) == list(range(11, 31))
     assert all(b.schema.names == S.FRAME.fieldNames() for p in parts for b in reader.read(p))
     assert len(SeqReader({"path": path}).partitions({"seq": 0}, {"seq": 40})) == 1
+
+
+def test_a_log_is_taken_in_once(spark):
+    """Counters and totals come from the versions, not from further folds of the log."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(seq):
+        seen.add(1)
+        return True
+
+    ops = random_ops(3)
+    log, database = log_of(spark, ops).where(F.udf(look, "boolean").asNondeterministic()("seq")), f"once_{uuid.uuid4().hex[:8]}"
+    base.advance(log, database, 2)
+    assert 0 < seen.value <= 6 * len(ops)
+    spark.sql(f"DROP DATABASE {database} CASCADE")

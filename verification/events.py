@@ -146,15 +146,12 @@ def event_ops(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _with_text(ops: DataFrame, documents: DataFrame) -> DataFrame:
-    """Adds a document's text to post creates.
-
-    Rows that need no text get a key of their own that matches nothing, so they
-    spread evenly over the join.
-    """
+    """Adds a document's text to post creates; the other rows stay out of the join."""
     n = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
     needs = (F.col("collection") == S.POST) & (F.col("action") == "create")
-    keyed = ops.withColumn("doc_id", F.when(needs, F.col("seq") % n).otherwise(-1 - F.col("event_id")))
-    return keyed.join(documents.select("doc_id", F.col("text").alias("doc_text")), "doc_id", "left").drop("doc_id")
+    texts = documents.select("doc_id", F.col("text").alias("doc_text"))
+    told = ops.where(needs).withColumn("doc_id", F.col("seq") % n).join(texts, "doc_id", "left").drop("doc_id")
+    return told.unionByName(ops.where(~needs).withColumn("doc_text", F.lit(None).cast("string")))
 
 
 def event_log(spark: SparkSession, folder: str, text: bool = True) -> DataFrame:

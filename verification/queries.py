@@ -134,42 +134,42 @@ def post_live(spark, folder):
 
 # --- standing tables --------------------------------------------------------------
 
-BUCKETS = 8
+BUCKETS = 8  # at least; `events.parts` bounds what one holds
 
 
-def _standing(spark: SparkSession, log: DataFrame, name: str) -> str:
+def _standing(spark: SparkSession, folder: str, log: DataFrame, name: str) -> str:
     """The standing tables of a log that came in three parts, the second of which repeats
     the end of the first; `settled` positions are known for the first two."""
     database = f"{name}_{uuid.uuid4().hex[:8]}"
-    last = log.agg(F.max("seq").alias("last")).first()["last"]
+    last, buckets = events.last_seq(spark, folder), events.parts(spark, folder, BUCKETS)
     cuts = [last // 2, last * 4 // 5, last]
     for i, upto in enumerate(cuts):
         after = cuts[i - 1] - 200 if i else -1
         part = log.where((F.col("seq") > after) & (F.col("seq") <= upto))
-        base.advance(part, database, BUCKETS, settled=upto if i < 2 else None)
+        base.advance(part, database, buckets, settled=upto if i < 2 else None)
     return database
 
 
 @query
 def merged_post_state(spark, folder):
-    return base.tables(spark, _standing(spark, events.event_log(spark, folder), "merged")).post
+    return base.tables(spark, _standing(spark, folder, events.event_log(spark, folder), "merged")).post
 
 
 @query
 def merged_engagement_state(spark, folder):
-    return base.tables(spark, _standing(spark, _textless(spark, folder), "merged")).engagement
+    return base.tables(spark, _standing(spark, folder, _textless(spark, folder), "merged")).engagement
 
 
 @query
 def maintained_counters(spark, folder):
-    database = _standing(spark, _textless(spark, folder), "counted")
+    database = _standing(spark, folder, _textless(spark, folder), "counted")
     return base.tables(spark, database, with_counters=True).post.select("uri", *counters.COUNTERS)
 
 
 @query
 def maintained_totals(spark, folder):
     """Rows per type of post and engagement, kept up to date and not counted."""
-    return base.totals(spark, _standing(spark, _textless(spark, folder), "totals"))
+    return base.totals(spark, _standing(spark, folder, _textless(spark, folder), "totals"))
 
 
 @query
@@ -177,8 +177,8 @@ def standing_posts_with_tail(spark, folder):
     """Half of the log stands; the other half comes with the read, counters included."""
     log = events.event_log(spark, folder)
     database = f"tail_{uuid.uuid4().hex[:8]}"
-    half = log.agg(F.max("seq").alias("last")).first()["last"] // 2
-    base.advance(log.where(F.col("seq") <= half), database, BUCKETS)
+    half = events.last_seq(spark, folder) // 2
+    base.advance(log.where(F.col("seq") <= half), database, events.parts(spark, folder, BUCKETS))
     return base.tables(spark, database, log.where(F.col("seq") > half), with_counters=True).post
 
 
@@ -188,7 +188,7 @@ def resumed_posts(spark, folder):
     landed, out, database = _frames(spark, folder), work_folder(spark, "resumed"), f"resumed_{uuid.uuid4().hex[:8]}"
     half = ops.commits(landed).agg(F.max("seq").alias("last")).first()["last"] // 2
     for part in (landed.where(F.col("seq") <= half), landed):
-        collect.resume(part, out, database, BUCKETS, SERVICE, ops.frame_instant())
+        collect.resume(part, out, database, events.parts(spark, folder, BUCKETS), SERVICE, ops.frame_instant())
     return base.tables(spark, database, with_counters=True).post
 
 
@@ -716,7 +716,7 @@ def stream_engagement_state(spark, folder):
 def stream_standing_posts(spark, folder):
     """The stream's first batches taken into standing tables, the others read with them."""
     root, database = _streamed(spark, folder, "stream"), f"stream_{uuid.uuid4().hex[:8]}"
-    base.advance(collector.log(spark, root, upto=0), database, BUCKETS, batch=0)
+    base.advance(collector.log(spark, root, upto=0), database, events.parts(spark, folder, BUCKETS), batch=0)
     return collector.standing(spark, root, database, with_counters=True).post
 
 
