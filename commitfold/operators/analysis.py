@@ -20,9 +20,21 @@ def row_count(table: DataFrame) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("n"))
 
 
-def sample(table: DataFrame, n: int = 10_000, order_by: str | None = None) -> DataFrame:
-    """Some `n` rows; the first by `order_by` where the result must be repeatable."""
-    return (table if order_by is None else table.orderBy(order_by)).limit(n)
+def sample(table: DataFrame, n: int = 10_000, order_by: str | None = None, keys: DataFrame | None = None) -> DataFrame:
+    """Some `n` rows; the first by `order_by` where the result must be repeatable.
+
+    The first rows of every partition meet in one task. So the last value to be sampled is
+    looked for by itself, and rows past it go before they are sorted. `keys` has the values of
+    `order_by` where they are cheaper to have than the table (of a written one they are not
+    dearer: only their column is read).
+    """
+    if order_by is None:
+        return table.limit(n)
+    first = (table if keys is None else keys).select(order_by).orderBy(order_by).limit(n)
+    found = first.agg(F.count(F.lit(1)).alias("n"), F.max(order_by).alias("last")).first()
+    if found["n"] == n:
+        table = table.where(F.col(order_by).isNull() | (F.col(order_by) <= F.lit(found["last"])))
+    return table.orderBy(order_by).limit(n)
 
 
 def engagement_by_type(engagement: DataFrame) -> DataFrame:

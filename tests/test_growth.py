@@ -52,3 +52,15 @@ def test_a_log_is_taken_in_once(spark):
     base.advance(log, database, 2)
     assert 0 < seen.value <= 6 * len(ops)
     spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_a_sample_leaves_out_what_cannot_be_in_it(spark):
+    values = [*range(50), 7, 7, None]
+    table = spark.createDataFrame([(v,) for v in values], "v int").repartition(8)
+    got = analysis.sample(table, 10, "v")
+    assert "Filter" in plan(got)
+    assert [r["v"] for r in got.collect()] == [None, 0, 1, 2, 3, 4, 5, 6, 7, 7]
+    assert [r["v"] for r in analysis.sample(table, 10, "v", keys=table).collect()] == [None, 0, 1, 2, 3, 4, 5, 6, 7, 7]
+    assert analysis.sample(table, 100, "v").count() == len(values)
+    assert analysis.sample(table.where("v is null"), 1, "v").count() == 1
+    assert analysis.sample(table.where("false"), 5, "v").count() == 0

@@ -209,13 +209,13 @@ def post_count(spark, folder):
 
 @query
 def post_sample(spark, folder):
-    return analysis.sample(_post(spark, folder), order_by="uri")
+    return analysis.sample(_post(spark, folder), order_by="uri", keys=_post_times(spark, folder))
 
 
 @query
 def post_sample_limited(spark, folder):
     """A sample smaller than the table."""
-    return analysis.sample(_post(spark, folder), n=100, order_by="uri")
+    return analysis.sample(_post(spark, folder), n=100, order_by="uri", keys=_post_times(spark, folder))
 
 
 @query
