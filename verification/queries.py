@@ -536,6 +536,16 @@ def reposters_of_subject_next_page(spark, folder):
     return _next_page(look, "indexedAt", "uri")
 
 
+def _next_page_of_posts(look: Callable[..., DataFrame], spark: SparkSession, folder: str, at: str, key: str) -> DataFrame:
+    """The same for a page of posts. It is chosen from posts without their texts; the posts
+    of the page, a few uris, are then looked up with them."""
+    outline = fold.fold_posts(_textless(spark, folder))
+    last = look(outline, limit=1).collect()
+    page = partial(look, limit=3, cursor=(last[-1][at], last[-1][key]) if last else None)
+    uris = [r["uri"] for r in page(outline).collect()]
+    return page(_post(spark, folder).where(F.col("uri").isin(uris)))
+
+
 def _most(engagement: DataFrame, type: int) -> str:
     """The subject with the most rows of a type."""
     return _busiest(engagement.where(F.col("type") == type), "subjectUri")
@@ -558,14 +568,14 @@ def reposters_of_most_reposted_next_page(spark, folder):
 @query
 def posts_liked_by_actor_next_page(spark, folder):
     engagement = _engagement(spark, folder)
-    look = partial(lookups.liked_posts, _post(spark, folder), engagement, _busiest(engagement, "author"))
-    return _next_page(look, "likedAt", "likeUri")
+    look = partial(lookups.liked_posts, engagement=engagement, actor=_busiest(engagement, "author"))
+    return _next_page_of_posts(look, spark, folder, "likedAt", "likeUri")
 
 
 @query
 def author_feed_next_page(spark, folder):
-    post = _post(spark, folder)
-    return _next_page(partial(lookups.author_feed, post, _busiest(post, "author")), "indexedAt", "uri")
+    author = _busiest(fold.fold_post_columns(_textless(spark, folder), ("author",)), "author")
+    return _next_page_of_posts(partial(lookups.author_feed, author=author), spark, folder, "indexedAt", "uri")
 
 
 @query
