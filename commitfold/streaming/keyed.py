@@ -8,6 +8,9 @@ of each uri only. Nothing is rewritten or folded again, and a batch costs what i
 operations cost; in return a Python worker looks at every operation, and the creates of one
 uri that no delete clears are kept with it.
 
+A look into the store costs far more than an operation, so a few dozen uris share an entry
+(`groups`): it is read and written once per batch for all of them.
+
 As with the folds, batches may come in any order, cut anywhere and repeated.
 """
 
@@ -47,40 +50,56 @@ def _changes(target: str) -> T.StructType:
 
 
 class _Folded(StatefulProcessor):
-    """`gone` is the last delete as (seq, ingestion time of its earliest delivery)."""
+    """An entry has the uris of one group; of each `gone` is the last delete as (seq,
+    ingestion time of its earliest delivery)."""
 
     target: str
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        creates = T.ArrayType(_create(self.target))
-        schema = T.StructType([T.StructField("gone_seq", T.LongType()), T.StructField("gone_us", T.LongType()), T.StructField("creates", creates)])
-        self.state = handle.getValueState("state", schema)
+        fields = [("uri", T.StringType()), ("gone_seq", T.LongType()), ("gone_us", T.LongType()), ("creates", T.ArrayType(_create(self.target)))]
+        uris = T.ArrayType(T.StructType([T.StructField(*f) for f in fields]))
+        self.state = handle.getValueState("state", T.StructType([T.StructField("uris", uris)]))
         self.fields = (*_POSITION, *_payload(self.target))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        known = self.state.get() if self.state.exists() else None
-        gone = None if known is None or known[0] is None else (known[0], known[1])
-        creates = {} if known is None else {(c[0], c[1]): tuple(c) for c in known[2]}
-        before = self.row(gone, creates)
+        entry = self.state.get()
+        # Plain tuples: the store does not take its own rows back.
+        known = {u[0]: (*u[:3], [tuple(c) for c in u[3]]) for u in entry[0]} if entry is not None else {}
+        now = {}
         for op in rows:
-            if op["action"] == "delete":
-                if gone is None or op["seq"] > gone[0] or (op["seq"] == gone[0] and op["ingested_us"] < gone[1]):
-                    gone = (op["seq"], op["ingested_us"])
-            else:
-                create = tuple(op[name] for name in self.fields)
-                at = create[:2]
-                if at not in creates or create[2] < creates[at][2]:
-                    creates[at] = create
-                if len(creates) > 64:
-                    creates = self.needed(gone, creates)
-        creates = self.needed(gone, creates)
-        self.state.update((*(gone or (None, None)), [creates[at] for at in sorted(creates)]))
-        now = self.row(gone, creates)
-        if now != before:
-            present, create, deleted = now
-            payload = create[2:] if create else [None] * (len(self.fields) - 2)
-            values = (key[0], present, payload[0], deleted, *payload[1:])
-            yield Row(**dict(zip(_changes(self.target).names, values, strict=True)))
+            uri = op["uri"]
+            if uri not in now:
+                now[uri] = self.unpacked(known.get(uri))
+            now[uri] = self.taken_in(op, *now[uri])
+        changed = []
+        for uri, (gone, creates) in now.items():
+            before, creates = self.unpacked(known.get(uri)), self.needed(gone, creates)
+            known[uri] = (uri, *(gone or (None, None)), [creates[at] for at in sorted(creates)])
+            row = self.row(gone, creates)
+            if row != self.row(*before):
+                present, create, deleted = row
+                payload = create[2:] if create else [None] * (len(self.fields) - 2)
+                values = (uri, present, payload[0], deleted, *payload[1:])
+                changed.append(Row(**dict(zip(_changes(self.target).names, values, strict=True))))
+        self.state.update(([known[uri] for uri in sorted(known)],))
+        yield from changed
+
+    @staticmethod
+    def unpacked(known) -> tuple:
+        if known is None:
+            return None, {}
+        return None if known[1] is None else (known[1], known[2]), {c[:2]: c for c in known[3]}
+
+    def taken_in(self, op: Row, gone, creates: dict) -> tuple:
+        if op["action"] == "delete":
+            if gone is None or op["seq"] > gone[0] or (op["seq"] == gone[0] and op["ingested_us"] < gone[1]):
+                gone = (op["seq"], op["ingested_us"])
+            return gone, creates
+        create = tuple(op[name] for name in self.fields)
+        at = create[:2]
+        if at not in creates or create[2] < creates[at][2]:
+            creates[at] = create
+        return gone, self.needed(gone, creates) if len(creates) > 64 else creates
 
     def needed(self, gone, creates: dict) -> dict:
         raise NotImplementedError
@@ -113,18 +132,23 @@ class FoldedEngagement(_Folded):
         return (True, alive[min(alive)], None) if alive else (False, None, None)
 
 
-def changes(log: DataFrame, target: str) -> DataFrame:
+def changes(log: DataFrame, target: str, groups: int | None = None) -> DataFrame:
     """The rows of a table that change, from a stream of operations (update mode). The
     session has to use the RocksDB state store (`PROVIDER`)."""
     own = (fold.posts_of if target == "post" else fold.engagement_of)(log)
-    ops = own.select("uri", "action", *_POSITION, *_payload(target))
+    key = F.xxhash64("uri") if groups is None else F.pmod(F.xxhash64("uri"), F.lit(groups))
+    ops = own.select(key.alias("entry"), "uri", "action", *_POSITION, *_payload(target))
     processor = FoldedPosts() if target == "post" else FoldedEngagement()
-    return ops.groupBy("uri").transformWithState(processor, _changes(target), "Update", "None")
+    return ops.groupBy("entry").transformWithState(processor, _changes(target), "Update", "None")
 
 
-def start(log: DataFrame, root: str, target: str, trigger: dict | None = None) -> StreamingQuery:
+def start(
+    log: DataFrame, root: str, target: str, trigger: dict | None = None, groups: int | None = None
+) -> StreamingQuery:
     """Keeps a table under `root`; a batch adds one folder of changed rows. A batch done
-    again after a failure replaces its folder."""
+    again after a failure replaces its folder. `groups`, the number of entries in the store,
+    stays the same for as long as the query's checkpoint is used; without it every uri has
+    an entry of its own, and with it as many should be given as leave an entry a few dozen uris."""
 
     def land(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/{target}/batch={batch_id}")
@@ -132,7 +156,7 @@ def start(log: DataFrame, root: str, target: str, trigger: dict | None = None) -
     spark = log.sparkSession
     importable(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    writer = changes(log, target).writeStream.outputMode("update").foreachBatch(land)
+    writer = changes(log, target, groups).writeStream.outputMode("update").foreachBatch(land)
     writer = writer.option("checkpointLocation", f"{root}/checkpoint-{target}")
     return (writer.trigger(**trigger) if trigger else writer).start()
 

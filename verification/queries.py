@@ -743,12 +743,17 @@ def stream_from_position(spark, folder):
     return collector.log(spark, root).select("target", "seq", "op_idx", "action", "uri", "cid")
 
 
+COMMITS_PER_ENTRY = 32  # of the state store: some 60 operations, about as many uris or fewer
+
+
 def _stateful(spark: SparkSession, folder: str, target: str) -> DataFrame:
     root = work_folder(spark, "keyed")
     # Dealt out at random, so that batches come in no order.
-    events.event_log(spark, folder, text=target == "post").repartition(6, "op_idx", "seq").write.parquet(f"{root}/log")
-    log = spark.readStream.schema(S.OPS).option("maxFilesPerTrigger", 3).parquet(f"{root}/log")
-    keyed.start(log, root, target, {"availableNow": True}).awaitTermination()
+    files = events.parts(spark, folder, 6)
+    events.event_log(spark, folder, text=target == "post").repartition(files, "op_idx", "seq").write.parquet(f"{root}/log")
+    log = spark.readStream.schema(S.OPS).option("maxFilesPerTrigger", -(-files // 2)).parquet(f"{root}/log")
+    groups = events.last_seq(spark, folder) // COMMITS_PER_ENTRY + 1
+    keyed.start(log, root, target, {"availableNow": True}, groups).awaitTermination()
     return keyed.table(spark, root, target)
 
 
