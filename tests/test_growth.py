@@ -86,3 +86,15 @@ def test_uris_share_entries_of_the_state(spark, tmp_path, target):
         keyed.start(log, root, target, {"availableNow": True}, groups=3).awaitTermination()
     want = (fold.fold_posts if target == "post" else fold.fold_engagement)(log_of(spark, ops))
     assert rows(keyed.table(spark, root, target)) == rows(want)
+
+
+def test_landed_files_are_bounded(spark, folder, monkeypatch):
+    """More commits make more files of the same size, and batches that read more of them."""
+    monkeypatch.setattr(events, "COMMITS_PER_PART", 25)
+    root = queries._streamed(spark, folder, "bounded")
+    landed = spark.read.json(f"{root}/landed").select("seq", F.input_file_name().alias("file"))
+    files = landed.where("seq < 1000000000").groupBy("file").agg(F.count("*").alias("n")).collect()
+    assert len(files) >= 9 and max(r["n"] for r in files) <= 60
+    assert queries.collector._finished(spark, root) == 2
+    got = queries.collector.tables(spark, root).post
+    assert rows(got) == rows(queries.frame_post_state(spark, folder))
