@@ -19,12 +19,15 @@ def within(text: Column, max_bytes: int, max_graphemes: int) -> Column:
     """Both length limits.
 
     Bytes and characters are cheap to count, and a text of few characters cannot
-    hold more graphemes, so the rest is left to a pattern that stops right after
-    the first grapheme too many.
+    hold more graphemes. In a text of ASCII alone every character is one, but for a
+    line end of two. The rest is left to a pattern that stops right after the first
+    grapheme too many.
     """
+    ascii_only = (F.octet_length(text) == F.char_length(text)) & ~F.contains(text, F.lit("\r\n"))
     return (
         F.when(F.octet_length(text) > max_bytes, False)
         .when(F.char_length(text) <= max_graphemes, True)
+        .when(ascii_only, False)
         .otherwise(~text.rlike(rf"\A\X{{{max_graphemes + 1}}}"))
     )
 

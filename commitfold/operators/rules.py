@@ -30,7 +30,7 @@ class Rule(NamedTuple):
 
 def violations(rules: list[Rule]) -> Column:
     broken = [F.when(~F.coalesce(r.holds, F.lit(False)), F.lit(r.name)) for r in rules]
-    return F.array_compact(F.array(*broken))
+    return F.array_except(F.array(*broken), F.array(F.lit(None).cast("string")))
 
 
 def all_hold(rules: list[Rule]) -> Column:

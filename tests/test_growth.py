@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from builders import commit, create, frames, post
 from commitfold import schemas as S
-from commitfold.operators import analysis, fold
+from commitfold.functions import text as tx
+from commitfold.operators import analysis, fold, ops
 from commitfold.sources import base, frames as source
 from commitfold.sources.seq_stream import SeqReader
 from commitfold.streaming import keyed
@@ -98,3 +99,33 @@ def test_landed_files_are_bounded(spark, folder, monkeypatch):
     assert queries.collector._finished(spark, root) == 2
     got = queries.collector.tables(spark, root).post
     assert rows(got) == rows(queries.frame_post_state(spark, folder))
+
+
+def test_frames_are_made_once(spark, folder):
+    """One join with the documents, and no ranges that are sampled before frames are landed."""
+    landed, files = events.laid_out(spark, folder, events.event_frames(spark, folder), 6)
+    shown = plan(landed)
+    assert shown.count("documents.parquet") <= 2 and shown.count("LeftOuter") == 1  # read, and counted
+    assert "rangepartitioning" not in shown
+    place = F.spark_partition_id().alias("file")
+    held = landed.select("kind", "seq", place).where(F.col("seq") < events.OTHER_KINDS).groupBy("file")
+    ends = sorted((r["file"], r["a"], r["b"]) for r in held.agg(F.min("seq").alias("a"), F.max("seq").alias("b")).collect())
+    assert files == 7 and [f for f, _, _ in ends] == [0, 1, 2, 3, 4, 5]
+    assert all(one[2] < two[1] for one, two in zip(ends, ends[1:]))
+    assert landed.count() == events.event_frames(spark, folder).count()
+
+
+def test_rules_are_asked_once_by_generated_code(spark, folder):
+    """A generator works out its argument without generated code, so no rule is in one."""
+    shown = plan(ops.landed(ops.judged_frames(events.event_frames(spark, folder)), ops.frame_instant()))
+    assert "V08_text_length" in shown
+    assert not any("V08_text_length" in line for line in shown.splitlines() if "Generate" in line)
+    assert shown.count("V08_text_length") == shown.count("V07_required") == 1
+
+
+def test_ascii_texts_are_measured_by_characters(spark):
+    texts = ["a" * 300, "a" * 301, "a" * 299 + "\r\n", "a" * 300 + "\r\n", "\r\n" * 300, "\r\n" * 301, "\n\r" * 151, "é" * 300, "é" * 300]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        tx.within(F.col("t"), 3000, 300).alias("fits"), (tx.graphemes(F.col("t")) <= 300).alias("want")
+    )
+    assert all(r["fits"] == r["want"] for r in got.collect())

@@ -18,6 +18,7 @@ from commitfold.functions import text as tx, times
 from commitfold.functions.built import built_once
 
 EPOCH_SECONDS = 1_704_067_200  # 2024-01-01T00:00:00Z
+OTHER_KINDS = 1_000_000_000  # added to the position of frames that are no commits
 OPS_PER_COMMIT = 4
 COMMITS_PER_PART = 20_000  # in a landed file or a bucket, about
 
@@ -104,8 +105,29 @@ def parts(spark: SparkSession, folder: str, least: int) -> int:
     return max(least, -(-(last_seq(spark, folder) + 1) // COMMITS_PER_PART))
 
 
-def event_ops(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per event with its place in the stream; no text yet."""
+def laid_out(spark: SparkSession, folder: str, frames: DataFrame, least: int) -> tuple[DataFrame, int]:
+    """The frames dealt out by position, and to how many files: commits to `parts` of them,
+    frames of the other kinds to a tenth as many after those.
+
+    The place follows from the position alone. Ranges would be sampled first, for which
+    all frames are made once more.
+    """
+    commits, spread = parts(spark, folder, least), max(last_seq(spark, folder) + 1, 1)
+    others = -(-commits // 10)
+    of_other = F.col("seq") >= OTHER_KINDS
+    at = (F.col("seq") - F.when(of_other, OTHER_KINDS).otherwise(0)) / spread
+    place = F.when(of_other, commits + F.least(F.floor(at * others), F.lit(others - 1))).otherwise(
+        F.least(F.floor(at * commits), F.lit(commits - 1))
+    )
+    return frames.repartitionById(commits + others, F.coalesce(place, F.lit(0)).cast("int")), commits + others
+
+
+def event_ops(spark: SparkSession, folder: str, beside: DataFrame | None = None) -> DataFrame:
+    """One row per event with its place in the stream; no text yet.
+
+    With documents `beside`, rows lie by `doc_id`, the document of their commit, so that
+    commits and documents meet where they are.
+    """
     head = Window.partitionBy("seq")  # a commit: four rows
     event = _table(spark, folder, "events").select(
         "event_id",
@@ -116,6 +138,9 @@ def event_ops(spark: SparkSession, folder: str) -> DataFrame:
         F.floor(F.col("event_id") / OPS_PER_COMMIT).cast("bigint").alias("seq"),
         (F.col("event_id") % OPS_PER_COMMIT).cast("int").alias("op_idx"),
     )
+    if beside is not None:
+        event = event.withColumn("doc_id", F.col("seq") % _size(beside)).repartition("doc_id")
+        head = Window.partitionBy("doc_id", "seq")
     kind = F.col("event_type")
     collection = (
         F.when(kind.isin("signup", "error"), S.POST)
@@ -145,15 +170,22 @@ def event_ops(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _size(documents: DataFrame) -> Column:
+    return documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+
+
+def _needs_text() -> Column:
+    return (F.col("collection") == S.POST) & (F.col("action") == "create")
+
+
 def _with_text(ops: DataFrame, documents: DataFrame) -> DataFrame:
     """Adds a document's text to post creates.
 
     Rows that need no text get a key of their own that matches nothing, so they
     spread evenly over the join.
     """
-    n = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
-    needs = (F.col("collection") == S.POST) & (F.col("action") == "create")
-    keyed = ops.withColumn("doc_id", F.when(needs, F.col("seq") % n).otherwise(-1 - F.col("event_id")))
+    place = F.when(_needs_text(), F.col("seq") % _size(documents)).otherwise(-1 - F.col("event_id"))
+    keyed = ops.withColumn("doc_id", place)
     return keyed.join(documents.select("doc_id", F.col("text").alias("doc_text")), "doc_id", "left").drop("doc_id")
 
 
@@ -274,8 +306,10 @@ def event_frames(spark: SparkSession, folder: str) -> DataFrame:
     for those at which a position would be saved. Every tenth
     commit is followed by a frame of another kind, some of them invalid.
     """
-    ops = event_ops(spark, folder).withColumn("defect", (F.col("event_id") + F.col("k")) % DEFECT_NUMBERS)
-    ops = _with_text(ops, _table(spark, folder, "documents"))
+    documents = _table(spark, folder, "documents")
+    ops = event_ops(spark, folder, beside=documents).withColumn("defect", (F.col("event_id") + F.col("k")) % DEFECT_NUMBERS)
+    text = documents.select(F.col("doc_id").alias("of_doc"), F.col("text").alias("doc_text"))
+    ops = ops.join(text, (F.col("doc_id") == F.col("of_doc")) & _needs_text(), "left")
     d = F.col("defect")
     creates = F.col("action") == "create"
     path = F.when(d == 42, F.concat(F.lit("app.bsky.graph.follow/"), F.substring_index("path", "/", -1))).otherwise(
@@ -289,48 +323,43 @@ def event_frames(spark: SparkSession, folder: str) -> DataFrame:
         F.when(creates & (d != 30), F.col("cid")).alias("key"),
         F.when(creates, _payload()).alias("payload"),
     )
-    gathered = ops.groupBy("seq").agg(
+    gathered = ops.groupBy("doc_id", "seq").agg(
         F.first("repo").alias("repo"), F.first("time").alias("time"), F.sort_array(F.collect_list(op)).alias("all")
     )  # four operations per commit
+    # Frames of the other kinds: after every tenth commit, in turn.
+    one, two = F.array(F.lit(False)), F.array(F.lit(False), F.lit(True))
+    each = gathered.withColumn("is_other", F.explode(F.when(F.col("seq") % 10 == 4, two).otherwise(one)))
     g = F.col("seq") % 50
     blocks = F.filter("all", lambda o: o["key"].isNotNull())
     null = F.lit(None)
-    commit = gathered.select(
-        F.when(g == 5, null).otherwise("commit").alias("kind"),
-        "seq",
-        F.lit(False).alias("rebase"),
-        F.lit(False).alias("tooBig"),
-        F.when((g == 1) | (F.col("seq") % 100).isin(0, 40, 80), "not a did").otherwise(F.col("repo")).alias("repo"),
-        cid_of(F.concat(F.lit("commit "), F.col("seq").cast("string"))).alias("commit"),
-        F.when(g != 3, F.concat(F.lit("rev"), F.col("seq").cast("string"))).alias("rev"),
-        F.map_from_entries(F.transform(blocks, lambda o: F.struct(o["key"], o["payload"]))).alias("records"),
-        F.transform(
+    commit = {
+        "kind": F.when(g == 5, null).otherwise("commit"),
+        "seq": F.col("seq"),
+        "rebase": F.lit(False),
+        "tooBig": F.lit(False),
+        "repo": F.when((g == 1) | (F.col("seq") % 100).isin(0, 40, 80), "not a did").otherwise(F.col("repo")),
+        "commit": cid_of(F.concat(F.lit("commit "), F.col("seq").cast("string"))),
+        "rev": F.when(g != 3, F.concat(F.lit("rev"), F.col("seq").cast("string"))),
+        "records": F.map_from_entries(F.transform(blocks, lambda o: F.struct(o["key"], o["payload"]))),
+        "ops": F.transform(
             "all",
             lambda o: F.struct(
                 F.when(~((F.col("seq") % 50 == 4) & (o["op_idx"] == 0)), o["action"]).alias("action"), o["path"], o["cid"]
             ),
-        ).alias("ops"),
-        F.array().cast("array<string>").alias("blobs"),
-        F.when(g == 2, "yesterday").otherwise(F.col("time")).alias("time"),
-    )
-    # Frames of the other kinds: after every tenth commit, in turn.
+        ),
+        "blobs": F.array().cast("array<string>"),
+        "time": F.when(g == 2, "yesterday").otherwise(F.col("time")),
+    }
     turn = F.floor(F.col("seq") / 10) % 4
     broken = F.floor(F.col("seq") / 40) % 3 == 0
-    other = gathered.where(F.col("seq") % 10 == 4).select(
-        F.element_at(F.array(*[F.lit(x) for x in ("handle", "migrate", "tombstone", "info")]), (turn + 1).cast("int")).alias(
-            "kind"
-        ),
-        F.when(turn != 3, F.col("seq") + 1_000_000_000).alias("seq"),
-        F.when(turn != 3, F.when(broken, "nobody").otherwise(F.col("repo"))).alias("did"),
-        F.when(turn == 0, "user.example.com").alias("handle"),
-        F.when((turn == 3) & ~broken, "OutdatedCursor").alias("name"),
-        F.when(turn != 3, F.col("time")).alias("time"),
-    )
-
-    def full(frames: DataFrame) -> DataFrame:
-        have = set(frames.columns)
-        return frames.select(
-            *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in S.FRAME.fields]
-        )
-
-    return full(commit).unionByName(full(other))
+    kinds = F.array(*[F.lit(x) for x in ("handle", "migrate", "tombstone", "info")])
+    other = {
+        "kind": F.element_at(kinds, (turn + 1).cast("int")),
+        "seq": F.when(turn != 3, F.col("seq") + OTHER_KINDS),
+        "did": F.when(turn != 3, F.when(broken, "nobody").otherwise(F.col("repo"))),
+        "handle": F.when(turn == 0, "user.example.com"),
+        "name": F.when((turn == 3) & ~broken, "OutdatedCursor"),
+        "time": F.when(turn != 3, F.col("time")),
+    }
+    of = lambda f: F.when(F.col("is_other"), other.get(f.name, null)).otherwise(commit.get(f.name, null))
+    return each.select(*[of(f).cast(f.dataType).alias(f.name) for f in S.FRAME.fields])

@@ -703,8 +703,8 @@ def _streamed(spark: SparkSession, folder: str, name: str) -> str:
     """Lands the frames as JSON files and runs the collector over them."""
     root = work_folder(spark, name)
     # One file per position range, so that batches follow the stream: three of them.
-    files = events.parts(spark, folder, 6)
-    _frames(spark, folder).repartitionByRange(files, "seq").write.json(f"{root}/landed")
+    landed, files = events.laid_out(spark, folder, _frames(spark, folder), 6)
+    landed.write.json(f"{root}/landed")
     stream = frame_source.stream(spark, f"{root}/landed", files_per_batch=-(-files // 3))
     running = collector.start(stream, root, SERVICE, ops.frame_instant(), trigger={"availableNow": True})
     running.awaitTermination()
@@ -734,8 +734,8 @@ def stream_standing_posts(spark, folder):
 def stream_from_position(spark, folder):
     """The stream from a position half way on, by the source whose offset is the position."""
     root = work_folder(spark, "from-position")
-    landed = _frames(spark, folder)
-    frame_source.write(landed.repartitionByRange(events.parts(spark, folder, 6), "seq"), f"{root}/landed", "parquet")
+    landed, _ = events.laid_out(spark, folder, _frames(spark, folder), 6)
+    frame_source.write(landed, f"{root}/landed", "parquet")
     written = frame_source.read(spark, f"{root}/landed", "parquet")
     half = ops.commits(written).agg(F.max("seq").alias("last")).first()["last"] // 2
     stream = frame_source.stream_after(spark, f"{root}/landed", half)
