@@ -28,9 +28,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -48,6 +50,7 @@ KNOWN = 100_000
 ROWS = 1 << 14  # hashed feature rows of each softmax
 BLOCK = 256  # rows of a block of weights
 BATCH = 8192
+SHORT = 8  # members of a run that are added one after the other
 RATE = 0.5
 SALTS = 16
 SMOOTH = 0.1
@@ -187,9 +190,30 @@ def _descend(weights: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> Non
         order = np.argsort(own, kind="stable")
         sorted_rows = own[order]
         begin = np.flatnonzero(np.r_[True, sorted_rows[1:] != sorted_rows[:-1]])
-        sums = np.add.reduceat(gradient.take(order, axis=0), begin, axis=0)
         n = np.diff(np.append(begin, len(order)))
-        weights[sorted_rows[begin]] -= (RATE / rows.shape[1]) * sums / (n + 4)[:, None].astype(np.float32)
+        step = _sums(gradient, order, begin, n)
+        step *= (RATE / rows.shape[1] / (n + 4)).astype(np.float32)[:, None]
+        at = sorted_rows[begin]
+        weights[at] = np.subtract(weights.take(at, axis=0), step, out=step)
+
+
+def _sums(gradient: np.ndarray, order: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the gradient over runs of `order`. Most runs are short: their first members
+    are taken at once, then their second ones, and so on. A sum per run and column, which
+    costs a call each, is left for the few long ones."""
+    sums = gradient.take(order[begin], axis=0)
+    short = np.flatnonzero((n > 1) & (n <= SHORT))
+    for j in range(1, SHORT):
+        short = short[n[short] > j]
+        if not len(short):
+            break
+        sums[short] += gradient.take(order[begin[short] + j], axis=0)
+    long = n > SHORT
+    if long.any():
+        members = gradient.take(order[np.repeat(long, n)], axis=0)
+        ends = np.cumsum(n[long])
+        sums[long] = np.add.reduceat(members, ends - n[long], axis=0)
+    return sums
 
 
 class Lookup(dict):
@@ -215,7 +239,8 @@ class Lookup(dict):
             self.clear()
             self.update(self._first)
             self._others = array("q")
-        return np.array([place for one in of_texts for place in map(self.__getitem__, one)], np.int64)
+        every = map(self.__getitem__, chain.from_iterable(of_texts))
+        return np.fromiter(every, np.int64, sum(map(len, of_texts)))
 
     def ids(self, places: np.ndarray) -> np.ndarray:
         """Of the head by rank, of others by hash."""
@@ -226,7 +251,7 @@ class Lookup(dict):
 
 
 def _rare_id(token: bytes) -> int:
-    return HEAD + int.from_bytes(hashlib.blake2b(token, digest_size=4).digest(), "big") % RARE_KEYS
+    return HEAD + zlib.crc32(token) % RARE_KEYS
 
 
 def _begins(of_texts: list[list[bytes]]) -> np.ndarray:

@@ -220,3 +220,17 @@ def test_long_texts_by_segments(monkeypatch):
     parts = repeats._by_text([raw, b"", raw[:50], raw[:900]], 60, repeats.Hashes())
     assert [a.tolist() for a, _ in whole] == [a.tolist() for a, _ in parts]
     assert [k.tolist() for _, k in whole] == [k.tolist() for _, k in parts]
+
+
+@pytest.mark.parametrize("some", [[1, 2, 3, 8, 9, 1, 40, 500], [1, 2, 3], [40], [1]])
+def test_gradient_sums_of_short_and_long_runs(some):
+    import numpy as np
+
+    from commitfold.llm import maxent
+
+    n = np.array(some)
+    made = np.random.default_rng(3)
+    order, begin = made.permutation(n.sum()), np.cumsum(n) - n
+    gradient = made.normal(size=(len(order), 33)).astype(np.float32)
+    want = [gradient[order[b : b + k]].astype(np.float64).sum(0) for b, k in zip(begin, n)]
+    assert np.allclose(maxent._sums(gradient, order, begin, n), want, atol=1e-4)
