@@ -18,8 +18,10 @@ in thousands of texts) is a repeat as a whole, and only the bytes of buckets wit
 frames travel, each frame once per task. A bucket with more than `most` different frames (a common
 phrase in ever new surroundings) is not put into one task: its frames are split by where
 their strings begin, into parts that share a longer core. Equal parts are a repeat as they
-are; where different ones share a core, the strings of `length` bytes of one frame for each
-are looked up by digest. So no group grows with the data and nothing is dropped.
+are; where different ones share a core, one frame for each gives the few bytes around it, in
+which alone the parts differ, and a core's parts are compared in one place. Where more than
+`MANY` parts share one, their strings of `length` bytes are looked up by digest instead. So
+no group grows with the data and nothing is dropped.
 
 A group is maximal inside the frame of its anchor; in a bucket that was split it is a part
 or a run of strings that each occur again. Longer repeats appear as groups of successive, overlapping frames; the union of
@@ -45,6 +47,7 @@ from .common import written
 
 LENGTH = 400
 MOST = 64  # different frames of a bucket
+MANY = 4096  # different parts around a core, each under 200 bytes
 SEGMENT = 1 << 20  # positions that are hashed at once
 BATCH = 2 << 20  # bytes of frames whose suffixes are ordered together
 SALTS = 8
@@ -435,11 +438,13 @@ def _bucket_groups(bodies: DataFrame, length: int, longest: bool) -> DataFrame:
 # Equal parts; 128 bits of place and bytes, as whole numbers, which shuffle small.
 _PART = ["core", "back", "p1", "p2"]
 _PARTS = {name: pa.int64() for name in ("nr", "n", "core")} | {"back": pa.int32(), "p1": pa.int64(), "p2": pa.int64()}
+_SIDES = {"core": pa.int64(), "back": pa.int32(), "p1": pa.int64(), "p2": pa.int64(), "core2": pa.int64(), "left": pa.binary(), "right": pa.binary()}
 _STRINGS = {"core": pa.int64(), "back": pa.int32(), "p1": pa.int64(), "p2": pa.int64(), "key": pa.int64(), "at": pa.int32(), "s1": pa.int64(), "s2": pa.int64()}
 
 
 def _schema(kinds: dict[str, pa.DataType]) -> str:
-    return ", ".join(f"{name} {'int' if kind == pa.int32() else 'bigint'}" for name, kind in kinds.items())
+    names = {pa.int32(): "int", pa.int64(): "bigint", pa.binary(): "binary"}
+    return ", ".join(f"{name} {names[kind]}" for name, kind in kinds.items())
 
 
 def _step(length: int) -> int:
@@ -452,6 +457,12 @@ def _part(size: int, ahead: int, back: int, length: int) -> tuple[int, int]:
     return max(last - _step(length) + 1, 0), min(last + length, size)
 
 
+def _core(key: int, ahead: int, back: int, frame: bytes, length: int) -> tuple[int, int]:
+    """Digest of key, place and bytes of what all strings of a part share."""
+    last = ahead - back
+    return _numbers(b"%d %d:" % (key, back) + frame[last : last - _step(length) + 1 + length])
+
+
 def _parts(bodies: DataFrame, length: int) -> DataFrame:
     """The parts of frames: `back`, the last place of a part's strings counted back from the
     anchor, so that equal strings have equal parts; `core`, a digest of key, place and what
@@ -466,14 +477,84 @@ def _parts(bodies: DataFrame, length: int) -> DataFrame:
                     for back in range(0, ahead + 1, step):
                         first, end = _part(len(frame), ahead, back, length)
                         if end - first >= length:
-                            core = frame[ahead - back : ahead - back - step + 1 + length]
                             head = b"%d %d:" % (key, first - ahead)
-                            rows.append((nr, n, _numbers(b"%d %d:" % (key, back) + core)[0], back, *_numbers(head + frame[first:end])))
+                            rows.append((nr, n, _core(key, ahead, back, frame, length)[0], back, *_numbers(head + frame[first:end])))
                 yield from _rows(rows, _PARTS)
 
     return bodies.select("nr", "key", "ahead", "n", "frame").mapInArrow(run, _schema(_PARTS))
 
 
+def _sides(bodies: DataFrame, length: int) -> DataFrame:
+    """What stands to the left and to the right of the core in the named parts of frames, and
+    the other half of the core's digest, beside what names the part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                rows = []
+                for key, ahead, frame, parts in zip(*[c.to_pylist() for c in batch.slice(i, 1024).columns], strict=True):
+                    for part in parts:
+                        last = ahead - part["back"]
+                        first, end = _part(len(frame), ahead, part["back"], length)
+                        core2 = _core(key, ahead, part["back"], frame, length)[1]
+                        right = frame[last - _step(length) + 1 + length : end]
+                        rows.append((*[part[c] for c in _PART], core2, frame[first:last], right))
+                yield from _rows(rows, _SIDES)
+
+    return bodies.select("key", "ahead", "frame", "parts").mapInArrow(run, _schema(_SIDES))
+
+
+def shared_strings(sides: list[tuple[int, bytes, bytes]], step: int) -> list[list[int]]:
+    """Of different parts (second half of the core's digest, left, right) around one core: how
+    many bytes to the left of it those strings of each begin that stand in another, too."""
+    found: list[list[int]] = [[] for _ in sides]
+    for before in range(step):
+        after = step - 1 - before
+        held: dict[tuple[int, bytes, bytes], list[int]] = {}
+        for nr, (core, left, right) in enumerate(sides):
+            if before <= len(left) and after <= len(right):
+                held.setdefault((core, left[len(left) - before :], right[:after]), []).append(nr)
+        for same in held.values():
+            if len(same) > 1:
+                for nr in same:
+                    found[nr].append(before)
+    return found
+
+
+_SPAN = pa.struct([("start", pa.int32()), ("size", pa.int32())])
+_RUNS = {"core": pa.int64(), "back": pa.int32(), "p1": pa.int64(), "p2": pa.int64(), "spans": pa.list_(_SPAN)}
+
+
+def _side_runs(sides: DataFrame, length: int) -> DataFrame:
+    """The spans (start from the anchor, size) of the strings of each part that occur in
+    another part around its core. All parts of a core come one after the other."""
+
+    def compared(held: list[tuple]) -> Iterator[tuple]:
+        for row, own in zip(held, shared_strings([r[4:] for r in held], _step(length)), strict=True):
+            if own:
+                low, high = -row[1] - own[-1], -row[1] - own[0]
+                one = high - low + 1 == len(own)
+                spans = [(low, high - low + length)] if one else [(-row[1] - before, length) for before in own]
+                yield (*row[:4], [{"start": at, "size": size} for at, size in spans])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1024):
+                rows: list[tuple] = []
+                for row in zip(*[c.to_pylist() for c in batch.slice(i, 1024).columns], strict=True):
+                    if held and row[:2] != held[0][:2]:
+                        rows.extend(compared(held))
+                        held = []
+                    held.append(row)
+                yield from _rows(rows, _RUNS)
+        yield from _rows(list(compared(held)), _RUNS)
+
+    dealt = sides.repartition("core", "back").sortWithinPartitions("core", "back")
+    out = "core bigint, back int, p1 bigint, p2 bigint, spans array<struct<start: int, size: int>>"
+    return dealt.select(*_SIDES).mapInArrow(run, out)
+
+
 def _strings(bodies: DataFrame, length: int) -> DataFrame:
     """All strings of `length` bytes of the named parts of frames: `at` (from the anchor) and
     the digest of the bytes (`s1`, `s2`), beside what names the part."""
@@ -492,6 +573,19 @@ def _strings(bodies: DataFrame, length: int) -> DataFrame:
     return bodies.select("key", "ahead", "frame", "parts").mapInArrow(run, _schema(_STRINGS))
 
 
+def _string_runs(strings: DataFrame, length: int) -> DataFrame:
+    """The same as `_side_runs` by digests of all strings, for parts of any number."""
+    span = lambda at, size: F.struct(at.cast("int").alias("start"), size.cast("int").alias("size"))
+    place = ["s1", "s2", "key", "at"]
+    again = strings.groupBy(*place).agg(F.count(F.lit(1)).alias("all")).where("all > 1").select(*place)
+    runs = strings.join(again, place, "left_semi").groupBy(*_PART).agg(F.min("at").alias("low"), F.max("at").alias("high"), F.collect_list("at").alias("ats"))
+    one = F.col("high") - F.col("low") + 1 == F.size("ats")
+    spans = F.when(one, F.array(span(F.col("low"), F.col("high") - F.col("low") + length))).otherwise(
+        F.transform("ats", lambda at: span(at, F.lit(length)))
+    )
+    return runs.select(*_PART, spans.alias("spans"))
+
+
 def _split_groups(frames: DataFrame, bodies: DataFrame, length: int, longest: bool) -> DataFrame:
     """f1, f2, groups of frames whose buckets do not fit into a task.
 
@@ -504,19 +598,20 @@ def _split_groups(frames: DataFrame, bodies: DataFrame, length: int, longest: bo
     once = written(once.withColumn("nr", F.monotonically_increasing_id()), "repeats-split")
     parts = written(_parts(once, length), "repeats-parts")
     different = written(parts.groupBy(*_PART).agg(F.sum("n").alias("n"), F.min("nr").alias("nr")), "repeats-different")
-    met = different.groupBy("core", "back").agg(F.count(F.lit(1)).alias("all")).where("all > 1").select("core", "back")
-    compared = different.join(met, ["core", "back"], "left_semi").groupBy("nr").agg(F.collect_list(F.struct(*_PART)).alias("parts"))
-    strings = written(_strings(once.join(compared, "nr"), length), "repeats-strings")
-    place = ["s1", "s2", "key", "at"]
-    again = strings.groupBy(*place).agg(F.count(F.lit(1)).alias("all")).where("all > 1").select(*place)
-    runs = strings.join(again, place, "left_semi").groupBy(*_PART).agg(F.min("at").alias("low"), F.max("at").alias("high"), F.collect_list("at").alias("ats"))
-    one = F.col("high") - F.col("low") + 1 == F.size("ats")
     span = lambda at, size: F.struct(at.cast("int").alias("start"), size.cast("int").alias("size"))
-    spans = F.when(one, F.array(span(F.col("low"), F.col("high") - F.col("low") + length))).otherwise(
-        F.transform("ats", lambda at: span(at, F.lit(length)))
-    )
+    met = different.groupBy("core", "back").agg(F.count(F.lit(1)).alias("all")).where("all > 1")
+    met = written(met.select("core", "back", (F.col("all") > MANY).alias("crowded")), "repeats-met")
+
+    def compared(crowded: bool) -> DataFrame:
+        parts = different.join(met.where(F.col("crowded") == crowded), ["core", "back"], "left_semi")
+        return once.join(parts.groupBy("nr").agg(F.collect_list(F.struct(*_PART)).alias("parts")), "nr")
+
+    runs = _side_runs(_sides(compared(False), length), length)
+    if not met.where("crowded").isEmpty():
+        strings = written(_strings(compared(True), length), "repeats-strings")
+        runs = runs.unionByName(_string_runs(strings, length))
     several = different.where("n > 1").select(*_PART, F.lit(True).alias("whole"))
-    known = several.join(runs.select(*_PART, spans.alias("spans")), _PART, "full").select(*_PART, "whole", "spans")
+    known = several.join(runs, _PART, "full").select(*_PART, "whole", "spans")
     # A frame that stands in several places is a repeat already.
     asking = once.where(F.col("n") == 1) if longest else once
     asked = parts.where(F.col("n") == 1) if longest else parts

@@ -178,6 +178,37 @@ def test_repeats(spark, monkeypatch, length, most):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("repeats")]
 
 
+@pytest.mark.parametrize("many", [4096, 2])
+def test_strings_around_a_core_are_not_all_moved(spark, monkeypatch, many):
+    """Parts around a core are compared by the bytes beside it; strings go by digest only
+    where too many parts share one, with the same result."""
+    length, made = 40, []
+    monkeypatch.setattr(repeats, "MANY", many)
+    monkeypatch.setattr(repeats, "_strings", lambda *a, whole=repeats._strings: made.append(1) or whole(*a))
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    shared = "".join(rng.choice("cdefgh") for _ in range(length - 3))
+    rows = [(i, word(30) + shared + word(30)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = Counter((*r[:5], bytes(r["kept"])) for r in repeats.cut(df, length, 3).collect())
+    want = Counter(removed(rows, length))
+    assert got == want and any(r[2] for r in want) and bool(made) == (many == 2)
+
+
+def test_strings_shared_around_a_core():
+    rng = random.Random(6)
+    for step in (1, 2, 5):
+        word = lambda: bytes(rng.choice(b"ab") for _ in range(rng.randrange(step)))
+        sides = sorted({(rng.randrange(2), word(), word()) for _ in range(12)})
+        strings = [
+            {d: (core, left[len(left) - d :], right[: step - 1 - d]) for d in range(step) if d <= len(left) and step - 1 - d <= len(right)}
+            for core, left, right in sides
+        ]
+        seen = Counter((d, s) for own in strings for d, s in own.items())
+        want = [[d for d, s in own.items() if seen[d, s] > 1] for own in strings]
+        assert repeats.shared_strings(sides, step) == want
+
+
 def test_repeat_groups_have_all_occurrences(spark):
     rng = random.Random(9)
     word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
