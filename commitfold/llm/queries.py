@@ -117,7 +117,7 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op13_prefix_intervals(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.cut(table(spark, folder, "documents"), with_kept=False)
+    return repeats.cut(table(spark, folder, "documents"), with_kept=False, words=repeats.PASSAGE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

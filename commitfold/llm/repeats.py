@@ -27,6 +27,13 @@ A group is maximal inside the frame of its anchor; in a bucket that was split it
 or a run of strings that each occur again. Longer repeats appear as groups of successive, overlapping frames; the union of
 their occurrences is exact.
 
+Passages may also be counted by words: those in runs of `words` words that stand in another
+document too, white space aside. They meet by anchors as well, the grams of words with the
+least hash; the windows of one anchor are a stretch, cut into parts by their place from it,
+and equal parts are found by digest. Only where different ones share a core, what all their
+windows hold, are these looked up by digest.
+Nothing is removed by this, and a run of words may be shorter than `length` bytes.
+
 Cases: a null text is empty; a text shorter than `length` loses nothing; repeated rows are
 occurrences like any others; an empty table gives an empty table; a null doc_id stays null;
 other columns are ignored. A text is the unit that has to fit into a task.
@@ -46,9 +53,11 @@ from ..session import work_folder
 from .common import written
 
 LENGTH = 400
+PASSAGE = 51  # words
+PIECE = 1 << 17  # words of a text that are hashed at once
 MOST = 64  # different frames of a bucket
 MANY = 4096  # different parts around a core, each under 200 bytes
-SEGMENT = 1 << 20  # positions that are hashed at once
+SEGMENT = 1 << 17  # positions that are hashed at once, as many as a processor's cache holds
 BATCH = 2 << 20  # bytes of frames whose suffixes are ordered together
 SALTS = 8
 
@@ -74,12 +83,23 @@ class Hashes:
         n = len(raw)
         if n < size:
             return np.zeros(0, np.uint64)
+        sums = self._sums(raw)
+        return self._mixed((sums[size:] - sums[:-size]) * self.down[: n - size + 1])
+
+    def between(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        sums = self._sums(raw)
+        return self._mixed((sums[ends] - sums[starts]) * self.down[starts])
+
+    def _sums(self, raw: np.ndarray) -> np.ndarray:
+        n = len(raw)
         if len(self.up) < n + 1:
             self.up = _powers(_BASE, n + 1)
             self.down = _powers(pow(_BASE, -1, 1 << 64), n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.up[:n], out=sums[1:])
-        found = (sums[size:] - sums[:-size]) * self.down[: n - size + 1]
+        return sums
+
+    def _mixed(self, found: np.ndarray) -> np.ndarray:
         found ^= found >> np.uint64(32)
         found *= _MIX
         found ^= found >> np.uint64(29)
@@ -152,6 +172,55 @@ def _by_text(raws: list[bytes], length: int, hashes: Hashes) -> list[tuple[np.nd
     return out
 
 
+def _worded(raws: list[bytes]) -> list[bytes]:
+    """The words of each text, joined by one space."""
+    return [b" ".join(raw.split()) for raw in raws]
+
+
+def stretches(worded: list[bytes], words: int, hashes: Hashes) -> list[tuple[np.ndarray, ...]]:
+    """(first window, number of windows, anchor, key) of the stretches of each text: successive
+    windows of `words` words with one anchor, all counted in words. Long texts are worked on by overlapping pieces,
+    between which a stretch is cut."""
+    width = width_of(words)
+    gram = words - width + 1
+    pieces: list[tuple[int, int, int, bytes]] = []
+    parts: list[list] = [[] for _ in worded]
+    held = 0
+
+    def flush() -> None:
+        joint = np.frombuffer(b" ".join(p[3] for p in pieces), np.uint8)
+        spaces = np.flatnonzero(joint == 32)
+        starts, ends = np.append(0, spaces + 1), np.append(spaces, len(joint))
+        keys = hashes.between(joint, starts[: len(starts) - gram + 1], ends[gram - 1 :])
+        packed = (keys & ~_POSITION) | np.arange(len(keys), dtype=np.uint64)
+        first = (least(packed, width) & _POSITION).astype(np.int64)
+        begin = 0
+        for nr, at, n, _ in pieces:
+            own = first[begin : begin + n - words + 1]
+            edges = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            anchors = own[edges]
+            parts[nr].append((edges + at, np.diff(np.append(edges, len(own))), anchors - begin + at, keys[anchors].view(np.int64)))
+            begin += n
+
+    for nr, raw in enumerate(worded):
+        n = raw.count(b" ") + 1 if raw else 0
+        if n < words:
+            continue
+        cuts = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32) if n > PIECE else []
+        for at in range(0, n - words + 1, PIECE):
+            end = min(at + PIECE + words - 1, n)
+            piece = raw[cuts[at - 1] + 1 if at else 0 : cuts[end - 1] if end < n else len(raw)]
+            if held + len(piece) > SEGMENT and pieces:
+                flush()
+                pieces, held = [], 0
+            pieces.append((nr, at, end - at, piece))
+            held += len(piece)
+    if pieces:
+        flush()
+    none = (np.zeros(0, np.int64),) * 4
+    return [tuple(np.concatenate(c) for c in zip(*own, strict=True)) if own else none for own in parts]
+
+
 def _raw(batch: pa.RecordBatch) -> list[bytes]:
     return [(t or "").encode() for t in batch.column("text").to_pylist()]
 
@@ -170,15 +239,20 @@ def _digest() -> list[Column]:
     return [F.conv(F.substring(hexes, 16 * i + 1, 16), 16, -10).cast("bigint").alias(name) for i, name in enumerate(("hi", "lo"))]
 
 
-def _anchored(docs: DataFrame, length: int) -> DataFrame:
-    """hi, lo, key, n: the anchors of every text, a key once with its number of places."""
+def _anchored(docs: DataFrame, length: int, words: int | None) -> DataFrame:
+    """hi, lo, key, n: the anchors of every text, a key once with its number of places; those
+    of its words, too, if wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = [np.unique(keys, return_counts=True) for _, keys in _by_text(_raw(part), length, hashes)]
+                raws = _raw(part)
+                found = [np.unique(keys, return_counts=True) for _, keys in _by_text(raws, length, hashes)]
+                if words:  # of which it counts in how many documents they are
+                    more = [np.unique(one[3]) for one in stretches(_worded(raws), words, hashes)]
+                    found = [(np.append(a, b), np.append(n, np.ones(len(b), np.int64))) for (a, n), b in zip(found, more, strict=True)]
                 lists = [_lists([f[i] for f in found], pa.int64()) for i in range(2)]
                 yield pa.RecordBatch.from_arrays([part.column("hi"), part.column("lo"), *lists], ["hi", "lo", "keys", "ns"])
 
@@ -656,21 +730,118 @@ def _solved(sources: DataFrame, places: DataFrame, length: int, most: int, longe
     return found.unionByName(_split_groups(counted.join(hot, "key", "left_semi"), bodies.where("hot"), length, longest))
 
 
+# --- passages by words ------------------------------------------------------------------
+
+_WORDS = ["core", "p1", "p2"]  # equal parts of stretches; 128 bits of place and words
+_WORD_PARTS = {name: pa.int64() for name in ("hi", "lo", "n", "core", "at", "size", "p1", "p2")}
+_WINDOWS = {"hi": pa.int64(), "lo": pa.int64(), "at": pa.int64(), "several": pa.bool_(), "s1": pa.int64(), "s2": pa.int64()}
+
+
+def _words_at(raw: bytes) -> tuple[list[int], list[int]]:
+    """Where the words of a text begin and end."""
+    spaces = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
+    return [0, *(spaces + 1).tolist()], [*spaces.tolist(), len(raw)]
+
+
+def _word_parts(sources: DataFrame, words: int) -> DataFrame:
+    """The parts of the stretches of the wanted keys, by first window and number of windows:
+    equal windows stand at one place from the anchor, so in equal parts; `core` is a digest of
+    the part's place and of the words that all windows there hold."""
+    step = max(1, width_of(words) // 5)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                part, rows = batch.slice(i, 64), []
+                texts = _worded(_raw(part))
+                given = zip(*[part.column(c).to_pylist() for c in ("hi", "lo", "n", "keys")], strict=True)
+                for raw, (hi, lo, n, wanted), (*found, keys) in zip(texts, given, stretches(texts, words, hashes), strict=True):
+                    use = np.isin(keys, wanted)
+                    if not use.any():
+                        continue
+                    starts, ends = _words_at(raw)
+                    for at, size, anchor in zip(*[c[use].tolist() for c in found], strict=True):
+                        while size:
+                            # The windows from `at` up to the next place that `step` divides, counted back.
+                            last = anchor - (anchor - at) // step * step
+                            own = min(size, last - at + 1)
+                            core = _numbers(b"%d:" % (anchor - last) + raw[starts[last] : ends[last - step + words]])[0]
+                            whole = _numbers(b"%d:" % (anchor - at) + raw[starts[at] : ends[at + own + words - 2]])
+                            rows.append((hi, lo, n, core, at, own, *whole))
+                            at, size = at + own, size - own
+                yield from _rows(rows, _WORD_PARTS)
+
+    return sources.select("hi", "lo", "n", "text", "keys").mapInArrow(run, _schema(_WORD_PARTS))
+
+
+def _windows(sources: DataFrame, words: int) -> DataFrame:
+    """All windows of the named parts of texts with the digest of their words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                part, rows = batch.slice(i, 64), []
+                given = zip(*[part.column(c).to_pylist() for c in ("hi", "lo", "asked")], strict=True)
+                for raw, (hi, lo, asked) in zip(_worded(_raw(part)), given, strict=True):
+                    starts, ends = _words_at(raw)
+                    for one in asked:
+                        for at in range(one["at"], one["at"] + one["size"]):
+                            rows.append((hi, lo, at, one["several"], *_numbers(raw[starts[at] : ends[at + words - 1]])))
+                yield from _rows(rows, _WINDOWS)
+
+    return sources.select("hi", "lo", "text", "asked").mapInArrow(run, "hi bigint, lo bigint, at bigint, several boolean, s1 bigint, s2 bigint")
+
+
+def _shared_words(sources: DataFrame, words: int) -> DataFrame:
+    """hi, lo, n_shared_words: the words of each text that stand in a window which another
+    document has, too."""
+    parts = written(_word_parts(sources, words), "repeats-word-parts")
+    texts = [f(c).alias(f"{name}_{c}") for f, name in ((F.min, "min"), (F.max, "max")) for c in ("hi", "lo")]
+    apart = (F.col("min_hi") != F.col("max_hi")) | (F.col("min_lo") != F.col("max_lo"))
+    one = [F.first(c).alias(f"one_{c}") for c in ("hi", "lo", "at")]
+    known = parts.groupBy(*_WORDS).agg(*texts, F.max("n").alias("n"), *one)
+    known = known.select(*_WORDS, "one_hi", "one_lo", "one_at", ((F.col("n") > 1) | apart).alias("several"))
+    known = written(known, "repeats-word-parts-known")
+
+    # A part of one document is compared with the others around its core, each of them once.
+    open_ = known.groupBy("core").agg(F.count(F.lit(1)).alias("all"), F.count_if(~F.col("several")).alias("singles"))
+    open_ = open_.where("all > 1 and singles > 0").select("core")
+    first = (F.col("hi") == F.col("one_hi")) & (F.col("lo") == F.col("one_lo")) & (F.col("at") == F.col("one_at"))
+    asked = parts.join(known.join(open_, "core", "left_semi"), _WORDS).where(~F.col("several") | first)
+    asked = asked.groupBy("hi", "lo").agg(F.collect_list(F.struct("at", "size", "several")).alias("asked"))
+    windows = written(_windows(sources.select("hi", "lo", "text").join(asked, ["hi", "lo"]), words), "repeats-windows")
+    again = windows.groupBy("s1", "s2").agg(*texts, F.max("several").alias("several")).where(F.col("several") | apart)
+    single = windows.where(~F.col("several")).join(again.select("s1", "s2"), ["s1", "s2"], "left_semi").withColumn("size", F.lit(1).cast("bigint"))
+
+    whole = parts.join(known.where("several").select(*_WORDS), _WORDS, "left_semi")
+    spans = whole.select("hi", "lo", "at", "size").unionByName(single.select("hi", "lo", "at", "size"))
+    ends = F.struct("at", (F.col("at") + F.col("size") + (words - 1)).alias("end"))
+    spans = spans.groupBy("hi", "lo").agg(F.sort_array(F.collect_list(ends)).alias("spans"))
+    none = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end"))
+    more = lambda had, span: F.struct(
+        (had["n"] + F.greatest(span["end"] - F.greatest(span["at"], had["end"]), F.lit(0))).cast("bigint").alias("n"),
+        F.greatest(had["end"], span["end"]).alias("end"),
+    )
+    return spans.select("hi", "lo", F.aggregate("spans", none, more, lambda had: had["n"]).alias("n_shared_words"))
+
+
 # --- results -------------------------------------------------------------------------
 
 
 class Found:
     """What was found in the texts of `docs`, for as long as the block lasts: `sources` (hi,
     lo, n, salt, text, of the texts that share anything) and `occurrences` (hi, lo, at,
-    groups); with `longest` no more of the groups than their union needs.
+    groups); with `longest` no more of the groups than their union needs. With `words` also
+    `shared` (hi, lo, n_shared_words).
 
     The sources lie in buckets by digest, so what is found out about them comes to them and
     their texts are shuffled once. The table is taken out of the catalog again at the end."""
 
-    def __init__(self, docs: DataFrame, length: int = LENGTH, most: int = MOST, longest: bool = False):
+    def __init__(self, docs: DataFrame, length: int = LENGTH, most: int = MOST, longest: bool = False, words: int | None = None):
         self.spark, self.length = docs.sparkSession, length
         texts = docs.select(*_digest(), F.coalesce("text", F.lit("")).alias("text"), _dealt().alias("salt"))
-        anchors = written(_anchored(texts, length), "repeats-anchors")
+        anchors = written(_anchored(texts, length, words), "repeats-anchors")
         again = anchors.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
         once = texts.groupBy("hi", "lo").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"), F.min("salt").alias("salt"))
         close = once.join(_keys_by_text(anchors, again), ["hi", "lo"], "left").where(F.col("keys").isNotNull() | (F.col("n") > 1))
@@ -685,6 +856,7 @@ class Found:
             solved = written(_solved(with_keys, places, length, most, longest), "repeats-groups")
             merged = solved.groupBy(*_FRAME_KEY).agg(F.flatten(F.collect_list("groups")).alias("groups"))
             self.occurrences = places.join(merged, _FRAME_KEY).select("hi", "lo", "at", "groups")
+            self.shared = _shared_words(with_keys, words) if words else None
         except BaseException:
             self.__exit__()
             raise
@@ -737,13 +909,19 @@ def _changed(found: Found) -> DataFrame:
     )
 
 
-def cut(docs: DataFrame, length: int = LENGTH, most: int = MOST, with_kept: bool = True) -> DataFrame:
+def cut(docs: DataFrame, length: int = LENGTH, most: int = MOST, with_kept: bool = True, words: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, `kept`: the remaining
-    bytes, which need not be whole characters. Without them no text moves for the result."""
+    bytes, which need not be whole characters. Without them no text moves for the result.
+    With `words` also n_shared_words: the words in runs of so many that another document has,
+    too, whether they are removed or not."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    with Found(docs, length, most, longest=True) as found:
+    with Found(docs, length, most, longest=True, words=words) as found:
         changed = _changed(found).withColumn("after", F.sha2("kept", 256))
-        changed = written(changed if with_kept else changed.drop("kept"), "repeats-changed")
+        changed = changed if with_kept else changed.drop("kept")
+        if words:
+            shared = found.sources.select("hi", "lo", "n", "salt").join(found.shared, ["hi", "lo"])
+            changed = changed.join(shared, ["hi", "lo", "n", "salt"], "full")
+        changed = written(changed, "repeats-changed")
     # A text that stands in several documents is under all salts, any other under that of its own.
     every = F.sequence(F.lit(0), F.lit(SALTS - 1))
     changed = changed.withColumn("salt", F.explode(F.when(F.col("n") > 1, every).otherwise(F.array("salt")))).drop("n")
@@ -753,11 +931,13 @@ def cut(docs: DataFrame, length: int = LENGTH, most: int = MOST, with_kept: bool
     key = ["doc_id", "hi", "lo", "n_bytes", "before"]
     rows = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), *[F.first("whole").alias("whole") for _ in whole])
     joined = rows.withColumn("salt", _dealt()).join(changed, ["hi", "lo", "salt"], "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_removed", "n_spans", *(["n_shared_words"] if words else []))]
     out = [
         "doc_id",
         "n_bytes",
-        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_removed", "n_spans")],
+        *counts[:2],
         F.coalesce("after", "before").alias("kept_sha256"),
+        *counts[2:],
         *[F.coalesce("kept", "whole").alias("kept") for _ in whole],
         F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("_row"),
     ]

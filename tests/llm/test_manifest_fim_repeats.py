@@ -195,6 +195,50 @@ def test_strings_around_a_core_are_not_all_moved(spark, monkeypatch, many):
     assert got == want and any(r[2] for r in want) and bool(made) == (many == 2)
 
 
+def shared_words(rows, words):
+    """(doc_id, words in runs of `words` words that another row has, too) per row."""
+    texts = [(r[1] or "").encode().split() for r in rows]
+    own = [[tuple(t[i : i + words]) for i in range(len(t) - words + 1)] for t in texts]
+    seen = Counter(w for windows in own for w in set(windows))
+    for r, windows in zip(rows, own, strict=True):
+        yield r[0], len({j for i, w in enumerate(windows) if seen[w] > 1 for j in range(i, i + words)})
+
+
+@pytest.mark.parametrize("words, piece", [(51, 1 << 17), (20, 10), (6, 1 << 17), (6, 10), (1, 10)])
+def test_passages_by_words(spark, monkeypatch, words, piece):
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    rng = random.Random(words + piece)
+    word = lambda n: [rng.choice(["a", "é", "cat", "日"]) + str(rng.randrange(900)) for _ in range(n)]
+    line, base = word(words), [word(rng.randrange(words, 4 * words)) for _ in range(5)]
+    texts = [None, "", " \t\n", "one", " ".join(word(words) * 3), " ".join(base[0]), " ".join(base[0]), " ".join(line[:-1]), " ".join(line[:-1])]
+    for _ in range(60):
+        own = []
+        for _ in range(rng.randrange(1, 4)):
+            b = rng.choice([*base, line])
+            at = rng.randrange(len(b))
+            own += b[at : at + rng.randrange(2 * words)] + word(rng.randrange(words)) + (line if rng.random() < 0.3 else [])
+        texts.append("".join(w + rng.choice([" ", "  ", "\n", "\t\x0b"]) for w in own))
+    rows = [(i if i != 9 else None, t) for i, t in enumerate(texts)]
+    rows += [rows[20], rows[21]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = repeats.cut(df, with_kept=False, words=words)
+    assert Counter((r["doc_id"], r["n_shared_words"]) for r in got.collect()) == Counter(shared_words(rows, words))
+    bare = repeats.cut(df, with_kept=False)
+    assert Counter(map(tuple, bare.collect())) == Counter(map(tuple, got.drop("n_shared_words").collect()))
+    assert repeats.cut(df.where("false"), words=words).count() == 0
+
+
+def test_short_passage_of_two_documents_is_seen(spark, tmp_path):
+    """A passage of over 50 words is under 400 bytes: nothing is removed, but it is counted."""
+    rng = random.Random(12)
+    word = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    passage = word(55)
+    rows = [(i, f"{word(80)} {passage} {word(80)}" if i < 2 else word(200)) for i in range(6)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_removed"], r["n_shared_words"]) for r in queries.op13_prefix_intervals(spark, str(tmp_path)).collect()}
+    assert got == {i: (0, 55 if i < 2 else 0) for i in range(6)}
+
+
 def test_strings_shared_around_a_core():
     rng = random.Random(6)
     for step in (1, 2, 5):
