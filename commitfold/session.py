@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -49,6 +51,25 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
 
 
+_DROP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what is run or started inside go when it ends, each batch of a
+    stream by itself, and not when the driver happens to collect its garbage. For frames that
+    are run once: a second run would have to make the files again."""
+    was = spark.conf.get(_DROP, None)
+    spark.conf.set(_DROP, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(_DROP)
+        else:
+            spark.conf.set(_DROP, was)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables.
 

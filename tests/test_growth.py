@@ -1,6 +1,7 @@
 """What one task, file or state holds does not grow with the input."""
 
 import glob
+import os
 import random
 import uuid
 
@@ -9,13 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import commit, create, frames, post
-from commitfold import schemas as S
+from commitfold import schemas as S, session
 from commitfold.functions import text as tx
 from commitfold.operators import analysis, fold, ops
 from commitfold.sources import base, frames as source
 from commitfold.sources.seq_stream import SeqReader
 from commitfold.streaming import keyed
-from test_fold import log_of, make_late, plan, random_ops
+from test_fold import log_of, make, make_late, plan, random_ops
 from verification import events, queries
 
 
@@ -89,6 +90,53 @@ def test_uris_share_entries_of_the_state(spark, tmp_path, target):
     assert rows(keyed.table(spark, root, target)) == rows(want)
 
 
+def test_records_of_posts_are_not_in_the_state(spark, tmp_path):
+    """A record is written with the batch that brings it; deletes and late redeliveries of it
+    find their post without."""
+    text = "".join(random.Random(5).choices("0123456789abcdef", k=1_000_000))
+    one, two = make("post", "a", 5, 0, "create"), make("post", "b", 6, 0, "create")
+    batches = [
+        [one | {"text": text}, make("post", "b", 2, 0, "delete")],
+        [make("post", "a", 7, 0, "delete"), two | {"text": "late"}, one | {"text": "later", "ingested_us": one["ingested_us"] + 9}],
+        [two | {"text": "late", "ingested_us": 1}, make("post", "a", 9, 0, "create") | {"text": "second"}],
+    ]
+    root, all_ops = str(tmp_path), [r for batch in batches for r in batch]
+    for n, batch in enumerate(batches):
+        log_of(spark, batch).coalesce(1).write.mode("append").parquet(f"{root}/log")
+        log = spark.readStream.schema(S.OPS).parquet(f"{root}/log")
+        keyed.start(log, root, "post", {"availableNow": True}, groups=2).awaitTermination()
+        got = spark.read.parquet(f"{root}/post/batch={n}").select("uri", "text").collect()
+        assert {(r["uri"][-1], r["text"]) for r in got} == [{("a", text)}, {("a", None), ("b", "late")}, {("b", "late")}][n]
+    kept = glob.glob(f"{root}/checkpoint-post/state/**", recursive=True)
+    assert 0 < sum(os.path.getsize(f) for f in kept if os.path.isfile(f)) < 400_000
+    assert rows(keyed.table(spark, root, "post")) == rows(fold.fold_posts(log_of(spark, all_ops)))
+
+
+def test_a_dealt_log_moves_its_texts_once(spark, folder):
+    dealt = events.event_log(spark, folder, files=3)
+    shown = plan(dealt)
+    assert 0 < shown.index("LeftOuter") < shown.index("Exchange")
+    assert len(dealt.select(F.spark_partition_id().alias("p")).distinct().collect()) == 3
+    assert rows(dealt) == rows(events.event_log(spark, folder))
+
+
+def test_shuffle_files_go_with_their_run(spark, tmp_path):
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().startswith("shuffle_")}
+
+    def run(name):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / name))
+
+    before, was = files(), spark.conf.get(session._DROP, None)
+    with session.shuffles_dropped(spark):
+        run("dropped")
+    assert not files() - before
+    assert spark.conf.get(session._DROP, None) == was
+    run("kept")
+    assert files() - before
+
+
 def test_landed_files_are_bounded(spark, folder, monkeypatch):
     """More commits make more files of the same size, and batches that read more of them."""
     monkeypatch.setattr(events, "COMMITS_PER_PART", 25)

@@ -178,27 +178,33 @@ def _needs_text() -> Column:
     return (F.col("collection") == S.POST) & (F.col("action") == "create")
 
 
-def _with_text(ops: DataFrame, documents: DataFrame) -> DataFrame:
+def _with_text(ops: DataFrame, documents: DataFrame, files: int | None) -> DataFrame:
     """Adds a document's text to post creates.
 
     Rows that need no text get a key of their own that matches nothing, so they
     spread evenly over the join.
     """
     place = F.when(_needs_text(), F.col("seq") % _size(documents)).otherwise(-1 - F.col("event_id"))
-    keyed = ops.withColumn("doc_id", place)
-    return keyed.join(documents.select("doc_id", F.col("text").alias("doc_text")), "doc_id", "left").drop("doc_id")
+    keyed, texts = ops.withColumn("doc_id", place), documents.select("doc_id", F.col("text").alias("doc_text"))
+    if files is None:
+        return keyed.join(texts, "doc_id", "left").drop("doc_id")
+    # A join takes no fewer partitions than a shuffle has, so those are put together after it.
+    keyed, texts = keyed.repartition(files, "doc_id"), texts.repartition(files, "doc_id")
+    return keyed.join(texts, "doc_id", "left").drop("doc_id").coalesce(files)
 
 
-def event_log(spark: SparkSession, folder: str, text: bool = True) -> DataFrame:
+def event_log(spark: SparkSession, folder: str, text: bool = True, files: int | None = None) -> DataFrame:
     """The operation log of the events (`schemas.OPS`).
 
     Without `text` the posts' texts stay null and the documents are not read, for
-    results that do not show them.
+    results that do not show them. For as many `files` it is dealt out at random along the
+    stream: to where the texts are, so that these move once and equal ones lie side by side.
     """
     ops = event_ops(spark, folder)
     if text:
-        ops = _with_text(ops, _table(spark, folder, "documents"))
+        ops = _with_text(ops, _table(spark, folder, "documents"), files)
     else:
+        ops = ops if files is None else ops.repartition(files, "op_idx", "seq")
         ops = ops.withColumn("doc_text", F.lit(None).cast("string"))
     is_post = F.col("collection") == S.POST
     creates = F.col("action") == "create"

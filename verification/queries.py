@@ -17,7 +17,7 @@ from commitfold import schemas as S
 from commitfold.functions import formats, recode, text as tx
 from commitfold.operators import analysis, counters, fold, lookups, ops, quality
 from commitfold.plans import collect, report
-from commitfold.session import work_folder
+from commitfold.session import shuffles_dropped, work_folder
 from commitfold.sources import base, frames as frame_source, progress, tables, text_index
 from commitfold.streaming import collector, keyed
 
@@ -750,7 +750,9 @@ def _stateful(spark: SparkSession, folder: str, target: str) -> DataFrame:
     root = work_folder(spark, "keyed")
     # Dealt out at random, so that batches come in no order.
     files = events.parts(spark, folder, 6)
-    events.event_log(spark, folder, text=target == "post").repartition(files, "op_idx", "seq").write.parquet(f"{root}/log")
+    dealt = events.event_log(spark, folder, text=target == "post", files=files)
+    with shuffles_dropped(spark):
+        dealt.write.option("compression", "zstd").parquet(f"{root}/log")
     log = spark.readStream.schema(S.OPS).option("maxFilesPerTrigger", -(-files // 2)).parquet(f"{root}/log")
     groups = events.last_seq(spark, folder) // COMMITS_PER_ENTRY + 1
     keyed.start(log, root, target, {"availableNow": True}, groups).awaitTermination()
